@@ -32,8 +32,3 @@ def average(c: Column, digits: int) -> Column:
 def average_money(c: Column, digits: int = 2) -> Column:
     """Mean of an amount."""
     return ratio(F.sum(c), F.count(c), digits, WIDE)
-
-
-def average_or_null(c: Column, when: Column, digits: int) -> Column:
-    """Mean over the rows that meet ``when``; null if none does."""
-    return average(F.when(when, c), digits)
