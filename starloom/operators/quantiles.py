@@ -48,24 +48,24 @@ def quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...] = QUA
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """count, mean, std (sample), min, quartiles and max of numeric columns, one row per column."""
-    parts = []
+    """count, mean, std (sample), min, quartiles and max of numeric columns, one row per column.
+
+    The input is stored once, as the quantiles and the other figures each read it.
+    """
+    stored = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "describe")
+    figures = []
+    results = []
     for name in columns:
-        low, middle, high = quantiles(df, name)
-        c = F.col(name).cast("double")
-        parts.append(
-            df.agg(
-                F.count(c).alias("count"),
-                F.avg(c).alias("mean"),
-                F.stddev_samp(c).alias("std"),
-                F.min(c).alias("min"),
-                F.lit(low).cast("double").alias("q25"),
-                F.lit(middle).cast("double").alias("q50"),
-                F.lit(high).cast("double").alias("q75"),
-                F.max(c).alias("max"),
-            ).select(F.lit(name).alias("measure"), "*")
-        )
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+        quartiles = quantiles(stored, name)
+        measures = {
+            "count": F.count(name),
+            "mean": F.avg(name),
+            "std": F.stddev_samp(name),
+            "min": F.min(name),
+            "max": F.max(name),
+        }
+        figures += [m.alias(f"{name}.{label}") for label, m in measures.items()]
+        at = {label: F.col(f"`{name}.{label}`").alias(label) for label in measures}
+        q = [F.lit(v).cast("double").alias(f"q{int(p * 100)}") for p, v in zip(QUARTILES, quartiles)]
+        results.append(F.struct(F.lit(name).alias("measure"), at["count"], at["mean"], at["std"], at["min"], *q, at["max"]))
+    return stored.agg(*figures).select(F.inline(F.array(*results)))

@@ -42,7 +42,7 @@ RULES: dict[str, tuple[str, dict[str, str]]] = {
         {
             "order_id": "concat('o', l_orderkey)",
             "order_item_id": "cast(conv(substr(md5(concat_ws('|', l_linenumber, l_partkey, l_suppkey, "
-            "cast(l_extendedprice * 100 as bigint), cast(l_tax * 100 as bigint))), 1, 12), 16, 10) as bigint)",
+            "cast(l_extendedprice as decimal(10,2)), cast(l_tax as decimal(4,2)))), 1, 12), 16, 10) as bigint)",
             "product_id": "concat('p', l_partkey)",
             "seller_id": "concat('s', l_suppkey)",
             "price": "cast(l_extendedprice as decimal(10,2))",
@@ -74,7 +74,7 @@ RULES: dict[str, tuple[str, dict[str, str]]] = {
             "order_id": "concat('o', o_orderkey)",
             "review_score": "cast(1 + (o_orderkey * (31 + seq)) % 5 as smallint)",
             "review_comment_title": "case when o_orderkey % 4 = 0 then concat('order ', o_orderkey) end",
-            "review_comment_message": "case when o_orderkey % 3 = 0 then concat('status \"', o_orderstatus, '\",\\nprio ', o_orderpriority) end",
+            "review_comment_message": "case when o_orderkey % 3 = 0 then concat('status \"', o_orderstatus, '\",', chr(10), 'prio ', o_orderpriority) end",
             POS: "o_orderkey * 2 + seq",
         },
     ),
