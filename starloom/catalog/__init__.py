@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 # Modules that register queries when imported.
-MODULES = ("analytics",)
+MODULES = ("analytics", "exploration", "profiling", "quality")
 
 
 def load_queries():
