@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from starloom.catalog.ctes import with_ctes
 from starloom.operators.snapshot import Store
 from starloom.plans.quality import CheckSettings
-from starloom.plans.warehouse import run_pipeline
+from starloom.plans.warehouse import run_pipeline, transform
 from starloom.schemas import POS
 from starloom.session import configure, scratch_path
 from starloom.sources.dates import covering_years, days_between
-from starloom.sources.files import FILE_PATTERNS
+from starloom.sources.files import FILE_PATTERNS, extract
 from starloom.sources.mapping import mapped_raw
 
 
@@ -50,6 +50,16 @@ class Workspace:
     def dw(self) -> dict[str, DataFrame]:
         return Store(self.spark, self.root).tables()
 
+    @cached_property
+    def transformed(self) -> dict[str, DataFrame]:
+        """One batch with keys counted from 1, as it is before any load."""
+        return transform(self.raw)
+
+    @cached_property
+    def extracted(self) -> dict[str, DataFrame]:
+        """The raw tables read back from their CSV files."""
+        return extract(self.spark, self.csv_folder)
+
     @cached_property
     def settings(self) -> CheckSettings:
         years = covering_years(self.raw["orders"], "order_purchase_timestamp").first()

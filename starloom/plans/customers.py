@@ -38,8 +38,8 @@ def repeat_rate(dw: Tables) -> DataFrame:
     )
 
 
-def _first_gap(events_per_day: DataFrame) -> DataFrame:
-    """Days from the first to the second event of each customer, summarized.
+def first_gaps(events_per_day: DataFrame) -> DataFrame:
+    """Days from the first to the second event of each customer that has two.
 
     Input: customer_key, full_date, events. Two events on the first day are 0 days apart,
     otherwise the next day with an event counts. A customer has at most one row per calendar
@@ -53,8 +53,11 @@ def _first_gap(events_per_day: DataFrame) -> DataFrame:
         F.max(F.when(F.col("nth") == 1, F.col("events"))).alias("first_events"),
     )
     gap = F.when(F.col("first_events") > 1, 0).otherwise(F.datediff("next_day", "first_day"))
-    gaps = pairs.select(gap.alias("days")).filter("days is not null")
-    return gaps.agg(
+    return pairs.select("customer_key", gap.alias("days")).filter("days is not null")
+
+
+def _gap_summary(events_per_day: DataFrame) -> DataFrame:
+    return first_gaps(events_per_day).agg(
         average(F.col("days"), 0).alias("avg_days_to_second_order"),
         F.min("days").alias("min_days"),
         F.max("days").alias("max_days"),
@@ -65,7 +68,7 @@ def days_to_second_payment(dw: Tables) -> DataFrame:
     """First to second payment row, as the report defines a second order: a split payment is 0 days."""
     days = dw["dim_date"].select("date_key", "full_date")
     per_day = dw["fact_payments"].groupBy("customer_key", "date_key").agg(F.count(F.lit(1)).alias("events"))
-    return _first_gap(per_day.join(days, "date_key").select("customer_key", "full_date", "events"))
+    return _gap_summary(per_day.join(days, "date_key").select("customer_key", "full_date", "events"))
 
 
 def days_to_second_order(dw: Tables) -> DataFrame:
@@ -73,7 +76,7 @@ def days_to_second_order(dw: Tables) -> DataFrame:
     days = dw["dim_date"].select("date_key", "full_date")
     orders = dw["fact_payments"].groupBy("customer_key", "order_id").agg(F.min("date_key").alias("date_key"))
     per_day = orders.groupBy("customer_key", "date_key").agg(F.count(F.lit(1)).alias("events"))
-    return _first_gap(per_day.join(days, "date_key").select("customer_key", "full_date", "events"))
+    return _gap_summary(per_day.join(days, "date_key").select("customer_key", "full_date", "events"))
 
 
 def rfm_base(dw: Tables) -> DataFrame:

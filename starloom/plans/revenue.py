@@ -37,17 +37,20 @@ def quarterly_revenue(dw: Tables) -> DataFrame:
     return quarters.select("year", "quarter", label, "total_revenue", "total_orders").orderBy("year", "quarter")
 
 
-def category_ranking(dw: Tables, top: int = 20) -> DataFrame:
-    """Categories by item price with their share of all categories, then the first ``top``."""
+def category_sums(dw: Tables) -> DataFrame:
     sold = dw["fact_sales"].join(dw["dim_product"].select("product_key", "category_name_english"), "product_key")
-    categories = sold.groupBy("category_name_english").agg(
+    return sold.groupBy("category_name_english").agg(
         F.sum("price").alias("total_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
         F.count(F.lit(1)).alias("units_sold"),
     )
+
+
+def category_ranking(dw: Tables, top: int = 20) -> DataFrame:
+    """Categories by item price with their share of all categories, then the first ``top``."""
     # One row per category; the shares need the total before the cut.
     total = F.sum("total_revenue").over(Window.partitionBy())
-    shares = categories.withColumn("revenue_share_pct", percent(F.col("total_revenue"), total, kind=WIDE))
+    shares = category_sums(dw).withColumn("revenue_share_pct", percent(F.col("total_revenue"), total, kind=WIDE))
     return shares.orderBy(desc("total_revenue"), "category_name_english").limit(top)
 
 
