@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 # Modules that register queries when imported.
-MODULES = ("analytics", "exploration", "profiling", "quality", "relational", "scalars")
+MODULES = ("analytics", "exploration", "profiling", "quality", "relational", "scalars", "builders", "loading")
 
 
 def load_queries():

@@ -72,7 +72,9 @@ class Workspace:
         for name, df in self.raw.items():
             file = FILE_PATTERNS[name].replace("*", "market_")
             ordered = df.repartitionByRange(POS).sortWithinPartitions(POS).drop(POS, "line_number")
-            ordered.write.option("header", True).option("escape", '"').option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(f"{folder}/{file}")
+            writer = ordered.write.option("header", True).option("escape", '"').option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+            writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+            writer.csv(f"{folder}/{file}")
         return folder
 
 

@@ -89,7 +89,7 @@ class Draft:
         self.store = store
         self.manifest = manifest
         self.base = manifest["version"]
-        self.folder = f"data/{self.base + 1:08d}-{uuid.uuid4().hex[:8]}"
+        self.folder = f"data/{self.base + 1:08d}"
 
     def read(self, table: str, periods: list[int] | None = None) -> DataFrame:
         return self.store.read(table, self.manifest, periods)
@@ -97,12 +97,15 @@ class Draft:
     def holds(self, table: str) -> bool:
         return bool(self.manifest["tables"].get(table))
 
+    def _folder_for(self, table: str) -> str:
+        return f"{self.folder}/{table}-{uuid.uuid4().hex[:8]}"
+
     def _entries(self, table: str) -> list[dict]:
         return self.manifest["tables"].setdefault(table, [])
 
     def append(self, table: str, rows: DataFrame) -> int:
         """Add rows to a table without periods; returns how many there were."""
-        path = f"{self.folder}/{table}-{uuid.uuid4().hex[:8]}"
+        path = self._folder_for(table)
         rows.write.parquet(f"{self.store.root}/{path}")
         written = self.store.spark.read.schema(rows.schema).parquet(f"{self.store.root}/{path}").count()
         if written:
@@ -114,7 +117,7 @@ class Draft:
 
         Spark balances the output files itself: a large period is split, small ones share a task.
         """
-        path = f"{self.folder}/{table}"
+        path = self._folder_for(table)
         placed = rows.withColumn(_PART, self.store.period()).hint("rebalance", F.col(_PART))
         placed.write.partitionBy(_PART).parquet(f"{self.store.root}/{path}")
         hadoop_path, fs = self.store._fs(f"{self.store.root}/{path}")
