@@ -25,7 +25,10 @@ from starloom.plans.facts import customer_id_map, delivered_orders, last_review,
 from starloom.plans.warehouse import key_maps
 from starloom.schemas import POS
 
-ROWS = F.count(F.lit(1))
+
+def rows():
+    return F.count(F.lit(1))
+
 
 # Projections -----------------------------------------------------------------------------
 query("PRJ-01", "customer_state:s customer_unique_id:s", "select customer_state, customer_unique_id from raw_customers")(
@@ -68,15 +71,15 @@ ORDER_ROW = "order_id:s customer_id:s order_status:s"
 
 def order_filter(id: str, where: str, condition):
     query(id, ORDER_ROW, f"select order_id, customer_id, order_status from raw_orders where {where}")(
-        lambda ws: ws.raw["orders"].filter(condition)
+        lambda ws: ws.raw["orders"].filter(condition())
     )
 
 
-order_filter("FLT-01", "order_status = 'delivered'", F.col("order_status") == "delivered")
+order_filter("FLT-01", "order_status = 'delivered'", lambda: F.col("order_status") == "delivered")
 order_filter(
     "FLT-02",
     "order_status = 'delivered' and order_delivered_customer_date is not null",
-    (F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNotNull(),
+    lambda: (F.col("order_status") == "delivered") & F.col("order_delivered_customer_date").isNotNull(),
 )
 query("FLT-03", ORDER_ROW, "select * from raw_orders where order_delivered_customer_date is not null")(
     lambda ws: ws.raw["orders"].dropna(subset=["order_delivered_customer_date"])
@@ -284,7 +287,7 @@ query(
             from fact_payments join dim_date using (date_key)) b on a.customer_key = b.customer_key and a.n = 1 and b.n = 2""",
 )(
     lambda ws: customer_reports.first_gaps(
-        ws.dw["fact_payments"].groupBy("customer_key", "date_key").agg(ROWS.alias("events")).join(
+        ws.dw["fact_payments"].groupBy("customer_key", "date_key").agg(rows().alias("events")).join(
             ws.dw["dim_date"].select("date_key", "full_date"), "date_key"
         )
     )
@@ -334,7 +337,7 @@ query(
     )
 )
 query("AGG-02", "product_key:i units:i ones:i", "select product_key, count(*) as units, sum(1) as ones from fact_sales group by 1")(
-    lambda ws: ws.dw["fact_sales"].groupBy("product_key").agg(ROWS.alias("units"), F.sum(F.lit(1)).alias("ones"))
+    lambda ws: ws.dw["fact_sales"].groupBy("product_key").agg(rows().alias("units"), F.sum(F.lit(1)).alias("ones"))
 )
 query(
     "AGG-03",
@@ -405,8 +408,8 @@ query(
         {half_up('count(*)', 'count(*) filter (freight_value = 0)', 2)} as per_free_line from fact_sales group by 1""",
 )(
     lambda ws: ws.dw["fact_sales"].groupBy("seller_key").agg(
-        numeric.percent(F.count_if(F.col("freight_value") == 0), ROWS).alias("free_pct"),
-        numeric.ratio(ROWS, F.count_if(F.col("freight_value") == 0), 2).alias("per_free_line"),
+        numeric.percent(F.count_if(F.col("freight_value") == 0), rows()).alias("free_pct"),
+        numeric.ratio(rows(), F.count_if(F.col("freight_value") == 0), 2).alias("per_free_line"),
     )
 )
 query(
@@ -427,7 +430,7 @@ query(
     "AGG-13",
     "repeated_keys:i",
     "select count(*) as repeated_keys from (select 1 from raw_order_items group by order_id, line_number having count(*) > 1)",
-)(lambda ws: repeated_groups(ws.raw["order_items"], ["order_id", "line_number"]).agg(ROWS.alias("repeated_keys")))
+)(lambda ws: repeated_groups(ws.raw["order_items"], ["order_id", "line_number"]).agg(rows().alias("repeated_keys")))
 query(
     "AGG-14",
     "surplus:i",
@@ -439,7 +442,7 @@ query(
     "select n as orders, count(*) as customers from (select count(distinct order_id) as n from fact_payments group by customer_key) group by n",
 )(
     lambda ws: ws.dw["fact_payments"].groupBy("customer_key").agg(F.count_distinct("order_id").alias("orders")).groupBy("orders").agg(
-        ROWS.alias("customers")
+        rows().alias("customers")
     )
 )
 query(
@@ -457,7 +460,7 @@ query(
     "rows:i price:d freight:d",
     "select count(*) as rows, sum(price) as price, sum(freight_value) as freight from raw_order_items",
 )(
-    lambda ws: ws.raw["order_items"].agg(ROWS.alias("rows"), F.sum("price").alias("price"), F.sum("freight_value").alias("freight"))
+    lambda ws: ws.raw["order_items"].agg(rows().alias("rows"), F.sum("price").alias("price"), F.sum("freight_value").alias("freight"))
 )
 query(
     "AGG-18",
@@ -466,14 +469,14 @@ query(
         when delivery_days < 22 then '3. 15-21 days' when delivery_days < 31 then '4. 22-30 days' else '5. > 30 days' end
         as bucket, count(*) as orders from fact_order_experience group by bucket""",
 )(
-    lambda ws: ws.dw["fact_order_experience"].groupBy(delivery_bucket(F.col("delivery_days")).alias("bucket")).agg(ROWS.alias("orders"))
+    lambda ws: ws.dw["fact_order_experience"].groupBy(delivery_bucket(F.col("delivery_days")).alias("bucket")).agg(rows().alias("orders"))
 )
 query(
     "AGG-19",
     "status:s orders:i",
     "select if(is_late_delivery, 'Late', 'On Time') as status, count(*) as orders from fact_order_experience group by is_late_delivery",
 )(
-    lambda ws: ws.dw["fact_order_experience"].groupBy("is_late_delivery").agg(ROWS.alias("orders")).select(
+    lambda ws: ws.dw["fact_order_experience"].groupBy("is_late_delivery").agg(rows().alias("orders")).select(
         delivery_status(F.col("is_late_delivery")).alias("status"), "orders"
     )
 )
@@ -503,7 +506,7 @@ query(
     "product_category_name:s size:i",
     "select product_category_name, count(*) as size from raw_products where product_category_name is not null group by 1",
 )(
-    lambda ws: ws.raw["products"].filter("product_category_name is not null").groupBy("product_category_name").agg(ROWS.alias("size"))
+    lambda ws: ws.raw["products"].filter("product_category_name is not null").groupBy("product_category_name").agg(rows().alias("size"))
 )
 query(
     "AGG-24",
@@ -534,7 +537,7 @@ query(
     lambda ws: ws.raw["payments"].groupBy("order_id").agg(
         F.max("payment_installments").alias("installments"),
         F.sum("payment_value").alias("order_value"),
-        ROWS.alias("payments"),
+        rows().alias("payments"),
         numeric.average_money(F.col("payment_value")).alias("mean_value"),
         (F.max("payment_value") - F.min("payment_value")).alias("spread"),
     )
@@ -668,7 +671,7 @@ query(
     "is_late_delivery:b orders:i",
     "select is_late_delivery, count(*) as orders from fact_order_experience group by 1 order by 1",
 )(
-    lambda ws: ws.dw["fact_order_experience"].groupBy("is_late_delivery").agg(ROWS.alias("orders")).orderBy("is_late_delivery")
+    lambda ws: ws.dw["fact_order_experience"].groupBy("is_late_delivery").agg(rows().alias("orders")).orderBy("is_late_delivery")
 )
 
 # Set operations --------------------------------------------------------------------------

@@ -10,8 +10,26 @@ MONEY = T.DecimalType(10, 2)
 POS = "_ingest_pos"
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+_TYPES = {
+    "string": T.StringType(),
+    "smallint": T.ShortType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "boolean": T.BooleanType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "decimal(10,2)": MONEY,
+}
+
+
+def _struct(columns: str) -> T.StructType:
+    """Schema from ``"name type [not null], ..."``; usable before a session exists."""
+    fields = []
+    for column in columns.split(", "):
+        name, kind, *required = column.split(" ")
+        fields.append(T.StructField(name, _TYPES[kind], not required))
+    return T.StructType(fields)
 
 
 # Raw layer -----------------------------------------------------------------------------
