@@ -18,7 +18,6 @@ from starloom.operators.dedup import keep_first, keep_last
 from starloom.operators.positions import with_surrogate_key
 from starloom.operators.snapshot import Draft
 from starloom.schemas import POS, WAREHOUSE, TableSpec
-from starloom.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -76,7 +75,7 @@ def next_key(existing: DataFrame, key: str) -> int:
 def merge_dimension(draft: Draft, table: str, incoming: DataFrame) -> MergeCount:
     """Append the unseen rows of ``incoming`` to a dimension with the next dense keys."""
     spec = WAREHOUSE[table]
-    staged = materialize(incoming, table)
+    staged = draft.scratch.keep(incoming, table)
     offered = staged.count()
     if offered == 0:
         log.warning("%s: nothing to load", table)
@@ -86,7 +85,8 @@ def merge_dimension(draft: Draft, table: str, incoming: DataFrame) -> MergeCount
     if spec.key not in spec.natural_key:
         attributes = [f.name for f in spec.schema.fields if f.name not in (spec.key, "created_at")]
         start = next_key(existing, spec.key) - 1
-        fresh = with_surrogate_key(fresh.select(*attributes, *ordering(fresh)), spec.key, ordering(fresh), start)
+        fresh = fresh.select(*attributes, *ordering(fresh))
+        fresh = with_surrogate_key(fresh, spec.key, ordering(fresh), start, draft.scratch.keep)
         fresh = fresh.withColumn("created_at", F.current_timestamp())
     fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
     return MergeCount(offered, draft.append(table, fresh))
@@ -97,7 +97,7 @@ def merge_fact(draft: Draft, table: str, incoming: DataFrame) -> MergeCount:
     spec = WAREHOUSE[table]
     keys = list(spec.natural_key)
     columns = [f.name for f in spec.schema.fields if f.name not in (spec.key, "created_at")]
-    staged = materialize(keep_last(incoming.select(*columns, POS), keys, POS, copies="_copies"), table)
+    staged = draft.scratch.keep(keep_last(incoming.select(*columns, POS), keys, POS, copies="_copies"), table)
     offered, distinct = staged.agg(F.sum("_copies"), F.count(F.lit(1))).first()
     if distinct == 0:
         log.warning("%s: nothing to load", table)

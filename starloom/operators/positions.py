@@ -9,6 +9,8 @@ meet in one place.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,15 +24,21 @@ def _ordering(order: list[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def with_position(df: DataFrame, order: list[str | Column], name: str, total: str | None = None) -> DataFrame:
+def with_position(
+    df: DataFrame,
+    order: list[str | Column],
+    name: str,
+    total: str | None = None,
+    keep: Callable[[DataFrame, str], DataFrame] = materialize,
+) -> DataFrame:
     """Add the 1-based rank in ``order``, which must be unique, and optionally the row count.
 
-    The sorted rows are written once to the shared folder: their numbering has to stay the
-    same for both passes, whatever executor is lost in between.
+    The sorted rows are written once to the shared folder with ``keep``: their numbering has to
+    stay the same for both passes, whatever executor is lost in between.
     """
     keys = _ordering(order)
     ranked = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    ranked = materialize(ranked.withColumn("_slot", F.monotonically_increasing_id()), "positions")
+    ranked = keep(ranked.withColumn("_slot", F.monotonically_increasing_id()), "positions")
 
     part = F.shiftright("_slot", _ROW_BITS)
     row = F.col("_slot").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
@@ -64,7 +72,13 @@ def with_ntile(df: DataFrame, tiles: int, order: list[str | Column], name: str)
     return ranked.withColumn(name, tile_of(F.col("_position"), F.col("_rows"), tiles)).drop("_position", "_rows")
 
 
-def with_surrogate_key(df: DataFrame, key: str, order: list[str | Column], start: int = 0) -> DataFrame:
+def with_surrogate_key(
+    df: DataFrame,
+    key: str,
+    order: list[str | Column],
+    start: int = 0,
+    keep: Callable[[DataFrame, str], DataFrame] = materialize,
+) -> DataFrame:
     """Put dense keys ``start + 1``, ``start + 2``, ... in front, assigned in ``order``."""
-    ranked = with_position(df, order, key)
+    ranked = with_position(df, order, key, keep=keep)
     return ranked.select((F.col(key) + F.lit(start)).cast("bigint").alias(key), *df.columns)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starloom.schemas import WAREHOUSE
+from starloom.session import Scratch
 
 _PART = "_period"
 GRAINS = {"year": 10000, "month": 100}
@@ -90,6 +91,7 @@ class Draft:
         self.manifest = manifest
         self.base = manifest["version"]
         self.folder = f"data/{self.base + 1:08d}"
+        self.scratch = Scratch(store.spark)
 
     def read(self, table: str, periods: list[int] | None = None) -> DataFrame:
         return self.store.read(table, self.manifest, periods)

@@ -3,8 +3,9 @@
 ``keys`` maps customer, product, seller and payment to two-column frames (natural key,
 surrogate key): those of a transform in memory or those stored in the warehouse.
 
-The person behind an order is looked up once, at order grain, before the much larger item,
-payment and review tables are joined on the order id.
+The person behind an order is looked up once, at order grain. The join on the order id comes
+last: the merge then finds the rows of an order together and needs no further shuffle to
+reduce them to one per natural key.
 """
 
 from __future__ import annotations
@@ -42,9 +43,8 @@ def delivered_orders(raw: dict[str, DataFrame], customer_keys: DataFrame) -> Dat
 
 def fact_sales(raw: dict[str, DataFrame], delivered: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
     """One row per item line of a delivered order."""
-    items = raw["order_items"].join(delivered.drop(POS), "order_id", "inner")
-    keyed = items.join(keys["product"], "product_id", "left").join(keys["seller"], "seller_id", "left")
-    return keyed.select(
+    keyed = raw["order_items"].join(keys["product"], "product_id", "left").join(keys["seller"], "seller_id", "left")
+    return keyed.join(delivered.drop(POS), "order_id", "inner").select(
         "order_id",
         "order_item_id",
         "customer_key",
@@ -62,9 +62,8 @@ def fact_sales(raw: dict[str, DataFrame], delivered: DataFrame, keys: dict[str,
 
 def fact_payments(raw: dict[str, DataFrame], delivered: DataFrame, keys: dict[str, DataFrame]) -> DataFrame:
     """One row per payment record of a delivered order; an unknown number of installments is 1."""
-    paid = raw["payments"].join(delivered.drop(POS), "order_id", "inner")
-    keyed = paid.join(keys["payment"], "payment_type", "left")
-    return keyed.select(
+    keyed = raw["payments"].join(keys["payment"], "payment_type", "left")
+    return keyed.join(delivered.drop(POS), "order_id", "inner").select(
         "order_id",
         "payment_sequential",
         "customer_key",

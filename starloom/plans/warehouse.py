@@ -14,7 +14,6 @@ from starloom.operators.positions import with_surrogate_key
 from starloom.operators.snapshot import Draft, Store
 from starloom.plans import dimensions, facts
 from starloom.schemas import DIMENSIONS, POS, WAREHOUSE
-from starloom.session import materialize
 from starloom.sources import dates, seeds
 
 KEYED = {"customer": "dim_customer", "product": "dim_product", "seller": "dim_seller", "payment": "dim_payment"}
@@ -61,10 +60,11 @@ def _together(work: Callable[[str, DataFrame], MergeCount], frames: dict[str, Da
 def seed(draft: Draft, days: DataFrame) -> dict[str, MergeCount]:
     """Rows that exist before any file is read: payment types and the calendar."""
     calendar_rows = dimensions.dim_date(days)
-    return {
-        "dim_payment": merge_dimension(draft, "dim_payment", seeds.payment_types(draft.store.spark)),
-        "dim_date": merge_dimension(draft, "dim_date", calendar_rows.withColumn(POS, calendar_rows["date_key"])),
+    frames = {
+        "dim_payment": seeds.payment_types(draft.store.spark),
+        "dim_date": calendar_rows.withColumn(POS, calendar_rows["date_key"]),
     }
+    return _together(lambda name, df: merge_dimension(draft, name, df), frames)
 
 
 def load(draft: Draft, raw: dict[str, DataFrame]) -> dict[str, MergeCount]:
@@ -72,7 +72,7 @@ def load(draft: Draft, raw: dict[str, DataFrame]) -> dict[str, MergeCount]:
     counts = _together(lambda name, df: merge_dimension(draft, name, df), build_dimensions(raw))
     keys = key_maps({t: draft.read(t) for t in DIMENSIONS})
     # Shared by the three facts: two joins on the customer ids are done once.
-    delivered = materialize(facts.delivered_orders(raw, keys["customer"]), "delivered")
+    delivered = draft.scratch.keep(facts.delivered_orders(raw, keys["customer"]), "delivered")
     return counts | _together(lambda name, df: merge_fact(draft, name, df), build_facts(raw, delivered, keys))
 
 
@@ -99,9 +99,12 @@ def run_pipeline(
         seconds = round(time.monotonic() - started, 3)
         metrics.append({"stage": name, "seconds": seconds, "tables": {t: asdict(c) for t, c in counts.items()}})
 
-    stage("seed", lambda: seed(draft, days if days is not None else dates.date_series(spark)))
-    stage("load", lambda: load(draft, raw))
-    if check is not None:
-        stage("check", lambda: check({t: draft.read(t) for t in WAREHOUSE}) and None)
-    stage("commit", lambda: draft.commit() and None)
+    try:
+        stage("seed", lambda: seed(draft, days if days is not None else dates.date_series(spark)))
+        stage("load", lambda: load(draft, raw))
+        if check is not None:
+            stage("check", lambda: check({t: draft.read(t) for t in WAREHOUSE}) and None)
+        stage("commit", lambda: draft.commit() and None)
+    finally:
+        draft.scratch.clear()
     return metrics

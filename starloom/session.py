@@ -71,9 +71,30 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with a columnar copy that survives executors, keeps column pruning and
-    gives the next plan true sizes for its broadcast decisions.
+    gives the next plan true sizes for its broadcast decisions. The copy stays for the session,
+    as lazy results may still read it; jobs that know when they are done use ``Scratch``.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return _stored(df, scratch_path(df.sparkSession, label))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate copies of one job, removed together when it is over."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def keep(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        self.paths.append(path)
+        return _stored(df, path)
+
+    def clear(self) -> None:
+        while self.paths:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop())
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
