@@ -62,7 +62,7 @@ query(
 )(lambda ws: ws.transformed["fact_payments"])
 query(
     "ETL-10",
-    "order_id:s customer_key:i customer_unique_id:s date_key:i delivery_days:i delay_days:i review_score:i is_late_delivery:b",
+    "order_id:s customer_key:i customer_unique_id:s date_key:i delivery_days:i delay_days:i review_score:n is_late_delivery:b",
     "select f.*, c.customer_unique_id from fact_order_experience f join dim_customer c using (customer_key)",
 )(lambda ws: ws.transformed["fact_order_experience"])
 

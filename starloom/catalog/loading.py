@@ -143,7 +143,7 @@ query(
 query("SRC-09", "table:s rows:i", " union all ".join(f"select '{t}' as \"table\", count(*) as rows from {t}" for t in WAREHOUSE))(
     lambda ws: _union([df.agg(F.count(F.lit(1)).alias("rows")).withColumn("table", F.lit(t)) for t, df in ws.dw.items()])
 )
-query("SRC-10", "order_id:s review_score:i place:i", "select order_id, review_score, row_number() over (order by pos) as place from raw_reviews")(
+query("SRC-10", "order_id:s review_score:n place:i", "select order_id, review_score, row_number() over (order by pos) as place from raw_reviews")(
     lambda ws: with_position(ws.extracted["reviews"].select("order_id", "review_score", POS), [POS], "place")
 )
 
@@ -319,7 +319,7 @@ def declared_columns(ws):
 
 @query(
     "SNK-10",
-    "order_id:s customer_key:i date_key:i delivery_days:i delay_days:i review_score:i is_late_delivery:b",
+    "order_id:s customer_key:i date_key:i delivery_days:i delay_days:i review_score:n is_late_delivery:b",
     """select order_id, customer_key, date_key, delivery_days + 1 as delivery_days, delay_days - 100 as delay_days,
         5 as review_score, false as is_late_delivery from fact_order_experience""",
 )

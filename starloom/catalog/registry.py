@@ -112,7 +112,8 @@ class Query:
 
 QUERIES: dict[str, Query] = {}
 
-TYPES = {"i": "bigint", "d": "double", "s": "string", "b": "boolean"}
+# "n" marks an integer that may be null: as a double it looks the same in every client.
+TYPES = {"i": "bigint", "n": "double", "d": "double", "s": "string", "b": "boolean"}
 
 
 def columns_of(text: str) -> dict[str, str]:

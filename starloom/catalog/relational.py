@@ -86,7 +86,7 @@ query("FLT-03", ORDER_ROW, "select * from raw_orders where order_delivered_custo
 )
 query(
     "FLT-04",
-    "order_id:s review_score:i reviewed:b",
+    "order_id:s review_score:n reviewed:b",
     "select order_id, review_score, review_score is not null as reviewed from fact_order_experience",
 )(
     lambda ws: ws.dw["fact_order_experience"].filter(F.col("review_score").isNotNull()).withColumn("reviewed", F.lit(True)).unionByName(
@@ -202,7 +202,7 @@ query(
 )
 query(
     "JON-05",
-    "order_id:s review_score:i",
+    "order_id:s review_score:n",
     """select d.order_id, r.review_score from delivered_base d left join (select order_id, arg_max(review_score, pos)
         as review_score from raw_reviews group by order_id) r using (order_id)""",
 )(
@@ -269,7 +269,7 @@ query(
 )
 query(
     "JON-09",
-    "order_id:s order_item_id:i review_score:i delay_days:i",
+    "order_id:s order_item_id:i review_score:n delay_days:i",
     """select s.order_id, s.order_item_id, e.review_score, e.delay_days
     from fact_sales s join fact_order_experience e on s.order_id = e.order_id""",
 )(
@@ -529,7 +529,7 @@ query(
 )
 query(
     "AGG-26",
-    "order_id:s installments:i order_value:d payments:i mean_value:d spread:d",
+    "order_id:s installments:n order_value:d payments:i mean_value:d spread:d",
     f"""select order_id, max(payment_installments) as installments, sum(payment_value) as order_value, count(*) as payments,
         {mean_money('payment_value')} as mean_value, max(payment_value) - min(payment_value) as spread
     from raw_payments group by order_id""",
@@ -687,6 +687,6 @@ query(
 )
 query(
     "SET-02",
-    "payment_type:s payment_installments:i",
+    "payment_type:s payment_installments:n",
     "select distinct payment_type, payment_installments from raw_payments",
 )(lambda ws: ws.raw["payments"].select("payment_type", "payment_installments").dropDuplicates())

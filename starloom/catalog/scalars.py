@@ -53,7 +53,7 @@ query(
 )
 query(
     "FN-05",
-    "product_id:s photos:i weight_int:i weight_float:d",
+    "product_id:s photos:n weight_int:n weight_float:d",
     """select product_id, trunc(product_photos_qty)::int as photos, trunc(product_weight_g)::int as weight_int,
         product_weight_g::double as weight_float from raw_products""",
 )(
@@ -66,7 +66,7 @@ query(
 )
 query(
     "FN-06",
-    "order_id:s review_score:i",
+    "order_id:s review_score:n",
     """select o.order_id, r.review_score from raw_orders o
     left join (select order_id, arg_max(review_score, pos) as review_score from raw_reviews group by order_id) r using (order_id)""",
 )(lambda ws: ws.raw["orders"].select("order_id").join(last_review(ws.raw["reviews"]), "order_id", "left"))
@@ -79,7 +79,7 @@ query(
 on_orders("FN-08", "date_key:i", calendar.date_key, f"strftime({BOUGHT}, '%Y%m%d')::int")
 query(
     "FN-09",
-    "order_id:s delivery_days:i delay_days:i",
+    "order_id:s delivery_days:n delay_days:n",
     f"""select order_id, {whole_days(RECEIVED, BOUGHT)} as delivery_days, {whole_days(RECEIVED, PROMISED)} as delay_days
     from raw_orders""",
 )(
@@ -91,7 +91,7 @@ query(
 )
 query(
     "FN-10",
-    "order_id:s calendar_days:i",
+    "order_id:s calendar_days:n",
     f"select order_id, {RECEIVED}::date - {BOUGHT}::date as calendar_days from raw_orders",
 )(lambda ws: ws.raw["orders"].select("order_id", F.datediff(RECEIVED, BOUGHT).alias("calendar_days")))
 query(
@@ -255,7 +255,7 @@ query(
 )(lambda ws: with_surrogate_key(ws.raw["reviews"].select("order_id", POS), "row_key", [POS]))
 query(
     "UDF-04",
-    "order_id:s received_key:i",
+    "order_id:s received_key:n",
     f"select order_id, strftime({RECEIVED}, '%Y%m%d')::int as received_key from raw_orders",
 )(lambda ws: ws.raw["orders"].select("order_id", calendar.date_key(F.col(RECEIVED)).alias("received_key")))
 

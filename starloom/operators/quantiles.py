@@ -17,34 +17,52 @@ from starloom.session import materialize
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def running_counts(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-null values with the number of rows before them and including them."""
-    counted = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    ordered = counted.repartitionByRange("value").sortWithinPartitions("value")
+def running_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Per measure: distinct non-null values, the rows before each, and those up to it.
+
+    All columns are ranked together, with the measure as leading sort key.
+    """
+    stacked = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "measure", "value")
+    counted = stacked.filter("value is not null").groupBy("measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    ordered = counted.repartitionByRange("measure", "value").sortWithinPartitions("measure", "value")
     stored = materialize(ordered.withColumn("_slot", F.monotonically_increasing_id()), "ranks")
     stored = stored.withColumn("_part", F.shiftright("_slot", 33))
-    sizes = stored.groupBy("_part").agg(F.sum("n").alias("_size"))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per range partition, whatever the data.
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy("_part").orderBy("_slot")
+    sizes = stored.groupBy("measure", "_part").agg(F.sum("n").alias("_size"))
+    earlier = Window.partitionBy("measure").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range partition and measure, whatever the data.
+    offsets = sizes.select("measure", "_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset"))
+    inside = Window.partitionBy("_part", "measure").orderBy("_slot")
     upto = F.col("_offset") + F.sum("n").over(inside)
-    joined = stored.join(F.broadcast(offsets), "_part").withColumn("upto", upto)
-    return joined.select("value", (F.col("upto") - F.col("n")).alias("before"), "upto")
+    joined = stored.join(F.broadcast(offsets), ["measure", "_part"]).withColumn("upto", upto)
+    return joined.select("measure", "value", (F.col("upto") - F.col("n")).alias("before"), "upto")
+
+
+def quantiles(
+    df: DataFrame, columns: list[str], probabilities: tuple[float, ...] = QUARTILES
+) -> dict[str, list[float | None]]:
+    """Quantiles of each column with linear interpolation between neighbouring values."""
+    ranks = running_counts(df, columns)
+    totals = {r["measure"]: r["total"] for r in ranks.groupBy("measure").agg(F.max("upto").alias("total")).collect()}
+    places = {c: [(totals[c] - 1) * p for p in probabilities] for c in totals}
+    wanted = {c: sorted({r for h in hs for r in (math.floor(h), math.ceil(h))}) for c, hs in places.items()}
+    if not wanted:
+        return {c: [None] * len(probabilities) for c in columns}
+    hits = F.array(
+        *[
+            F.when((F.col("measure") == c) & (F.col("before") <= r) & (F.col("upto") > r), F.lit(r).cast("bigint"))
+            for c, ranks_of in wanted.items()
+            for r in ranks_of
+        ]
+    )
+    # Two rows per quantile and column at most.
+    found = ranks.select("measure", "value", F.explode(F.array_compact(hits)).alias("rank")).collect()
+    at = {(row["measure"], row["rank"]): row["value"] for row in found}
 
+    def between(c: str, h: float) -> float:
+        low, high = at[c, math.floor(h)], at[c, math.ceil(h)]
+        return low + (high - low) * (h - math.floor(h))
 
-def quantiles(df: DataFrame, column: str, probabilities: tuple[float, ...] = QUARTILES) -> list[float | None]:
-    """Quantiles with linear interpolation between neighbouring values."""
-    ranks = running_counts(df, column)
-    total = ranks.agg(F.max("upto")).first()[0]
-    if not total:
-        return [None] * len(probabilities)
-    places = [(total - 1) * p for p in probabilities]
-    wanted = sorted({r for h in places for r in (math.floor(h), math.ceil(h))})
-    hit = F.array(*[F.when((F.col("before") <= r) & (F.col("upto") > r), F.lit(r)) for r in wanted])
-    found = ranks.select("value", F.explode(F.array_compact(hit)).alias("rank")).collect()  # two rows per quantile
-    at = {row["rank"]: float(row["value"]) for row in found}
-    return [at[math.floor(h)] + (at[math.ceil(h)] - at[math.floor(h)]) * (h - math.floor(h)) for h in places]
+    return {c: [between(c, h) for h in places[c]] if c in places else [None] * len(probabilities) for c in columns}
 
 
 def describe(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -53,10 +71,10 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
     The input is stored once, as the quantiles and the other figures each read it.
     """
     stored = materialize(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "describe")
+    quartiles = quantiles(stored, columns)
     figures = []
     results = []
     for name in columns:
-        quartiles = quantiles(stored, name)
         measures = {
             "count": F.count(name),
             "mean": F.avg(name),
@@ -66,6 +84,6 @@ def describe(df: DataFrame, columns: list[str]) -> DataFrame:
         }
         figures += [m.alias(f"{name}.{label}") for label, m in measures.items()]
         at = {label: F.col(f"`{name}.{label}`").alias(label) for label in measures}
-        q = [F.lit(v).cast("double").alias(f"q{int(p * 100)}") for p, v in zip(QUARTILES, quartiles)]
+        q = [F.lit(v).cast("double").alias(f"q{int(p * 100)}") for p, v in zip(QUARTILES, quartiles[name])]
         results.append(F.struct(F.lit(name).alias("measure"), at["count"], at["mean"], at["std"], at["min"], *q, at["max"]))
     return stored.agg(*figures).select(F.inline(F.array(*results)))

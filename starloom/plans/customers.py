@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.labels import rfm_segment
-from starloom.functions.numeric import average, average_money, percent
+from starloom.functions.numeric import average, average_money, money_sum, percent
 from starloom.operators.positions import with_ntile
 from starloom.plans.revenue import Tables, desc
 
@@ -17,7 +17,7 @@ def lifetime_value(dw: Tables, top: int = 50) -> DataFrame:
     """Customers by total spend. Summed by key first; only the result meets the dimension."""
     per_customer = dw["fact_payments"].groupBy("customer_key").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum("payment_value").alias("lifetime_value"),
+        money_sum("payment_value").alias("lifetime_value"),
         average_money(F.col("payment_value")).alias("avg_order_value"),
     )
     people = dw["dim_customer"].select("customer_key", "customer_unique_id", "customer_state", "customer_city")
@@ -85,7 +85,7 @@ def rfm_base(dw: Tables) -> DataFrame:
     return paid.groupBy("customer_key").agg(
         F.max("full_date").alias("last_day"),
         F.count_distinct("order_id").alias("frequency"),
-        F.sum("payment_value").alias("monetary"),
+        money_sum("payment_value").alias("monetary"),
     )
 
 

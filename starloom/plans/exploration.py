@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions import calendar
-from starloom.functions.numeric import WIDE, average, average_money, ratio
+from starloom.functions.numeric import average, average_money, money_sum, ratio
 from starloom.operators.quantiles import describe
 from starloom.plans.profiling import Raw, orders_per_person, value_counts
 
@@ -20,7 +20,7 @@ DIGITS = 6
 
 def order_totals(raw: Raw) -> DataFrame:
     """What was paid per order; adding up first keeps a split payment from counting an order twice."""
-    return raw["payments"].groupBy("order_id").agg(F.sum("payment_value").alias("order_value"))
+    return raw["payments"].groupBy("order_id").agg(money_sum("payment_value").alias("order_value"))
 
 
 def _paid_orders(raw: Raw, *columns: str) -> DataFrame:
@@ -35,7 +35,7 @@ def _paid_by_customer(raw: Raw, attribute: str, *columns: str) -> DataFrame:
 def monthly_revenue(raw: Raw) -> DataFrame:
     paid = _paid_orders(raw, "order_purchase_timestamp")
     month = calendar.month_period(F.col("order_purchase_timestamp")).alias("year_month")
-    return paid.groupBy(month).agg(F.sum("order_value").cast(WIDE).alias("revenue")).orderBy("year_month")
+    return paid.groupBy(month).agg(money_sum("order_value").alias("revenue")).orderBy("year_month")
 
 
 def _english(raw: Raw, per_product: DataFrame, how: str) -> DataFrame:
@@ -47,8 +47,8 @@ def _english(raw: Raw, per_product: DataFrame, how: str) -> DataFrame:
 
 
 def category_revenue(raw: Raw) -> DataFrame:
-    per_product = raw["order_items"].groupBy("product_id").agg(F.sum("price").alias("revenue"))
-    return _english(raw, per_product, "left").agg(F.sum("revenue").cast(WIDE).alias("revenue")).orderBy(
+    per_product = raw["order_items"].groupBy("product_id").agg(money_sum("price").alias("revenue"))
+    return _english(raw, per_product, "left").agg(money_sum("revenue").alias("revenue")).orderBy(
         F.desc("revenue"), "product_category_name_english"
     )
 
@@ -64,7 +64,7 @@ def order_value_by_state(raw: Raw) -> DataFrame:
 def lifetime_value(raw: Raw) -> DataFrame:
     """Total spend of every person, highest first."""
     paid = _paid_by_customer(raw, "customer_unique_id")
-    return paid.groupBy("customer_unique_id").agg(F.sum("order_value").cast(WIDE).alias("lifetime_value")).orderBy(
+    return paid.groupBy("customer_unique_id").agg(money_sum("order_value").alias("lifetime_value")).orderBy(
         F.desc("lifetime_value"), "customer_unique_id"
     )
 
@@ -94,7 +94,7 @@ def rfm_base(raw: Raw) -> DataFrame:
     per_person = paid.groupBy("customer_unique_id").agg(
         F.max("order_purchase_timestamp").alias("last_purchase"),
         F.count("order_id").alias("frequency"),
-        F.sum("order_value").cast(WIDE).alias("monetary"),
+        money_sum("order_value").alias("monetary"),
     )
     snapshot = raw["orders"].agg(F.max("order_purchase_timestamp")).scalar()
     recency = calendar.elapsed_days(snapshot, F.col("last_purchase")).alias("recency")
@@ -108,7 +108,7 @@ def rfm_profile(raw: Raw) -> DataFrame:
 def seller_performance(raw: Raw) -> DataFrame:
     """Revenue and mean review of the sellers that have both; one score per item line and review."""
     items = raw["order_items"]
-    revenue = items.groupBy("seller_id").agg(F.sum("price").alias("revenue"))
+    revenue = items.groupBy("seller_id").agg(money_sum("price").alias("revenue"))
     # Lines per order and seller, scores per order: an order with many of both stays one row each.
     lines = items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("lines"))
     scores = _scores_per_order(raw)
@@ -149,7 +149,7 @@ def seller_delay(raw: Raw) -> DataFrame:
 
 def state_revenue(raw: Raw) -> DataFrame:
     paid = _paid_by_customer(raw, "customer_state")
-    return paid.groupBy("customer_state").agg(F.sum("order_value").cast(WIDE).alias("revenue")).orderBy(
+    return paid.groupBy("customer_state").agg(money_sum("order_value").alias("revenue")).orderBy(
         F.desc("revenue"), "customer_state"
     )
 
@@ -161,7 +161,7 @@ def payment_distribution(raw: Raw) -> DataFrame:
 def order_value_by_payment_type(raw: Raw) -> DataFrame:
     """Mean, per type, of what an order paid with that type."""
     per_order = raw["payments"].filter("payment_type is not null").groupBy("order_id", "payment_type").agg(
-        F.sum("payment_value").alias("order_value")
+        money_sum("payment_value").alias("order_value")
     )
     return per_order.groupBy("payment_type").agg(average_money(F.col("order_value"), DIGITS).alias("avg_order_value")).orderBy(
         F.desc("avg_order_value"), "payment_type"
@@ -171,7 +171,7 @@ def order_value_by_payment_type(raw: Raw) -> DataFrame:
 def order_value_by_installments(raw: Raw, payment_type: str = "credit_card") -> DataFrame:
     """Mean order value by the largest number of installments of the order."""
     per_order = raw["payments"].filter(F.col("payment_type") == payment_type).groupBy("order_id").agg(
-        F.max("payment_installments").alias("installments"), F.sum("payment_value").alias("order_value")
+        F.max("payment_installments").alias("installments"), money_sum("payment_value").alias("order_value")
     )
     return per_order.filter("installments is not null").groupBy("installments").agg(
         average_money(F.col("order_value"), DIGITS).alias("avg_order_value")

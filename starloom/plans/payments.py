@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.functions.numeric import average_money, percent
+from starloom.functions.numeric import average_money, money_sum, percent
 from starloom.plans.revenue import Tables, asc, desc
 
 
@@ -14,7 +14,7 @@ def payment_mix(dw: Tables) -> DataFrame:
     in its row and in the total the share refers to."""
     per_type = dw["fact_payments"].groupBy("payment_key").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum("payment_value").alias("total_revenue"),
+        money_sum("payment_value").alias("total_revenue"),
         average_money(F.col("payment_value")).alias("avg_order_value"),
     )
     named = per_type.join(dw["dim_payment"].select("payment_key", "payment_type"), "payment_key")
@@ -33,5 +33,5 @@ def installments(dw: Tables, payment_type: str = "credit_card") -> DataFrame:
     return paid.groupBy("payment_installments").agg(
         F.count_distinct("order_id").alias("total_orders"),
         average_money(F.col("payment_value")).alias("avg_order_value"),
-        F.sum("payment_value").alias("total_revenue"),
+        money_sum("payment_value").alias("total_revenue"),
     ).orderBy(asc("payment_installments"))

@@ -10,6 +10,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.numeric import money_sum
 from starloom.operators.dedup import keep_first, surplus_rows
 from starloom.operators.quantiles import describe
 from starloom.plans.dimensions import translated_products
@@ -168,18 +169,18 @@ def grain_check(raw: Raw, key: list[str] | None = None) -> DataFrame:
 def revenue_reconciliation(raw: Raw) -> DataFrame:
     """Item prices plus freight against what was paid."""
     sold = raw["order_items"].agg(
-        F.sum("price").alias("price_total"),
-        F.sum("freight_value").alias("freight_total"),
-        F.sum(F.col("price") + F.col("freight_value")).cast("decimal(20,2)").alias("price_and_freight"),
+        money_sum("price").alias("price_total"),
+        money_sum("freight_value").alias("freight_total"),
+        money_sum(F.col("price") + F.col("freight_value")).alias("price_and_freight"),
     )
-    paid = raw["payments"].agg(F.sum("payment_value").alias("payment_total"))
+    paid = raw["payments"].agg(money_sum("payment_value").alias("payment_total"))
     both = _side_by_side([sold, paid])
     return both.withColumn("difference", F.round(F.col("payment_total") - F.col("price_and_freight"), 2))
 
 
 def payment_breakdown(raw: Raw) -> DataFrame:
     """Payment rows per type, and the total paid by voucher."""
-    vouchers = raw["payments"].filter(F.col("payment_type") == "voucher").agg(F.sum("payment_value").alias("voucher_total"))
+    vouchers = raw["payments"].filter(F.col("payment_type") == "voucher").agg(money_sum("payment_value").alias("voucher_total"))
     return value_counts(raw["payments"], "payment_type", "payments").withColumn("voucher_total", vouchers.scalar())
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.functions.labels import quarter_label
-from starloom.functions.numeric import WIDE, average_money, percent
+from starloom.functions.numeric import WIDE, average_money, money_sum, percent
 
 Tables = dict[str, DataFrame]
 
@@ -18,7 +18,7 @@ def monthly_revenue(dw: Tables) -> DataFrame:
     """Revenue, orders, payment average and growth over the previous month with sales."""
     paid = dw["fact_payments"].join(dw["dim_date"].select("date_key", "year", "month", "month_name"), "date_key")
     months = paid.groupBy("year", "month", "month_name").agg(
-        F.sum("payment_value").alias("total_revenue"),
+        money_sum("payment_value").alias("total_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
         average_money(F.col("payment_value")).alias("avg_order_value"),
     )
@@ -31,7 +31,7 @@ def monthly_revenue(dw: Tables) -> DataFrame:
 def quarterly_revenue(dw: Tables) -> DataFrame:
     paid = dw["fact_payments"].join(dw["dim_date"].select("date_key", "year", "quarter"), "date_key")
     quarters = paid.groupBy("year", "quarter").agg(
-        F.sum("payment_value").alias("total_revenue"), F.count_distinct("order_id").alias("total_orders")
+        money_sum("payment_value").alias("total_revenue"), F.count_distinct("order_id").alias("total_orders")
     )
     label = quarter_label(F.col("year"), F.col("quarter")).alias("quarter_label")
     return quarters.select("year", "quarter", label, "total_revenue", "total_orders").orderBy("year", "quarter")
@@ -40,7 +40,7 @@ def quarterly_revenue(dw: Tables) -> DataFrame:
 def category_sums(dw: Tables) -> DataFrame:
     sold = dw["fact_sales"].join(dw["dim_product"].select("product_key", "category_name_english"), "product_key")
     return sold.groupBy("category_name_english").agg(
-        F.sum("price").alias("total_revenue"),
+        money_sum("price").alias("total_revenue"),
         F.count_distinct("order_id").alias("total_orders"),
         F.count(F.lit(1)).alias("units_sold"),
     )
@@ -62,11 +62,11 @@ def category_growth(dw: Tables, base_year: int = 2017, next_year: int = 2018) ->
     base, after = f"revenue_{base_year}", f"revenue_{next_year}"
     # Products are far fewer than items: sum per product first, name the category after.
     per_product = sold.groupBy("product_key").agg(
-        F.sum(F.when(F.col("year") == base_year, F.col("price")).otherwise(0)).alias(base),
-        F.sum(F.when(F.col("year") == next_year, F.col("price")).otherwise(0)).alias(after),
+        money_sum(F.when(F.col("year") == base_year, F.col("price")).otherwise(0)).alias(base),
+        money_sum(F.when(F.col("year") == next_year, F.col("price")).otherwise(0)).alias(after),
     )
     categories = per_product.join(products, "product_key").groupBy("category_name_english").agg(
-        F.sum(base).cast(WIDE).alias(base), F.sum(after).cast(WIDE).alias(after)
+        money_sum(base).alias(base), money_sum(after).alias(after)
     )
     grown = categories.filter(F.col(base) > 0).withColumn(
         "yoy_growth_pct", percent(F.col(after) - F.col(base), F.col(base), kind=WIDE)
@@ -79,7 +79,7 @@ def order_value_by_state(dw: Tables) -> DataFrame:
     paid = dw["fact_payments"].join(dw["dim_customer"].select("customer_key", "customer_state"), "customer_key")
     states = paid.groupBy("customer_state").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum("payment_value").alias("total_revenue"),
+        money_sum("payment_value").alias("total_revenue"),
         average_money(F.col("payment_value")).alias("avg_order_value"),
     )
     return states.orderBy(desc("avg_order_value"), "customer_state")
@@ -90,7 +90,7 @@ def revenue_by_state(dw: Tables) -> DataFrame:
     states = paid.groupBy("customer_state").agg(
         F.count_distinct("customer_key").alias("unique_customers"),
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum("payment_value").alias("total_revenue"),
+        money_sum("payment_value").alias("total_revenue"),
         average_money(F.col("payment_value")).alias("avg_order_value"),
     )
     return states.orderBy(desc("total_revenue"), "customer_state")
@@ -101,7 +101,7 @@ def top_products(dw: Tables, top: int = 20) -> DataFrame:
     per_product = dw["fact_sales"].groupBy("product_key").agg(
         F.count_distinct("order_id").alias("orders"),
         F.count(F.lit(1)).alias("units_sold"),
-        F.sum("price").alias("total_revenue"),
+        money_sum("price").alias("total_revenue"),
         average_money(F.col("price")).alias("avg_price"),
     )
     named = per_product.join(dw["dim_product"].select("product_key", "product_id", "category_name_english"), "product_key")

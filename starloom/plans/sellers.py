@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.numeric import percent, ratio
+from starloom.functions.numeric import money_sum, percent, ratio
 from starloom.plans.revenue import Tables, desc
 
 
 def _order_seller(dw: Tables) -> DataFrame:
     return dw["fact_sales"].groupBy("order_id", "seller_key").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("price").alias("revenue")
+        F.count(F.lit(1)).alias("lines"), money_sum("price").alias("revenue")
     )
 
 
@@ -25,7 +25,7 @@ def best_sellers(dw: Tables, min_orders: int = 10, top: int = 20) -> DataFrame:
     reviewed = dw["fact_order_experience"].filter(F.col("review_score").isNotNull()).select("order_id", "review_score")
     per_seller = _order_seller(dw).join(reviewed, "order_id").groupBy("seller_key").agg(
         F.count(F.lit(1)).alias("total_orders"),
-        F.sum("revenue").cast("decimal(20,2)").alias("total_revenue"),
+        money_sum("revenue").alias("total_revenue"),
         ratio(F.sum(F.col("review_score") * F.col("lines")), F.sum("lines"), 2).alias("avg_review_score"),
     )
     named = per_seller.filter(F.col("total_orders") >= min_orders).join(
@@ -57,7 +57,7 @@ def top_sellers(dw: Tables, top: int = 20) -> DataFrame:
     per_seller = dw["fact_sales"].groupBy("seller_key").agg(
         F.count_distinct("order_id").alias("total_orders"),
         F.count(F.lit(1)).alias("units_sold"),
-        F.sum("price").alias("total_revenue"),
+        money_sum("price").alias("total_revenue"),
     )
     named = per_seller.join(dw["dim_seller"].select("seller_key", "seller_id", "seller_state"), "seller_key")
     columns = ["seller_id", "seller_state", "total_orders", "units_sold", "total_revenue"]

@@ -82,8 +82,10 @@ def test_quantiles_match_numpy(spark):
     for size in (1, 2, 5, 500):
         values = [random.choice([5.0, 5.0, random.uniform(0, 100)]) for _ in range(size)]
         df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
-        assert quantiles(df, "v", (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)) == pytest.approx(np.quantile(values, (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)))
-    assert quantiles(spark.createDataFrame([], "v double"), "v") == [None] * 3
+        assert quantiles(df, ["v"], (0.0, 0.1, 0.25, 0.5, 0.75, 1.0))["v"] == pytest.approx(np.quantile(values, (0.0, 0.1, 0.25, 0.5, 0.75, 1.0)))
+    assert quantiles(spark.createDataFrame([], "v double"), ["v"]) == {"v": [None] * 3}
+    two = spark.createDataFrame([(1.0, None), (3.0, None)], "a double, b double")
+    assert quantiles(two, ["a", "b"]) == {"a": [1.5, 2.0, 2.5], "b": [None] * 3}
 
 
 def test_describe_matches_pandas(spark):
