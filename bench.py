@@ -1,6 +1,6 @@
 """Benchmark: load the warehouse, then time the headline queries. Prints one JSON line.
 
-BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3):
+BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 2):
 each query runs once to warm up, then BENCH_RUNS times; the median counts.
 """
 
@@ -35,7 +35,7 @@ def timed(work) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     spark = local_session(cpus, shuffle_partitions=cpus)
     ws = Workspace(spark, folder)
     timings: dict[str, float] = {}

@@ -68,10 +68,6 @@ def combined(existing: DataFrame, incoming: DataFrame, spec: TableSpec, next_key
     return both.select(*[pick(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields])
 
 
-def next_key(existing: DataFrame, key: str) -> int:
-    return (existing.agg(F.max(key)).first()[0] or 0) + 1
-
-
 def merge_dimension(draft: Draft, table: str, incoming: DataFrame) -> MergeCount:
     """Append the unseen rows of ``incoming`` to a dimension with the next dense keys."""
     spec = WAREHOUSE[table]
@@ -84,9 +80,8 @@ def merge_dimension(draft: Draft, table: str, incoming: DataFrame) -> MergeCount
     fresh = unseen(existing, staged, list(spec.natural_key))
     if spec.key not in spec.natural_key:
         attributes = [f.name for f in spec.schema.fields if f.name not in (spec.key, "created_at")]
-        start = next_key(existing, spec.key) - 1
         fresh = fresh.select(*attributes, *ordering(fresh))
-        fresh = with_surrogate_key(fresh, spec.key, ordering(fresh), start, draft.scratch.keep)
+        fresh = with_surrogate_key(fresh, spec.key, ordering(fresh), draft.last_key(table), draft.scratch.keep)
         fresh = fresh.withColumn("created_at", F.current_timestamp())
     fresh = fresh.select(*[F.col(f.name).cast(f.dataType) for f in spec.schema.fields])
     return MergeCount(offered, draft.append(table, fresh))
@@ -112,6 +107,6 @@ def merge_fact(draft: Draft, table: str, incoming: DataFrame) -> MergeCount:
         touched = {r["period"]: r["n"] for r in stored.groupBy("period").agg(F.count(F.lit(1)).alias("n")).collect()}
     replaced = sorted(touched)
     affected = draft.read(table, periods=replaced)
-    draft.replace_periods(table, combined(affected, staged, spec, next_key(existing, spec.key)), replaced)
+    draft.replace_periods(table, combined(affected, staged, spec, draft.last_key(table) + 1), replaced)
     updated = sum(touched.values())
     return MergeCount(offered, distinct - updated, updated)

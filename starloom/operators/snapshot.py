@@ -1,7 +1,7 @@
 """Versioned tables on plain files with an all-or-nothing commit.
 
-A version is one small JSON file that lists, per table, the folders holding its rows. Data
-folders are written first and are never touched again; the version appears only when its
+A version is one small JSON file that lists, per table, the folders holding its rows and the
+largest surrogate key given so far. Data folders are written first and are never touched again; the version appears only when its
 JSON file is created, and creation fails if another writer took the number. Readers see the
 old version or the new one, never a mixture, and a failed load leaves the old one in place.
 """
@@ -51,7 +51,7 @@ class Store:
         known = self.versions()
         if version is None:
             if not known:
-                return {"version": 0, "tables": {}}
+                return {"version": 0, "tables": {}, "keys": {}}
             version = known[-1]
         text = self.spark.read.option("wholetext", True).text(f"{self.root}/_versions/{version:08d}.json").first()[0]
         return json.loads(text)
@@ -105,11 +105,24 @@ class Draft:
     def _entries(self, table: str) -> list[dict]:
         return self.manifest["tables"].setdefault(table, [])
 
+    def last_key(self, table: str) -> int:
+        """Largest surrogate key stored in ``table``; known without reading it."""
+        return self.manifest["keys"].get(table, 0)
+
+    def _measure(self, table: str, path: str) -> int:
+        """Rows in a folder just written; notes their largest key."""
+        spec = WAREHOUSE[table]
+        written = self.store.spark.read.schema(spec.schema).parquet(f"{self.store.root}/{path}")
+        rows, key = written.agg(F.count(F.lit(1)), F.max(spec.key)).first()
+        if rows:
+            self.manifest["keys"][table] = max(key, self.last_key(table))
+        return rows
+
     def append(self, table: str, rows: DataFrame) -> int:
         """Add rows to a table without periods; returns how many there were."""
         path = self._folder_for(table)
         rows.write.parquet(f"{self.store.root}/{path}")
-        written = self.store.spark.read.schema(rows.schema).parquet(f"{self.store.root}/{path}").count()
+        written = self._measure(table, path)
         if written:
             self._entries(table).append({"path": path, "parts": None})
         return written
@@ -132,6 +145,7 @@ class Draft:
                 kept.append({"path": entry["path"], "parts": parts})
         if written:
             kept.append({"path": path, "parts": written})
+            self._measure(table, path)
         self.manifest["tables"][table] = kept
 
     def commit(self) -> int:

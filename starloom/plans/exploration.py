@@ -35,6 +35,7 @@ def _paid_by_customer(raw: Raw, attribute: str, *columns: str) -> DataFrame:
 def monthly_revenue(raw: Raw) -> DataFrame:
     paid = _paid_orders(raw, "order_purchase_timestamp")
     month = calendar.month_period(F.col("order_purchase_timestamp")).alias("year_month")
+    paid = paid.filter("order_purchase_timestamp is not null")
     return paid.groupBy(month).agg(money_sum("order_value").alias("revenue")).orderBy("year_month")
 
 
@@ -139,7 +140,8 @@ def received_orders(raw: Raw) -> DataFrame:
 
 def seller_delay(raw: Raw) -> DataFrame:
     """Mean delay per seller, weighted by item line."""
-    lines = raw["order_items"].groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("lines"))
+    items = raw["order_items"].filter("seller_id is not null")
+    lines = items.groupBy("order_id", "seller_id").agg(F.count(F.lit(1)).alias("lines"))
     joined = lines.join(received_orders(raw).select("order_id", "delay_days"), "order_id")
     known = F.when(F.col("delay_days").isNotNull(), F.col("lines"))
     return joined.groupBy("seller_id").agg(
@@ -160,7 +162,7 @@ def payment_distribution(raw: Raw) -> DataFrame:
 
 def order_value_by_payment_type(raw: Raw) -> DataFrame:
     """Mean, per type, of what an order paid with that type."""
-    per_order = raw["payments"].filter("payment_type is not null").groupBy("order_id", "payment_type").agg(
+    per_order = raw["payments"].dropna(subset=["order_id", "payment_type"]).groupBy("order_id", "payment_type").agg(
         money_sum("payment_value").alias("order_value")
     )
     return per_order.groupBy("payment_type").agg(average_money(F.col("order_value"), DIGITS).alias("avg_order_value")).orderBy(
@@ -170,7 +172,8 @@ def order_value_by_payment_type(raw: Raw) -> DataFrame:
 
 def order_value_by_installments(raw: Raw, payment_type: str = "credit_card") -> DataFrame:
     """Mean order value by the largest number of installments of the order."""
-    per_order = raw["payments"].filter(F.col("payment_type") == payment_type).groupBy("order_id").agg(
+    kind = raw["payments"].filter((F.col("payment_type") == payment_type) & F.col("order_id").isNotNull())
+    per_order = kind.groupBy("order_id").agg(
         F.max("payment_installments").alias("installments"), money_sum("payment_value").alias("order_value")
     )
     return per_order.filter("installments is not null").groupBy("installments").agg(

@@ -180,6 +180,20 @@ def test_exploration_differs_from_reports_as_documented(spark, raw):
     assert [r["end"] for r in exploration.best_and_worst_categories(raw).collect()].count("top") == 2
 
 
+def test_null_groups_drop_out_of_exploration(spark):
+    raw = make_raw(
+        spark,
+        order_items=[("o1", 1, "p1", None, "1.00", "0.00"), ("o2", 1, "p1", "s1", "2.00", "0.00"), ("o2", 2, None, "s1", "3.00", "0.00")],
+        payments=[("o1", 1, None, 1, "1.00"), (None, 1, "credit_card", 2, "2.00"), ("o2", 1, "credit_card", None, "3.00")],
+        reviews=[("o2", None, None, None), ("o2", 4, None, None)],
+    )
+    assert rows(exploration.seller_delay(raw)) == [("s1", Decimal("-1.000000"))]
+    assert rows(exploration.seller_performance(raw)) == [("s1", Decimal("5.00"), Decimal("4.000000"))]
+    assert rows(exploration.order_value_by_payment_type(raw)) == [("credit_card", Decimal("3.000000"))]
+    assert rows(exploration.order_value_by_installments(raw)) == []
+    assert rows(exploration.category_revenue(raw)) == [(" Health_Beauty ", Decimal("3.00"))]
+
+
 def test_profiles(spark, raw):
     assert dict(rows(profiling.null_counts(profiling.source_columns("products", raw["products"])))) == {
         "product_category_name": 1, "product_name_lenght": 1, "product_description_lenght": 1, "product_photos_qty": 1, "product_weight_g": 1
