@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.catalog.profiling import columns, relation
 from starloom.catalog.registry import query
+from starloom.operators.merge import SUB_POS
 from starloom.operators.positions import with_surrogate_key
 from starloom.plans import dimensions, facts
 from starloom.plans.quality import run_gate
@@ -148,8 +149,10 @@ def run_metrics(ws):
     _, report = ingest(ws.extracted, scratch_path(ws.spark, "ingest"))
     values = ", ".join(f"('extract', '{t}', {r['rows']}L, {r['columns']})" for t, r in report.items())
     extracted = ws.spark.sql(f"select * from values {values} as report(stage, table, rows, columns)")
-    # The payment fact also carries the payment type, needed to find its stored key later.
-    widths = {t: len([c for c in ws.transformed[t].columns if c not in (POS, "_sub_pos", "payment_type") or t == "dim_payment" and c == "payment_type"]) for t in TRANSFORMED}
+    helpers = {POS, SUB_POS}
+    widths = {t: len(set(ws.transformed[t].columns) - helpers) for t in TRANSFORMED}
+    # The payment fact also carries the payment type, by which its stored key is found later.
+    widths["fact_payments"] -= 1
     shapes = _counts({t: ws.transformed[t] for t in TRANSFORMED}).withColumn("stage", F.lit("transform"))
     width = F.create_map(*[F.lit(v) for t, w in widths.items() for v in (t, w)])
     return extracted.unionByName(shapes.withColumn("columns", width[F.col("table")]))

@@ -100,6 +100,19 @@ def row_report(ws):
 
 
 query("SRC-05", "full_date:s", "select full_date from dim_date")(lambda ws: ws.calendar_days)
+
+
+def purchase_days(ws) -> DataFrame:
+    """First and last purchase day."""
+    bought = "order_purchase_timestamp"
+    return ws.raw["orders"].agg(F.min(bought).cast("date").alias("start"), F.max(bought).cast("date").alias("end"))
+
+
+def orders_per_day(ws) -> DataFrame:
+    day = F.col("order_purchase_timestamp").cast("date").alias("full_date")
+    return ws.raw["orders"].groupBy(day).agg(F.count(F.lit(1)).alias("orders"))
+
+
 query(
     "SRC-06",
     "full_date:s orders:i",
@@ -107,17 +120,12 @@ query(
     from (select unnest(generate_series(min(order_purchase_timestamp)::date, max(order_purchase_timestamp)::date,
             interval '1' day)) as d from raw_orders) left join raw_orders on order_purchase_timestamp::date = d::date
     group by d""",
-)(
-    lambda ws: days_between(
-        ws.raw["orders"].agg(
-            F.min("order_purchase_timestamp").cast("date").alias("start"), F.max("order_purchase_timestamp").cast("date").alias("end")
-        )
-    ).join(ws.raw["orders"].groupBy(F.col("order_purchase_timestamp").cast("date").alias("full_date")).agg(F.count(F.lit(1)).alias("orders")), "full_date", "left").fillna(0)
-)
+)(lambda ws: days_between(purchase_days(ws)).join(orders_per_day(ws), "full_date", "left").fillna(0))
 query(
     "SRC-07",
     "payment_type:s installment_group:s payments:i",
-    "select payment_type, installment_group, (select count(*) from raw_payments p where p.payment_type = k.payment_type) as payments from dim_payment k",
+    """select payment_type, installment_group,
+        (select count(*) from raw_payments p where p.payment_type = k.payment_type) as payments from dim_payment k""",
 )(
     lambda ws: seeds.payment_types(ws.spark).join(
         ws.raw["payments"].groupBy("payment_type").agg(F.count(F.lit(1)).alias("payments")), "payment_type", "left"

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.catalog.analytics import PAID, RFM_SCORES
 from starloom.catalog.ctes import describe, half_up, mean, mean_money, pct
 from starloom.catalog.exploration import DESCRIBE_COLUMNS, rounded
-from starloom.catalog.profiling import duplicate_rows, lost, missing_per_column, relation
+from starloom.catalog.profiling import lost, missing_per_column, relation
 from starloom.catalog.registry import query
 from starloom.functions import numeric
 from starloom.functions.labels import delivery_bucket, delivery_status

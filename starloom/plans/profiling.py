@@ -201,7 +201,11 @@ def dimension_candidates(raw: Raw) -> DataFrame:
     )
     parts = [
         df.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(key).alias("unique_keys")).select(
-            F.lit(name).alias("dimension"), "rows", "unique_keys", F.lit(None).cast("date").alias("first_day"), F.lit(None).cast("date").alias("last_day")
+            F.lit(name).alias("dimension"),
+            "rows",
+            "unique_keys",
+            F.lit(None).cast("date").alias("first_day"),
+            F.lit(None).cast("date").alias("last_day"),
         )
         for name, df, key in sources
     ]
