@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import substrings
+from starloom.llm import jaccard, substrings
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,26 @@ from documents d left join agg a on a.doc_id = d.doc_id
 @_query("op9_substring_dedup", SUBSTRINGS_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.removal_report(table(spark, folder, "documents"))
+
+
+JACCARD_SQL = r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as words from documents
+), s as (
+  select distinct doc_id, case when len(words) < 5 then array_to_string(words, ' ') else array_to_string(words[i:i + 4], ' ') end as shingle
+  from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, least(len(words), 1)) + 1)) as i from w)
+), n as (select doc_id, count(*) as n from s group by doc_id),
+links as (
+  select p.a, p.b from (select x.doc_id as a, y.doc_id as b, count(*) as c from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id group by all) p
+  join n na on na.doc_id = p.a join n nb on nb.doc_id = p.b where 100 * c >= 80 * (na.n + nb.n - c)
+), reach as (
+  select a as doc_id, a as other from links union select r.doc_id, l.b from reach r join links l on l.a = r.other
+), top as (select doc_id, min(other) as component_id from reach group by doc_id)
+select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, coalesce(top.component_id, d.doc_id) as component_id
+from documents d left join n on n.doc_id = d.doc_id left join top on top.doc_id = d.doc_id
+"""
+
+
+@_query("op7_ngram_jaccard_join", JACCARD_SQL)
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"))
