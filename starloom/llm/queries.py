@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import jaccard, substrings
+from starloom.llm import jaccard, packing, substrings
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,8 @@ from documents d left join n on n.doc_id = d.doc_id left join top on top.doc_id
 @_query("op7_ngram_jaccard_join", JACCARD_SQL)
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query("op3_packing")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"))
