@@ -182,7 +182,7 @@ def pack(docs: DataFrame, window: int = WINDOW, ranks: str | None = None, group_
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "doc_id", "start", "row"], ascending=[False, True, True, True], ignore_index=True)
         where, offsets = best_fit(group["length"].tolist(), window)
-        group["sequence_id"] = (group["group"].astype("int64") << 32) + np.array(where, dtype=np.int64)
+        group["sequence_id"] = group["group"].astype("int64") * (1 << 32) + np.array(where, dtype=np.int64)
         group["offset"] = np.array(offsets, dtype=np.int64)
         return group[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]].astype({"doc_id": "Int64"})
 
