@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm import jaccard, packing, substrings
+from starloom.llm import jaccard, mixing, packing, substrings
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,39 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @_query("op3_packing")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
+
+
+MIXING_SQL = r"""
+with d as (
+  select doc_id, source, cast(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as bigint) as size from documents
+), s as (select source, sum(size)::bigint as source_size from d group by source),
+t as (select *, row_number() over (order by source is null, source) - 1 as turn from s),
+w as (select *, [5, 2, 1][turn % 3 + 1] as weight, [-0.5, 0.0, 0.5][turn % 3 + 1]::double as drift, 3 * source_size as lim from t),
+f as (
+  select *, sum(source_size) over () as total,
+    (sum(source_size) over () - coalesce(sum(lim) over (order by lim / weight, turn rows between unbounded preceding and 1 preceding), 0)) * weight
+      >= lim * sum(weight) over (order by lim / weight, turn rows between current row and unbounded following) as is_full
+  from w
+), g as (
+  select *, coalesce(sum(lim) filter (where is_full) over (), 0) as spent, coalesce(sum(weight) filter (where not is_full) over (), 0) as open_weight from f
+), goal as (
+  select source, source_size, drift,
+    case when is_full then lim::double else ((total - spent) * weight)::double / open_weight::double end as target from g
+), line as (
+  select d.*, goal.source_size, goal.target, goal.drift,
+    sum(size) over (partition by d.source order by md5(doc_id::varchar), doc_id rows between unbounded preceding and current row) - size as start
+  from d join goal on d.source is not distinct from goal.source
+), c as (
+  select *, case when size > 0 then (2 * start + size <= 2 * target)::int + (2 * (start + source_size) + size <= 2 * target)::int
+    + (2 * (start + 2 * source_size) + size <= 2 * target)::int else 0 end as copies,
+    least((start::double + size::double / 2) / target, 1.0) as u from line
+)
+select doc_id, size, source_size, target, cast(copies * size as bigint) as taken,
+  case when copies > 0 then 2 * u / ((1 - drift) + sqrt((1 - drift) * (1 - drift) + 4 * drift * u)) end as first_position
+from c
+"""
+
+
+@_query("op8_mixing", MIXING_SQL)
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, folder, "documents"))
