@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, mixing, packing, substrings
+from starloom.llm import jaccard, langid, mixing, packing, substrings
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +116,10 @@ from c
 @_query("op8_mixing", MIXING_SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_plan(table(spark, folder, "documents"))
+
+
+@_query("op4_language_id")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = langid.predict(docs, langid.train(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
