@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, substrings
+from starloom.llm import jaccard, langid, mixing, packing, quality, substrings
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -123,3 +123,57 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = langid.predict(docs, langid.train(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUALITY_SQL = r"""
+with d as (
+  select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents
+), t as (
+  select rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] as w from (select rid, words, unnest(range(1, len(words) - 1)) as i from d)
+), r as (select rid, i from (select rid, i, count(*) over (partition by rid, w) as c from t) where c > 1),
+rep as (select rid, count(distinct i + k) as n_repeat_words from r, unnest([0, 1, 2]) as u(k) group by rid),
+m as (
+  select d.rid, doc_id, lang, source, len(words)::bigint as n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::bigint as n_symbols, length(regexp_replace(text, '[^A-Z]+', '', 'g'))::bigint as n_capitals,
+    len(lines)::bigint as n_lines, (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words
+  from d left join rep on rep.rid = d.rid
+), x as (
+  select *, word_chars * 100 // greatest(n_words, 1) as word_length, n_symbols * 1000 // greatest(n_words, 1) as symbols,
+    n_dup_lines * 1000 // greatest(n_lines, 1) as dup_lines, n_repeat_words * 1000 // greatest(n_words, 1) as repeats,
+    n_capitals * 1000 // greatest(word_chars, 1) as capitals, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed
+  from m
+), long as (
+  select lang, source, rate, (v >> e) << e as cell from (
+    select lang, source, rate, v, greatest(length(bin(v)) - 6, 0)::bigint as e from (
+      unpivot (select lang, source, base_failed, word_length, symbols, dup_lines, repeats, capitals from x) on word_length, symbols, dup_lines, repeats, capitals into name rate value v)
+    where not base_failed)
+), own as (
+  select lang, source, rate, count(*) as n, quantile_disc(cell, 0.1) as q10, quantile_disc(cell, 0.5) as q50, quantile_disc(cell, 0.9) as q90 from long group by all
+), tongue as (
+  select lang, rate, count(*) as n, quantile_disc(cell, 0.1) as q10, quantile_disc(cell, 0.5) as q50, quantile_disc(cell, 0.9) as q90 from long group by all
+), every as (
+  select rate, count(*) as n, quantile_disc(cell, 0.1) as q10, quantile_disc(cell, 0.5) as q50, quantile_disc(cell, 0.9) as q90 from long group by all
+), pick as (
+  select o.lang, o.source, o.rate, case o.rate when 'word_length' then 100 when 'capitals' then 100 else 150 end as slack,
+    case when o.n >= 100 then o.q10 when t.n >= 100 then t.q10 else e.q10 end as q10,
+    case when o.n >= 100 then o.q50 when t.n >= 100 then t.q50 else e.q50 end as q50,
+    case when o.n >= 100 then o.q90 when t.n >= 100 then t.q90 else e.q90 end as q90
+  from own o join tongue t on o.lang is not distinct from t.lang and o.rate = t.rate join every e on e.rate = o.rate
+), fence as (
+  select lang, source, rate, q50 + greatest(4 * (q90 - q50), slack) as high, case when rate = 'word_length' then q50 - greatest(4 * (q50 - q10), slack) else -1 end as low from pick
+), verdict as (
+  select u.rid, bool_and(u.v between f.low and f.high) as inside
+  from (unpivot (select rid, lang, source, word_length, symbols, dup_lines, repeats, capitals from x) on word_length, symbols, dup_lines, repeats, capitals into name rate value v) u
+  join fence f on f.lang is not distinct from u.lang and f.source is not distinct from u.source and f.rate = u.rate group by u.rid
+)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and coalesce(inside, false) as kept
+from x left join verdict v on v.rid = x.rid
+"""
+
+
+@_query("op2_quality_rules", QUALITY_SQL)
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    rows = quality.judged(table(spark, folder, "documents"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
