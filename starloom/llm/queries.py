@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, quality, substrings
+from starloom.llm import jaccard, langid, mixing, packing, quality, substrings, toxicity
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,10 @@ from x left join verdict v on v.rid = x.rid
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.judged(table(spark, folder, "documents"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query("op10_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
+    return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
