@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, quality, substrings, toxicity
+from starloom.llm import jaccard, langid, mixing, packing, quality, substrings, toxicity, vectors
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -184,3 +184,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = toxicity.score(docs, toxicity.train(docs, table(spark, folder, "labels")))
     return found.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+VECTORS_SQL = r"""
+with recursive v as (
+  select vec_id, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) as norm from (select vec_id, cast(embedding as double[]) as e from embeddings)
+  where vec_id is not null and len(e) > 0 and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0
+), u as (select * from v where norm > 0),
+links as (
+  select x.vec_id as a, y.vec_id as b from u x join u y on x.vec_id <> y.vec_id and len(x.e) = len(y.e) where list_dot_product(x.e, y.e) / (x.norm * y.norm) >= 0.95
+), reach as (select a as vec_id, a as other from links union select r.vec_id, l.b from reach r join links l on l.a = r.other),
+top as (select vec_id, min(other) as component_id from reach group by vec_id),
+n as (select a as vec_id, count(*) as n_links from links group by a)
+select e.vec_id, coalesce(n.n_links, 0)::bigint as n_links, coalesce(top.component_id, e.vec_id) as component_id, e.vec_id = coalesce(top.component_id, e.vec_id) as kept
+from embeddings e left join n on n.vec_id = e.vec_id left join top on top.vec_id = e.vec_id
+"""
+
+
+@_query("op5_embedding_near_dedup", VECTORS_SQL)
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_vectors(table(spark, folder, "embeddings"))
