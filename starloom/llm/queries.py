@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, quality, substrings, toxicity, vectors
+from starloom.llm import jaccard, langid, mixing, packing, pseudolm, quality, substrings, toxicity, vectors
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -204,3 +204,9 @@ from embeddings e left join n on n.vec_id = e.vec_id left join top on top.vec_id
 @_query("op5_embedding_near_dedup", VECTORS_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return vectors.near_vectors(table(spark, folder, "embeddings"))
+
+
+@_query("op6_lm_scoring")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return pseudolm.score(docs, pseudolm.train(docs))
