@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, pseudolm, quality, substrings, toxicity, vectors
+from starloom.llm import jaccard, langid, mixing, packing, preferences, pseudolm, quality, substrings, toxicity, vectors
 from starloom.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +210,36 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return pseudolm.score(docs, pseudolm.train(docs))
+
+
+PREFERENCES_SQL = r"""
+with t as (
+  select conv_id, row_number() over (partition by conv_id order by turn, coalesce(role, ''), coalesce(text, '')) as i, coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations where conv_id is not null and turn is not null
+), last as (select conv_id, max(i) as last, row_number() over (order by conv_id) as place, count(*) over () as total from t where role = 'assistant' group by conv_id),
+chosen as (select t.*, l.last, l.place, l.total from t join last l on l.conv_id = t.conv_id where t.i <= l.last),
+reply as (select case when place = 1 then total else place - 1 end as place, text as other from chosen where i = last),
+rows as (
+  select c.conv_id, c.i, c.role, c.text, case when c.i = c.last then r.other else c.text end as other_text, c.last from chosen c join reply r on r.place = c.place
+), prefix as (select conv_id, coalesce(min(case when text <> other_text then i end), max(last) + 1) - 1 as p from rows group by conv_id),
+r as (
+  select rows.conv_id, i, p, role, '<|' || role || '|>' || chr(10) as head, text || chr(10) || '<|end|>' || chr(10) as body, other_text || chr(10) || '<|end|>' || chr(10) as other_body
+  from rows join prefix using (conv_id)
+), s as (
+  select *, sum(case when i > p then length(head) + length(body) else 0 end) over w - length(body) as begin_at, sum(case when i > p then length(head) + length(other_body) else 0 end) over w - length(other_body) as other_at
+  from r window w as (partition by conv_id order by i)
+)
+select conv_id as pair_id, max(p)::bigint as prefix_turns, md5(coalesce(string_agg(head || body, '' order by i) filter (where i <= p), '')) as prompt_md5,
+  md5(coalesce(string_agg(head || body, '' order by i) filter (where i > p), '')) as chosen_md5,
+  md5(coalesce(string_agg(head || other_body, '' order by i) filter (where i > p), '')) as rejected_md5,
+  coalesce(string_agg(begin_at || '+' || length(body), ',' order by i) filter (where i > p and role = 'assistant'), '') as chosen_loss,
+  coalesce(string_agg(other_at || '+' || length(other_body), ',' order by i) filter (where i > p and role = 'assistant'), '') as rejected_loss
+from s group by conv_id
+"""
+
+
+@_query("op1_preference_formatting", PREFERENCES_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    rows = preferences.format_preferences(preferences.swapped_pairs(table(spark, folder, "conversations")))
+    spans = lambda side: F.concat_ws(",", F.transform(f"{side}_loss", lambda s: F.concat_ws("+", s["start"], s["length"]))).alias(f"{side}_loss")
+    return rows.select("pair_id", "prefix_turns", *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")], spans("chosen"), spans("rejected"))
