@@ -184,8 +184,11 @@ def pack(docs: DataFrame, window: int = WINDOW, ranks: str | None = None, group_
         where, offsets = best_fit(group["length"].tolist(), window)
         group["sequence_id"] = group["group"].astype("int64") * (1 << 32) + np.array(where, dtype=np.int64)
         group["offset"] = np.array(offsets, dtype=np.int64)
-        return group[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]].astype({"doc_id": "Int64"})
+        return group.drop(columns=["row", "group"])
 
-    # a group holds about group_pieces rows by construction, whatever the documents
+    # a group holds about group_pieces rows by construction, whatever the documents; a null id is set aside, as pandas would make all ids floats
     dealt = pieces.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups)))
-    return dealt.groupBy("group").applyInPandas(fill, f"{_PIECES}, sequence_id long, offset long")
+    dealt = dealt.withColumn("no_id", F.col("doc_id").isNull()).withColumn("doc_id", F.coalesce("doc_id", F.lit(0)))
+    columns = [*(c.split()[0] for c in _PIECES.split(", ")), "no_id", "row", "group"]
+    packed = dealt.select(columns).groupBy("group").applyInPandas(fill, f"{_PIECES}, no_id boolean, sequence_id long, offset long")
+    return packed.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
