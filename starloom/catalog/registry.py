@@ -43,7 +43,7 @@ class Workspace:
     @cached_property
     def root(self) -> str:
         root = scratch_path(self.spark, "warehouse")
-        run_pipeline(self.spark, self.raw, root, self.calendar_days)
+        run_pipeline(self.spark, self.raw, root, self.calendar_days, check=None)
         return root
 
     @cached_property

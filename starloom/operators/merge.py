@@ -3,7 +3,7 @@
 * Dimensions: a row whose natural key is stored is ignored, so keys and attributes never
   change; new rows are appended and nothing stored is rewritten.
 * Facts: a row whose natural key is stored changes the listed measures only; foreign keys and
-  the creation time stay. Only the periods that hold a changed row are rewritten.
+  the creation time stay. Only periods in which a measure really changes are rewritten; new rows are added beside the stored ones.
 """
 
 from __future__ import annotations
@@ -99,14 +99,22 @@ def merge_fact(draft: Draft, table: str, incoming: DataFrame) -> MergeCount:
         return MergeCount()
     staged = staged.select(*columns)
 
-    existing = draft.read(table)
-    touched: dict[int, int] = {}
+    matched = staged.limit(0).select(*keys)
+    periods: dict[int, tuple[int, int]] = {}
     if draft.holds(table):
-        # Periods with a stored row this load changes: at most one value per calendar period.
-        stored = existing.select(*keys, draft.store.period().alias("period")).join(staged.select(*keys), keys, "left_semi")
-        touched = {r["period"]: r["n"] for r in stored.groupBy("period").agg(F.count(F.lit(1)).alias("n")).collect()}
-    replaced = sorted(touched)
-    affected = draft.read(table, periods=replaced)
-    draft.replace_periods(table, combined(affected, staged, spec, draft.last_key(table) + 1), replaced)
-    updated = sum(touched.values())
+        # Stored rows the load meets again, and whether a measure differs: at most one result row per calendar period.
+        differs = F.lit(False)
+        for column in spec.update_columns:
+            differs = differs | ~F.col(f"old.{column}").eqNullSafe(F.col(f"new.{column}").cast(spec.schema[column].dataType))
+        old = draft.read(table).withColumn("_period", draft.period()).alias("old")
+        both = old.join(staged.alias("new"), [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
+        matched = draft.scratch.keep(both.select(*[F.col(f"old.{k}").alias(k) for k in keys], F.col("old._period").alias("period"), differs.alias("changed")), f"{table}_matched")
+        counts = matched.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.count_if("changed").alias("changed"))
+        periods = {r["period"]: (r["n"], r["changed"]) for r in counts.collect()}
+    updated = sum(n for n, _ in periods.values())
+    replaced = sorted(period for period, (_, changed) in periods.items() if changed)
+    if replaced or updated < distinct:
+        settled = matched.filter(~F.col("period").isin(replaced)).select(*keys) if periods else matched
+        fresh = staged.join(settled, keys, "left_anti").select(*columns)
+        draft.replace_periods(table, combined(draft.read(table, periods=replaced), fresh, spec, draft.last_key(table) + 1), replaced)
     return MergeCount(offered, distinct - updated, updated)

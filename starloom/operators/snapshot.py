@@ -1,15 +1,16 @@
 """Versioned tables on plain files with an all-or-nothing commit.
 
 A version is one small JSON file that lists, per table, the folders holding its rows and the
-largest surrogate key given so far. Data folders are written first and are never touched again; the version appears only when its
-JSON file is created, and creation fails if another writer took the number. Readers see the
-old version or the new one, never a mixture, and a failed load leaves the old one in place.
+largest surrogate key given so far. Data folders are written first and are never touched again; the version appears when its
+JSON file, written and closed under another name, is renamed to its own, which fails if another writer took the number. Readers see
+the old version or the new one, never a mixture or an unfinished file, and a failed load leaves the old one in place.
 """
 
 from __future__ import annotations
 
 import copy
 import json
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +22,7 @@ from starloom.session import Scratch
 
 _PART = "_period"
 GRAINS = {"year": 10000, "month": 100}
+_VERSION = re.compile(r"\d{8}\.json")
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
@@ -28,12 +30,25 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 
 class Store:
-    """A warehouse folder. Facts are laid out by purchase period so a reload rewrites few of them."""
+    """A warehouse folder. Facts are laid out by purchase period so a reload rewrites few of them.
 
-    def __init__(self, spark: SparkSession, root: str, grain: str = "year"):
+    The length of the periods, ``grain``, is chosen with the first version and stored in it: a year
+    unless given. One changed line rewrites its period, so months suit frequent small corrections. Another grain later is an error.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, grain: str | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.grain = grain
+        if grain is not None and grain not in GRAINS:
+            raise ValueError(f"grain {grain!r} is none of {', '.join(GRAINS)}")
+        self._grain = grain
+
+    def grain(self, manifest: dict) -> str:
+        """Stored grain of the warehouse, or the one it is about to get."""
+        known = manifest.get("grain")
+        if known and self._grain and known != self._grain:
+            raise ValueError(f"{self.root} is laid out by {known}, not by {self._grain}")
+        return known or self._grain or "year"
 
     # Version files -------------------------------------------------------------------
     def _fs(self, path: str):
@@ -44,7 +59,8 @@ class Store:
         path, fs = self._fs(f"{self.root}/_versions")
         if not fs.exists(path):
             return []
-        return sorted(int(s.getPath().getName().split(".")[0]) for s in fs.listStatus(path) if s.getPath().getName().endswith(".json"))
+        names = [status.getPath().getName() for status in fs.listStatus(path)]
+        return sorted(int(name.split(".")[0]) for name in names if _VERSION.fullmatch(name))
 
     def manifest(self, version: int | None = None) -> dict:
         """Folders of every table in ``version`` (the newest by default)."""
@@ -77,10 +93,9 @@ class Store:
 
     # Drafts --------------------------------------------------------------------------
     def draft(self) -> "Draft":
-        return Draft(self, copy.deepcopy(self.manifest()))
-
-    def period(self):
-        return (F.col("date_key") / GRAINS[self.grain]).cast("int")
+        manifest = copy.deepcopy(self.manifest())
+        manifest["grain"] = self.grain(manifest)
+        return Draft(self, manifest)
 
 
 class Draft:
@@ -96,6 +111,10 @@ class Draft:
     def read(self, table: str, periods: list[int] | None = None) -> DataFrame:
         return self.store.read(table, self.manifest, periods)
 
+    def period(self):
+        """Number of the period a row belongs to."""
+        return (F.col("date_key") / GRAINS[self.manifest["grain"]]).cast("int")
+
     def holds(self, table: str) -> bool:
         return bool(self.manifest["tables"].get(table))
 
@@ -133,7 +152,7 @@ class Draft:
         Spark balances the output files itself: a large period is split, small ones share a task.
         """
         path = self._folder_for(table)
-        placed = rows.withColumn(_PART, self.store.period()).hint("rebalance", F.col(_PART))
+        placed = rows.withColumn(_PART, self.period()).hint("rebalance", F.col(_PART))
         placed.write.partitionBy(_PART).parquet(f"{self.store.root}/{path}")
         hadoop_path, fs = self.store._fs(f"{self.store.root}/{path}")
         names = [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
@@ -152,11 +171,21 @@ class Draft:
         """Publish the draft; raises if somebody else published a version in the meantime."""
         version = self.base + 1
         self.manifest["version"] = version
-        path, fs = self.store._fs(f"{self.store.root}/_versions/{version:08d}.json")
+        jvm = self.store.spark._jvm
+        final, fs = self.store._fs(f"{self.store.root}/_versions/{version:08d}.json")
+        unfinished = jvm.org.apache.hadoop.fs.Path(f"{self.store.root}/_versions/.{version:08d}-{uuid.uuid4().hex}")
+        stream = fs.create(unfinished, False)
+        try:
+            stream.write(bytearray(json.dumps(self.manifest), "utf-8"))
+        finally:
+            stream.close()
+        files = jvm.org.apache.hadoop.fs.FileContext.getFileContext(final.toUri(), self.store.spark._jsc.hadoopConfiguration())
+        no_overwrite = self.store.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
         try:
-            stream = fs.create(path, False)
+            files.rename(files.makeQualified(unfinished), files.makeQualified(final), no_overwrite)
         except Exception as error:
+            fs.delete(unfinished, False)
+            if not fs.exists(final):
+                raise
             raise RuntimeError(f"version {version} was committed by another writer") from error
-        stream.write(bytearray(json.dumps(self.manifest), "utf-8"))
-        stream.close()
         return version

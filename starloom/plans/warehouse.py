@@ -9,10 +9,12 @@ from dataclasses import asdict
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starloom.operators import constraints
 from starloom.operators.merge import MergeCount, merge_dimension, merge_fact, ordering
 from starloom.operators.positions import with_surrogate_key
 from starloom.operators.snapshot import Draft, Store
 from starloom.plans import dimensions, facts
+from starloom.plans.quality import CheckSettings, run_gate
 from starloom.schemas import DIMENSIONS, POS, WAREHOUSE
 from starloom.sources import dates, seeds
 
@@ -76,18 +78,25 @@ def load(draft: Draft, raw: dict[str, DataFrame]) -> dict[str, MergeCount]:
     return counts | _together(lambda name, df: merge_fact(draft, name, df), build_facts(raw, delivered, keys))
 
 
+def publishable(tables: dict[str, DataFrame], settings: CheckSettings = CheckSettings()) -> None:
+    """Raise unless the tables keep every declared constraint and pass every check."""
+    constraints.enforce(tables)
+    run_gate(tables, settings)
+
+
 def run_pipeline(
     spark: SparkSession,
     raw: dict[str, DataFrame],
     root: str,
     days: DataFrame | None = None,
-    check=None,
-    grain: str = "year",
+    check: Callable[[dict[str, DataFrame]], object] | None = publishable,
+    grain: str | None = None,
 ) -> list[dict]:
     """Load a batch into the warehouse at ``root`` and publish it if the checks pass.
 
     ``check`` receives the tables of the draft and raises to refuse them; the stored version
-    then stays what it was. Returns one metrics row per stage.
+    then stays what it was. By default constraints and gate decide, for the default calendar;
+    None publishes unchecked. Returns one metrics row per stage.
     """
     store = Store(spark, root, grain)
     draft = store.draft()

@@ -1,4 +1,5 @@
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 from conftest import RAW_ROWS, make_raw, rows
 from starloom.operators.merge import MergeCount, merge_fact
 from starloom.operators.snapshot import Store
+from starloom.operators.constraints import ConstraintError
 from starloom.plans.warehouse import key_maps, run_pipeline, transform
 from starloom.schemas import FACTS, WAREHOUSE
 
@@ -22,7 +24,7 @@ def everything(store):
 
 
 def test_first_load(spark, raw, root):
-    metrics = run_pipeline(spark, raw, root)
+    metrics = run_pipeline(spark, raw, root, check=None)
     assert [m["stage"] for m in metrics] == ["seed", "load", "commit"]
     store = Store(spark, root)
     tables = store.tables()
@@ -40,9 +42,9 @@ def test_first_load(spark, raw, root):
 
 
 def test_same_batch_again_changes_nothing(spark, raw, root):
-    run_pipeline(spark, raw, root)
+    run_pipeline(spark, raw, root, check=None)
     before = everything(Store(spark, root))
-    metrics = run_pipeline(spark, raw, root)
+    metrics = run_pipeline(spark, raw, root, check=None)
     assert everything(Store(spark, root)) == before
     counts = metrics[1]["tables"]
     assert counts["fact_sales"] == {"offered": 8, "inserted": 0, "updated": 8}
@@ -50,7 +52,7 @@ def test_same_batch_again_changes_nothing(spark, raw, root):
 
 
 def test_changed_batch(spark, raw, root):
-    run_pipeline(spark, raw, root)
+    run_pipeline(spark, raw, root, check=None)
     store = Store(spark, root)
     before = {n: {r[0]: r for r in rows(df)} for n, df in store.tables().items()}
     changed = make_raw(
@@ -59,7 +61,7 @@ def test_changed_batch(spark, raw, root):
         order_items=[(o, i, p, "s2", "99.99", f) for o, i, p, s, price, f in RAW_ROWS["order_items"]],
         sellers=RAW_ROWS["sellers"] + [("s3", "sc", "joinville")],
     )
-    run_pipeline(spark, changed, root)
+    run_pipeline(spark, changed, root, check=None)
     tables = store.tables()
     # Stored attributes never change; new people and sellers get the next keys.
     for name in ("dim_customer", "dim_seller"):
@@ -78,19 +80,19 @@ def test_changed_batch(spark, raw, root):
 
 def test_last_duplicate_in_a_batch_wins(spark, root):
     raw = make_raw(spark, payments=[("o1", 1, "boleto", 1, "1.00"), ("o1", 1, "boleto", 4, "3.00"), ("o1", 1, "boleto", 2, "2.00")])
-    metrics = run_pipeline(spark, raw, root)
+    metrics = run_pipeline(spark, raw, root, check=None)
     assert metrics[1]["tables"]["fact_payments"] == {"offered": 3, "inserted": 1, "updated": 0}
     assert rows(Store(spark, root).read("fact_payments"), "payment_value", "payment_installments") == [(Decimal("2.00"), 2)]
 
 
 def test_first_duplicate_of_a_dimension_wins(spark, root):
     raw = make_raw(spark, sellers=[("s1", "aa", "first"), ("s1", "bb", "second"), ("s2", "cc", "other")])
-    run_pipeline(spark, raw, root)
+    run_pipeline(spark, raw, root, check=None)
     assert rows(Store(spark, root).read("dim_seller"), "seller_key", "seller_id", "seller_state") == [(1, "s1", "AA"), (2, "s2", "CC")]
 
 
 def test_empty_batch(spark, raw, root):
-    run_pipeline(spark, raw, root)
+    run_pipeline(spark, raw, root, check=None)
     store = Store(spark, root)
     draft = store.draft()
     empty = transform(raw)["fact_sales"].filter("1 = 0")
@@ -99,11 +101,11 @@ def test_empty_batch(spark, raw, root):
 
 
 def test_only_touched_periods_are_rewritten(spark, raw, root):
-    run_pipeline(spark, raw, root)
+    run_pipeline(spark, raw, root, check=None)
     store = Store(spark, root)
     first = store.manifest()["tables"]["fact_sales"]
     late = make_raw(spark, order_items=[("o6", 1, "p4", "s2", "1.23", "7.00"), ("o2", 9, "p1", "s1", "5.00", "0.00")])
-    run_pipeline(spark, late, root)
+    run_pipeline(spark, late, root, check=None)
     second = store.manifest()["tables"]["fact_sales"]
     # 2018 holds the changed line and moves; 2017 stays in the old folder and gains a line in the new one.
     assert first[0]["parts"] == [2017, 2018]
@@ -114,8 +116,8 @@ def test_only_touched_periods_are_rewritten(spark, raw, root):
 
 def test_month_layout_gives_the_same_rows(spark, raw, tmp_path):
     for grain in ("year", "month"):
-        run_pipeline(spark, raw, str(tmp_path / grain), grain=grain)
-        run_pipeline(spark, raw, str(tmp_path / grain), grain=grain)
+        run_pipeline(spark, raw, str(tmp_path / grain), grain=grain, check=None)
+        run_pipeline(spark, raw, str(tmp_path / grain), grain=grain, check=None)
     year, month = (Store(spark, str(tmp_path / g), g) for g in ("year", "month"))
     for fact in FACTS:
         columns = [c for c in WAREHOUSE[fact].schema.fieldNames() if c not in (WAREHOUSE[fact].key, "created_at")]
@@ -123,7 +125,7 @@ def test_month_layout_gives_the_same_rows(spark, raw, tmp_path):
 
 
 def test_refused_load_leaves_the_stored_version(spark, raw, root):
-    run_pipeline(spark, raw, root)
+    run_pipeline(spark, raw, root, check=None)
     before = everything(Store(spark, root))
 
     def refuse(tables):
@@ -136,7 +138,7 @@ def test_refused_load_leaves_the_stored_version(spark, raw, root):
 
 
 def test_two_writers_cannot_commit_the_same_version(spark, raw, root):
-    run_pipeline(spark, raw, root)
+    run_pipeline(spark, raw, root, check=None)
     store = Store(spark, root)
     one, two = store.draft(), store.draft()
     assert one.commit() == 2
@@ -145,8 +147,8 @@ def test_two_writers_cannot_commit_the_same_version(spark, raw, root):
 
 
 def test_old_version_stays_readable(spark, raw, root):
-    run_pipeline(spark, raw, root)
-    run_pipeline(spark, make_raw(spark, order_items=[("o1", 1, "p1", "s1", "77.00", "1.00")]), root)
+    run_pipeline(spark, raw, root, check=None)
+    run_pipeline(spark, make_raw(spark, order_items=[("o1", 1, "p1", "s1", "77.00", "1.00")]), root, check=None)
     store = Store(spark, root)
     price = lambda v: store.read("fact_sales", store.manifest(v)).filter("order_id = 'o1' and order_item_id = 1").first()["price"]
     assert (price(1), price(2)) == (Decimal("10.00"), Decimal("77.00"))
@@ -158,7 +160,7 @@ def test_hot_person_and_hot_order(spark, root):
     orders = [(f"o{i}", f"c{i}", "delivered", "2017-01-10 10:00:00", None, "2017-01-15 10:00:00", "2017-01-20 00:00:00") for i in range(n)]
     customers = [(f"c{i}", "hot" if i % 3 == 0 else f"u{i}", "sp", f"city {i}") for i in range(n)]
     items = [("o0" if i % 3 == 0 else f"o{i}", i, "p1" if i % 3 == 0 else "p4", "s1", "1.00", "0.10") for i in range(n)]
-    run_pipeline(spark, make_raw(spark, orders=orders, customers=customers, order_items=items), root)
+    run_pipeline(spark, make_raw(spark, orders=orders, customers=customers, order_items=items), root, check=None)
     tables = Store(spark, root).tables()
     assert tables["fact_sales"].count() == n
     assert tables["dim_customer"].count() == n - n // 3 + 1
@@ -166,3 +168,37 @@ def test_hot_person_and_hot_order(spark, root):
     per_person = tables["fact_sales"].groupBy("customer_key").count().orderBy(F.desc("count")).first()["count"]
     assert per_person == n // 3
     assert key_maps(tables)["customer"].count() == n - n // 3 + 1
+
+
+def test_same_load_again_moves_nothing(spark, raw, root):
+    run_pipeline(spark, raw, root, check=None)
+    before = Store(spark, root).manifest()["tables"]
+    metrics = run_pipeline(spark, raw, root, check=None)
+    assert Store(spark, root).manifest()["tables"] == before
+    assert next(m for m in metrics if m["stage"] == "load")["tables"]["fact_sales"]["updated"] > 0
+
+
+def test_another_grain_is_refused(spark, raw, root):
+    run_pipeline(spark, raw, root, check=None, grain="month")
+    with pytest.raises(ValueError, match="laid out by month"):
+        run_pipeline(spark, raw, root, check=None, grain="year")
+    assert Store(spark, root).versions() == [1]
+    run_pipeline(spark, raw, root, check=None)
+    assert Store(spark, root).manifest()["grain"] == "month"
+    with pytest.raises(ValueError, match="none of"):
+        Store(spark, root, "week")
+
+
+def test_unfinished_version_file_is_not_read(spark, raw, root):
+    run_pipeline(spark, raw, root, check=None)
+    (Path(root) / "_versions" / ".00000002-unfinished").write_text("")
+    store = Store(spark, root)
+    assert store.versions() == [1] and store.manifest()["version"] == 1
+    assert not [p for p in (Path(root) / "_versions").iterdir() if p.name.startswith(".0") and p.stat().st_size and not p.name.endswith(".crc")]
+
+
+def test_default_load_refuses_unknown_products(spark, root):
+    unknown = make_raw(spark, order_items=[("o1", 1, "nowhere", "s1", "10.00", "1.00")])
+    with pytest.raises(ConstraintError, match="product_key"):
+        run_pipeline(spark, unknown, root)
+    assert Store(spark, root).versions() == []
