@@ -63,6 +63,23 @@ def registered_columns(ws):
     return _union(parts)
 
 
+@query(
+    "SRC-02-orders",
+    "seller_id:s seller_state:s seller_city:s",
+    f"select seller_id, seller_state, seller_city from {relation('sellers')}",
+)
+def reordered_columns(ws):
+    """Two files of one table with their columns in different orders, each read by its own header."""
+    folder, names = scratch_path(ws.spark, "orders"), RAW_SCHEMAS["sellers"].fieldNames()
+    half = F.pmod(F.xxhash64("seller_id"), F.lit(2)) == 0
+    for n, (part, order) in enumerate([(half, names), (~half, names[::-1])]):
+        writer = ws.raw["sellers"].filter(part).select(order).coalesce(1).write.option("header", True).option("escape", '"')
+        writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        writer.csv(f"{folder}/{n}_sellers_dataset.csv")
+    found = files.locate(ws.spark, folder, {"sellers": files.FILE_PATTERNS["sellers"]})
+    return files.read_table(ws.spark, "sellers", found["sellers"])
+
+
 @query(
     "SRC-03",
     "table:s found:b rows:i",
@@ -348,3 +365,33 @@ def updated_measures(ws):
     )
     merge_fact(draft, "fact_order_experience", changed)
     return draft.read("fact_order_experience")
+
+
+# The warehouse as SQL views -------------------------------------------------------------
+VIEW_SQL = {
+    "SNK-09-sales": (
+        "year:i category:s revenue:d lines:i",
+        """select year, category_name_english as category, sum(price) as revenue, count(*) as lines
+        from {dw}fact_sales join {dw}dim_date using (date_key) join {dw}dim_product using (product_key) group by year, category_name_english""",
+    ),
+    "SNK-09-payments": (
+        "payment_type:s payments:i paid:d",
+        "select payment_type, count(*) as payments, sum(payment_value) as paid from {dw}fact_payments join {dw}dim_payment using (payment_key) group by payment_type",
+    ),
+    "SNK-09-experience": (
+        "review_score:n orders:i",
+        "select review_score, count(*) as orders from {dw}fact_order_experience group by review_score",
+    ),
+}
+
+
+def _register_view_query(name: str, columns_text: str, text: str) -> None:
+    def build(ws):
+        Store(ws.spark, ws.root).register_views()
+        return ws.spark.sql(text.format(dw="dw_"))
+
+    query(name, columns_text, text.format(dw=""))(build)
+
+
+for _name, (_columns, _text) in VIEW_SQL.items():
+    _register_view_query(_name, _columns, _text)

@@ -318,12 +318,13 @@ query(
     """select order_id, product_id, product_category_name_english as category, sum(review_score) as scores
     from named_items join raw_reviews using (order_id) group by order_id, product_id, product_category_name_english""",
 )(
-    lambda ws: ws.raw["order_items"].select("order_id", "product_id")
+    # Lines per order and product, scores per order: an order with many of both does not multiply.
+    lambda ws: ws.raw["order_items"].groupBy("order_id", "product_id").agg(rows().alias("lines"))
     .join(ws.raw["products"].select("product_id", "product_category_name"), "product_id")
     .join(ws.raw["category_translation"].drop(POS), "product_category_name", "left")
-    .join(ws.raw["reviews"].select("order_id", "review_score"), "order_id")
+    .join(ws.raw["reviews"].groupBy("order_id").agg(F.sum("review_score").alias("score")), "order_id")
     .groupBy("order_id", "product_id", F.col("product_category_name_english").alias("category"))
-    .agg(F.sum("review_score").alias("scores"))
+    .agg(F.sum(F.col("lines") * F.col("score")).alias("scores"))
 )
 
 # Aggregates ------------------------------------------------------------------------------

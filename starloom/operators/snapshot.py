@@ -91,6 +91,13 @@ class Store:
         manifest = manifest or self.manifest()
         return {name: self.read(name, manifest) for name in WAREHOUSE}
 
+    def register_views(self, prefix: str = "dw_", manifest: dict | None = None) -> list[str]:
+        """Temporary views ``dw_<table>`` of one version, for queries written as SQL; returns their names."""
+        tables = self.tables(manifest)
+        for name, df in tables.items():
+            df.createOrReplaceTempView(f"{prefix}{name}")
+        return [f"{prefix}{name}" for name in tables]
+
     # Drafts --------------------------------------------------------------------------
     def draft(self) -> "Draft":
         manifest = copy.deepcopy(self.manifest())

@@ -89,21 +89,24 @@ def rfm_base(dw: Tables) -> DataFrame:
     )
 
 
-def rfm_scores(dw: Tables) -> DataFrame:
-    """Scores 1..5 for recency (5 = most recent), frequency and spend.
+# Order of the tiles of each score: the longest recency comes first, which is the order of the last day.
+RFM_ORDERS = {"r_score": "last_day", "f_score": "frequency", "m_score": "monetary"}
+
+
+def rfm_scores(dw: Tables, wanted: tuple[str, ...] = tuple(RFM_ORDERS)) -> DataFrame:
+    """Scores 1..5 for recency (5 = most recent), frequency and spend, or those ``wanted``: each is a global sort.
 
-    The longest recency comes first in its tile order, which is the order of the last day.
     Ties are broken by customer key, so the scores are reproducible.
     """
-    scored = with_ntile(rfm_base(dw), SCORES, ["last_day", "customer_key"], "r_score")
-    scored = with_ntile(scored, SCORES, ["frequency", "customer_key"], "f_score")
-    scored = with_ntile(scored, SCORES, ["monetary", "customer_key"], "m_score")
+    scored = rfm_base(dw)
+    for score in wanted:
+        scored = with_ntile(scored, SCORES, [RFM_ORDERS[score], "customer_key"], score)
     snapshot = scored.agg(F.max("last_day")).scalar()
     return scored.withColumn("recency_days", F.datediff(snapshot, "last_day"))
 
 
 def rfm_segments(dw: Tables) -> DataFrame:
-    segments = rfm_scores(dw).groupBy(rfm_segment(F.col("r_score"), F.col("f_score")).alias("segment")).agg(
+    segments = rfm_scores(dw, ("r_score", "f_score")).groupBy(rfm_segment(F.col("r_score"), F.col("f_score")).alias("segment")).agg(
         F.count(F.lit(1)).alias("customer_count"),
         average(F.col("recency_days"), 0).alias("avg_recency_days"),
         average(F.col("frequency"), 2).alias("avg_frequency"),

@@ -51,25 +51,30 @@ def explore_table(name: str, df: DataFrame) -> dict[str, DataFrame]:
     return {
         "shape": overview({name: df}),
         "missing": null_counts(content),
-        "duplicates": surplus_rows(content),
+        "duplicates": surplus_by_hash(content),
         "sample": preview(df, [POS]).drop(POS),
     }
 
 
+def surplus_by_hash(df: DataFrame, name: str = "duplicates") -> DataFrame:
+    """Rows beyond the first of equal rows, as ``surplus_rows`` counts them, without a shuffle of whole rows.
+
+    Hashes are counted first; only rows whose hash occurs again are compared in full, so the count stays exact.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(*df.columns))
+    repeated = hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash")
+    return surplus_rows(hashed.join(repeated, "_hash", "left_semi").drop("_hash"), name=name)
+
+
 def quality_report(raw: Raw) -> DataFrame:
     """Rows, missing values, share of missing cells in percent and duplicate rows per table."""
     parts = []
     for name, df in raw.items():
         content = source_columns(name, df)
         width = len(content.columns)
-        # Counting equal rows first serves both figures: one shuffle, one scan.
-        groups = content.groupBy(*content.columns).agg(F.count(F.lit(1)).alias("_n"))
         empty_cells = reduce(lambda a, b: a + b, [F.col(c).isNull().cast("bigint") for c in content.columns])
-        one = groups.agg(
-            F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
-            F.coalesce(F.sum(empty_cells * F.col("_n")), F.lit(0)).alias("missing_values"),
-            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"),
-        )
+        one = content.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(empty_cells), F.lit(0)).alias("missing_values"))
+        one = one.withColumn("duplicates", surplus_by_hash(content).scalar())
         cells = F.nullif(F.col("rows") * width, F.lit(0)).cast("decimal(19,0)")
         share = F.round(F.col("missing_values").cast("decimal(19,0)") * F.lit(100).cast("decimal(3,0)") / cells, 2)
         parts.append(one.select(F.lit(name).alias("table"), "rows", "missing_values", share.alias("missing_pct"), "duplicates"))

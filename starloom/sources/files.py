@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,7 @@ FILE_PATTERNS: dict[str, str] = {
 
 _FILE_SHIFT = 1 << 36
 _ROW_MASK = (1 << 33) - 1
+_SURPLUS = "_surplus"
 
 
 def expand(spark: SparkSession, pattern: str) -> list[str]:
@@ -52,34 +56,54 @@ def locate(spark: SparkSession, folder: str, patterns: dict[str, str] | None = N
     return located
 
 
+def header_of(spark: SparkSession, file: str) -> tuple[str, ...]:
+    """Column names in the first line of a file; nothing else of it is read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).open(path)
+    try:
+        line = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+    finally:
+        stream.close()
+    return tuple(next(csv.reader([(line or "").removeprefix("\ufeff")]), ()))
+
+
+def _checked_header(name: str, file: str, header: tuple[str, ...]) -> tuple[str, ...]:
+    """The header, if every registered column is in it once."""
+    for column in RAW_SCHEMAS[name].fieldNames():
+        if header.count(column) != 1:
+            raise ValueError(f"{name}: {file} has {'no' if column not in header else 'more than one'} column {column}")
+    return header
+
+
 def read_table(spark: SparkSession, name: str, files: list[str]) -> DataFrame:
     """One raw table with declared types, missing-value texts as null and its file order.
 
-    Quoted fields may hold line breaks, so a file cannot be split; many files still read in
+    Files may order their columns as they like: each is read by the names in its own header, and a file that lacks
+    a registered column is an error before any row is read. A row with more fields than the header is an error when it is read; missing
+    fields at its end are null. Quoted fields may hold line breaks, so a file cannot be split; many files still read in
     parallel. ``_ingest_pos`` ranks rows by file name, then by place in the file.
     """
     schema = RAW_SCHEMAS[name]
-    # Two passes over the header would be needed to learn the columns, so names come from it
-    # and only the ones the warehouse uses are kept. All fields are text until cleaned.
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("inferSchema", False)
-    text = reader.csv(files)
-    file_row = F.monotonically_increasing_id()
-    if len(files) == 1:
-        text = text.withColumn(POS, file_row)
-    else:
-        ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _ordinal bigint")
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        by_header.setdefault(_checked_header(name, file, header_of(spark, file)), []).append(file)
+    ordinals = spark.createDataFrame([(f, i) for i, f in enumerate(files)], "_file string, _ordinal bigint")
+    parts = []
+    for header, own in by_header.items():
+        used = set(schema.fieldNames())
+        names = [column if column in used else f"_unused{k}" for k, column in enumerate(header)] + [_SURPLUS]
+        # All fields are text until cleaned. The last column takes what a row has beyond the header.
+        reader = spark.read.schema(", ".join(f"`{column}` string" for column in names))
+        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
         decoded = F.url_decode(F.regexp_replace(F.col("_metadata.file_path"), r"\+", "%2B"))
-        text = (
-            text.withColumn("_file", F.regexp_replace(decoded, "^file:/+", "file:/"))
-            .withColumn("_row", file_row.bitwiseAND(F.lit(_ROW_MASK)))
-            .join(ordinals, "_file", "left")
-            .withColumn(POS, F.col("_ordinal") * _FILE_SHIFT + F.col("_row"))
-        )
-    columns = [
-        na_to_null(F.col(f.name)).cast(f.dataType).alias(f.name) if f.name in text.columns else F.lit(None).cast(f.dataType).alias(f.name)
-        for f in schema.fields
-    ]
-    return text.select(*columns, POS)
+        text = reader.csv(own).withColumn("_file", F.regexp_replace(decoded, "^file:/+", "file:/"))
+        text = text.withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_MASK)))
+        message = F.concat(F.lit(f"{name}: a row has more than {len(header)} fields in "), F.col("_file"), F.lit(": "), F.col(_SURPLUS))
+        text = text.filter(F.when(F.col(_SURPLUS).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+        position = F.coalesce(F.col("_ordinal"), F.raise_error(F.concat(F.lit(f"{name}: no place for "), F.col("_file"))).cast("bigint")) * _FILE_SHIFT + F.col("_row")
+        text = text.join(ordinals, "_file", "left").withColumn(POS, position)
+        parts.append(text.select(*[na_to_null(F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields], POS))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def extract(spark: SparkSession, folder: str, patterns: dict[str, str] | None = None) -> dict[str, DataFrame]:

@@ -85,3 +85,31 @@ def test_ingest_reports_rows_and_columns(spark, folder, tmp_path):
     assert report["reviews"] == {"rows": 2, "columns": 4}
     assert report["products"] == {"rows": 2, "columns": 6}
     assert rows(stored["orders"]) == rows(raw["orders"])
+
+
+def test_surplus_field_raises_with_file(spark, folder):
+    (folder / "shop_sellers_dataset.csv").write_text("seller_id,seller_city,seller_state\ns1,sao paulo, centro,SP\n")
+    with pytest.raises(Exception, match="sellers: a row has more than 3 fields in .*shop_sellers_dataset.csv"):
+        files.extract(spark, str(folder))["sellers"].select("seller_id").collect()
+
+
+def test_short_rows_are_null_at_their_end(spark, folder):
+    (folder / "shop_sellers_dataset.csv").write_text("seller_id,seller_city,seller_state\ns1,santos\n")
+    assert rows(files.extract(spark, str(folder))["sellers"], "seller_id", "seller_city", "seller_state") == [("s1", "santos", None)]
+
+
+@pytest.mark.parametrize("header, says", [("order_id,score", "no column review_score"), ("order_id,order_id,review_score,review_comment_title,review_comment_message", "more than one column order_id")])
+def test_header_without_a_registered_column_raises(spark, folder, header, says):
+    (folder / "shop_order_reviews_dataset.csv").write_text(header + "\nr1,o1\n")
+    with pytest.raises(ValueError, match=f"reviews: .*shop_order_reviews_dataset.csv has {says}"):
+        files.extract(spark, str(folder))
+
+
+def test_files_of_different_column_order_are_read_by_name(spark, folder):
+    (folder / "shop_sellers_dataset.csv").unlink()
+    parts = folder / "shop_sellers_dataset.csv"
+    parts.mkdir()
+    (parts / "a.csv").write_text("seller_id,seller_city,seller_state\ns1,campinas,SP\n")
+    (parts / "b.csv").write_text("seller_state,extra,seller_id,seller_city\nRJ,x,s2,rio\n")
+    sellers = files.extract(spark, str(folder))["sellers"].orderBy(POS)
+    assert [tuple(r) for r in sellers.select("seller_id", "seller_state", "seller_city").collect()] == [("s1", "SP", "campinas"), ("s2", "RJ", "rio")]
