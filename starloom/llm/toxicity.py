@@ -38,7 +38,7 @@ _IS_LETTER = np.zeros(256, dtype=bool)
 _IS_LETTER[ord("a") : ord("z") + 1] = True
 _IS_LETTER[0x80:] = True
 _ALIKE = np.arange(256, dtype=np.uint8)
-_ALIKE[[ord(c) for c in "0134578@$!|+"]] = [ord(c) for c in "oieastbasilt"]
+_ALIKE[[ord(c) for c in "0134578@$|+"]] = [ord(c) for c in "oieastbaslt"]
 _CAPITAL = np.zeros(256, dtype=bool)
 _CAPITAL[ord("A") : ord("Z") + 1] = True
 _MARKS = {name: np.isin(np.arange(256), [ord(c) for c in chars]) for name, chars in {"shout": "!", "ask": "?", "stop": ".,;:", "symbol": "#*$%&|<>@^~_", "digit": "0123456789"}.items()}
