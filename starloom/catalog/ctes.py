@@ -69,8 +69,7 @@ CTES: dict[str, str] = {
         from orders""",
     "raw_order_items": """
         select concat('o', l_orderkey) as order_id,
-            cast('0x' || substr(md5(concat_ws('|', l_linenumber, l_partkey, l_suppkey,
-                cast(l_extendedprice as decimal(10,2)), cast(l_tax as decimal(4,2)))), 1, 12) as bigint) as order_item_id,
+            row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_tax) as order_item_id,
             concat('p', l_partkey) as product_id, concat('s', l_suppkey) as seller_id,
             cast(l_extendedprice as decimal(10,2)) as price,
             cast(cast(l_extendedprice as decimal(10,2)) * cast(l_tax as decimal(4,2)) as decimal(10,2)) as freight_value,

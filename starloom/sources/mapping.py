@@ -38,11 +38,10 @@ RULES: dict[str, tuple[str, dict[str, str]]] = {
         },
     ),
     "order_items": (
-        "{lineitem}",
+        "(select *, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_tax) as item from {lineitem})",
         {
             "order_id": "concat('o', l_orderkey)",
-            "order_item_id": "cast(conv(substr(md5(concat_ws('|', l_linenumber, l_partkey, l_suppkey, "
-            "cast(l_extendedprice as decimal(10,2)), cast(l_tax as decimal(4,2)))), 1, 12), 16, 10) as bigint)",
+            "order_item_id": "cast(item as bigint)",
             "product_id": "concat('p', l_partkey)",
             "seller_id": "concat('s', l_suppkey)",
             "price": "cast(l_extendedprice as decimal(10,2))",
