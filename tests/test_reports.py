@@ -212,3 +212,19 @@ def test_profiles(spark, raw):
 def test_empty_warehouse(spark, report):
     result = report(warehouse(spark)).collect()
     assert all(not v for r in result for v in r)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().toString()
+
+
+def test_distinct_counts_by_state_do_not_multiply_rows(spark):
+    assert "Expand" not in plan_of(revenue.revenue_by_state(warehouse(spark)))
+
+
+def test_duplicates_are_compared_in_full_only_where_hashes_repeat(spark):
+    raw = make_raw(spark)["reviews"]
+    twice = raw.unionByName(raw.limit(1))
+    content = profiling.source_columns("reviews", twice)
+    assert rows(profiling.surplus_by_hash(content), "duplicates") == [(1,)]
+    assert "xxhash64" in plan_of(profiling.surplus_by_hash(content))
