@@ -169,15 +169,12 @@ def _compare(kind: str, shapes: dict[int, Hashes], cosine: float):
 
         def close(self) -> None:
             """All members are there."""
-            self.node, self.size = (np.concatenate([r[k] for r in self.rows]) for k in (0, 1))
-            self.unit = np.concatenate([r[2] for r in self.rows])
-            self.codes = shapes[self.key[1]].buckets(self.unit)
+            self.node, self.size, self.unit, self.codes = (np.concatenate([r[k] for r in self.rows]) for k in range(4))
             self.links = np.zeros(len(self.node), dtype=np.int64)
             self.ready = True
 
-        def meet(self, node: np.ndarray, size: np.ndarray, member: np.ndarray, unit: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def meet(self, node: np.ndarray, size: np.ndarray, unit: np.ndarray, codes: np.ndarray, member: np.ndarray) -> Iterator[pa.RecordBatch]:
             table = self.key[0]
-            codes = shapes[self.key[1]].buckets(unit)
             q, m = np.nonzero(unit @ self.unit.T >= cosine)
             one, two = node[q], self.node[m]
             own = np.where(member[q], one > two, (two < one) | ~(self.codes[m, table] == codes[q, table, :1]).any(axis=1))
@@ -201,6 +198,12 @@ def _compare(kind: str, shapes: dict[int, Hashes], cosine: float):
         for batch in batches:
             keys = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(4)], axis=1)
             query, node, size, member = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4, 8))
+            place, hashed = np.zeros(len(batch), dtype=np.int64), {}
+            for width in np.unique(keys[:, 1]).tolist():
+                at = np.flatnonzero(keys[:, 1] == width)
+                place[at] = np.arange(len(at))
+                unit = _units(batch.column(8).take(pa.array(at)), kind, width)
+                hashed[width] = unit, shapes[width].buckets(unit)
             change = np.flatnonzero(np.concatenate(([True], (keys[1:] != keys[:-1]).any(axis=1) | (query[1:] != query[:-1]))))
             for a, b in zip(change.tolist(), [*change[1:].tolist(), len(batch)], strict=True):
                 if b <= a:
@@ -210,15 +213,16 @@ def _compare(kind: str, shapes: dict[int, Hashes], cosine: float):
                     if group:
                         yield from group.end()
                     group = Group(key)
+                unit, codes = hashed[key[1]]
                 for i in range(a, b, _QUERIES):
                     j = min(b, i + _QUERIES)
-                    unit = _units(batch.column(8)[i:j], kind, key[1])
+                    rows = node[i:j], size[i:j], unit[place[i] : place[i] + j - i], codes[place[i] : place[i] + j - i]
                     if not query[a]:
-                        group.rows.append((node[i:j], size[i:j], unit))
-                    elif group.rows:
+                        group.rows.append(rows)
+                    elif group.rows and not (len(group.rows) == 1 and len(group.rows[0][0]) == 1 == j - i and node[i] == group.rows[0][0][0]):
                         if not group.ready:
                             group.close()
-                        yield from group.meet(node[i:j], size[i:j], member[i:j], unit)
+                        yield from group.meet(*rows, member[i:j])
         if group:
             yield from group.end()
 
