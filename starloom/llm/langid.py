@@ -12,7 +12,6 @@ and forward-backward runs over blocks of words side by side, exactly, with messa
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -22,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.words import slices, string_buffers
+from starloom.llm.words import ranges_hash, slices, string_buffers
 
 UNKNOWN = "und"
 #: The model is fitted on so many labelled documents at most, all languages together, and on so many words of each.
@@ -32,32 +31,38 @@ _BUCKETS = 1 << 16
 _BLOCK = 64
 _CHAIN = 32
 _CACHED_WORDS = 200_000
-_LONGEST_WORD = 32
-_LETTER = re.compile(r"[^\W\d_]")
 _EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
 
 
+def letters_of(word: str) -> str:
+    """A word without what surrounds its letters; empty if it has none."""
+    return word if word.isalpha() else _EDGES.sub("", word)
+
+
 def split_words(text: str) -> list[str]:
-    """Lower-case words without what surrounds their letters; runs without a letter are left out, long ones are cut up."""
-    words = []
-    for word in text.lower().split():
-        if not word.isalpha():
-            word = _EDGES.sub("", word)
-            if not word:
-                continue
-        if len(word) > _LONGEST_WORD:
-            words += [x for i in range(0, len(word), _LONGEST_WORD) if _LETTER.search(x := word[i : i + _LONGEST_WORD])]
-        else:
-            words.append(word)
-    return words
-
-
-def _features(word: str) -> list[int]:
-    marked = f"<{word}>"
-    names = [f"w{word}"]
-    names += [f"p{word[:k]}" for k in (1, 2, 3)] + [f"s{word[-k:]}" for k in (1, 2, 3)]
-    names += [marked[i : i + k] for k in (2, 3, 4) for i in range(len(marked) - k + 1)]
-    return [zlib.crc32(name.encode()) % _BUCKETS for name in names]
+    """Lower-case words that hold a letter."""
+    return [x for word in text.lower().split() if (x := letters_of(word))]
+
+
+#: Lengths in bytes of n-grams, taken over the word between two marks, and of longer beginnings and ends.
+_GRAMS = (2, 3, 4)
+_AFFIX = 6
+
+
+def word_features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """``owner, bucket`` of the features of words: the word, its beginnings and ends, and its n-grams, hashed into buckets."""
+    raw = [f"<{word}>".encode() for word in words]
+    data = np.frombuffer(b"".join(raw), dtype=np.uint8)
+    ends = np.cumsum([len(x) for x in raw])
+    starts = ends - [len(x) for x in raw]
+    own = np.arange(len(words))
+    parts = [(own, starts, ends), (own, starts, np.minimum(ends, starts + _AFFIX)), (own, np.maximum(starts, ends - _AFFIX), ends)]
+    of_byte = np.repeat(own, ends - starts)
+    for n in _GRAMS:
+        at = np.flatnonzero(np.arange(len(data)) + n <= ends[of_byte])
+        parts.append((of_byte[at], at, at + n))
+    buckets = [(ranges_hash(data, a, b) + np.uint64(kind)) % np.uint64(_BUCKETS) for kind, (_, a, b) in enumerate(parts)]
+    return np.concatenate([p[0] for p in parts]), np.concatenate(buckets).astype(np.int64)
 
 
 @dataclass
@@ -71,23 +76,30 @@ class Chain:
     rows: dict[str, int] = field(default_factory=dict)
     scores: np.ndarray | None = None
 
-    def features(self, word: str) -> list[int]:
-        home = self.lexicon.get(word)
-        return _features(word) if home is None else [*_features(word), _BUCKETS + home]
+    def features(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        owner, bucket = word_features(words)
+        homes = [(i, _BUCKETS + self.lexicon[word]) for i, word in enumerate(words) if word in self.lexicon]
+        extra = np.array(homes, dtype=np.int64).reshape(-1, 2)
+        return np.concatenate((owner, extra[:, 0])), np.concatenate((bucket, extra[:, 1]))
 
-    def emissions(self, words: list[str]) -> np.ndarray:
-        """Scores of words, by way of a table of bounded size."""
+    def emissions(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores of the words that hold a letter, and which these are, by way of a table of bounded size."""
         if self.scores is None or len(self.rows) > _CACHED_WORDS:
             self.rows, self.scores = {}, np.zeros((0, len(self.languages)), dtype=np.float32)
         rows = self.rows
         new = [word for word in dict.fromkeys(words) if word not in rows]
-        if new:
-            found = [self.features(word) for word in new]
-            heads = np.cumsum([0] + [len(x) for x in found[:-1]])
-            added = np.add.reduceat(self.weights[np.concatenate([np.array(x) for x in found])], heads, axis=0)
-            rows.update(zip(new, range(len(self.scores), len(self.scores) + len(new)), strict=True))
+        clean = [letters_of(word) for word in new]
+        full = [word for word in clean if word]
+        if full:
+            owner, bucket = self.features(full)
+            added = np.stack([np.bincount(owner, self.weights[bucket, j], len(full)) for j in range(len(self.languages))], axis=1)
             self.scores = np.concatenate((self.scores, added.astype(np.float32)))
-        return self.scores[[rows[word] for word in words]]
+        at = len(self.scores) - len(full)
+        for word, letters in zip(new, clean, strict=True):
+            rows[word] = at if letters else -1
+            at += bool(letters)
+        places = np.array(list(map(rows.__getitem__, words)), dtype=np.int64)
+        return self.scores[places[places >= 0]], places >= 0
 
 
 def _normal(x: np.ndarray) -> np.ndarray:
@@ -119,7 +131,7 @@ def marginals(chain: Chain, scores: np.ndarray, sizes: np.ndarray) -> np.ndarray
 
     product = np.broadcast_to(np.eye(k), (total, k, k)).copy()
     for t in range(_BLOCK):
-        more = (product @ move) * emit[:, t, None, :]
+        more = (product.reshape(-1, k) @ move).reshape(total, k, k) * emit[:, t, None, :]
         product = np.where(used[:, t, None, None], more / more.sum(axis=(1, 2), keepdims=True), product)
     ahead, behind = np.full((total, k), 1.0 / k), np.full((total, k), 1.0 / k)
     for b in range(1, int(blocks.max())):
@@ -155,14 +167,12 @@ def fit(samples: list[tuple[str, list[str]]], steps: int = 120, seed: int = 7) -
 
     rng = np.random.default_rng(seed)
     vocabulary = {word: i for i, word in enumerate(seen)}
-    found = [chain.features(word) for word in vocabulary]
-    owner = np.repeat(np.arange(len(found)), [len(x) for x in found])
-    bucket = np.concatenate([np.array(x) for x in found])
+    owner, bucket = chain.features(list(vocabulary))
     by_language = [[np.array([vocabulary[w] for w in words]) for language, words in samples if number[language] == i] for i in range(k)]
     squares, step_squares = np.full_like(chain.weights, 1e-3), np.full((k, k), 1e-3)
     for _ in range(steps):
         words, labels = _switched_chains(rng, by_language, 256)
-        table = np.stack([np.bincount(owner, chain.weights[bucket, j], len(found)) for j in range(k)], axis=1)
+        table = np.stack([np.bincount(owner, chain.weights[bucket, j], len(vocabulary)) for j in range(k)], axis=1)
         emit, move = _potentials(table[words]), np.exp(chain.steps)
         ahead, behind = np.empty_like(emit), np.empty_like(emit)
         ahead[:, 0] = _normal(np.full((len(words), k), 1.0 / k) @ move * emit[:, 0])
@@ -174,7 +184,7 @@ def fit(samples: list[tuple[str, list[str]]], steps: int = 120, seed: int = 7) -
         pairs = ahead[:, :-1, :, None] * move * (emit * behind)[:, 1:, None, :]
         pairs /= pairs.sum(axis=(2, 3), keepdims=True)
         error = np.eye(k)[labels] - marginal
-        by_word = np.stack([np.bincount(words.ravel(), error[..., j].ravel(), len(found)) for j in range(k)], axis=1) / len(words)
+        by_word = np.stack([np.bincount(words.ravel(), error[..., j].ravel(), len(vocabulary)) for j in range(k)], axis=1) / len(words)
         slope = np.stack([np.bincount(bucket, by_word[owner, j], len(chain.weights)) for j in range(k)], axis=1) - 1e-6 * chain.weights
         squares += slope * slope
         chain.weights += 0.3 * slope / np.sqrt(squares)
@@ -239,12 +249,14 @@ def _label(shared):
             texts = batch.column(1)
             _, bounds = string_buffers(texts)
             for first, last in slices(bounds):
-                words = [split_words(text) if text else [] for text in texts[first:last].to_pylist()]
-                sizes = np.array([len(w) for w in words])
+                words = [text.lower().split() if text else [] for text in texts[first:last].to_pylist()]
+                owner = np.repeat(np.arange(last - first), [len(w) for w in words])
+                scores, kept = chain.emissions([w for text in words for w in text])
+                sizes = np.bincount(owner[kept], minlength=last - first)
                 best, share = np.full(last - first, -1), np.zeros(last - first)
                 full = np.flatnonzero(sizes)
                 if len(full) and chain.languages:
-                    found = marginals(chain, chain.emissions([w for text in words for w in text]), sizes[full])
+                    found = marginals(chain, scores, sizes[full])
                     sums = np.add.reduceat(found, np.cumsum(sizes[full]) - sizes[full], axis=0) / sizes[full][:, None]
                     best[full], share[full] = sums.argmax(axis=1), np.clip(sums.max(axis=1), 0, 1)
                 names = [chain.languages[i] if i >= 0 else UNKNOWN for i in best.tolist()]
