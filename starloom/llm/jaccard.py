@@ -8,9 +8,11 @@ order at once, so the join takes one order to find pairs and the others to rule
    counters of fixed size over all documents; a wrong estimate changes the order, which stays one for all, not the result.
 2. Equal sets collapse to one node. Nodes that share a prefix token of the first order are linked by way of the smallest
    of them, not all pairs: candidates are (smallest, other).
-3. Candidates whose sizes or whose prefixes under the other orders rule them out go; the rest is verified on whole sets.
-4. Verified links make components. Where a token still joins nodes of several components, their pairs are candidates
-   too, go through 3, and join the components. A pair left out is inside one component already, so none is missed.
+3. Candidates whose sizes or whose prefixes under the other orders rule them out go; these prefixes are longer, and a pair has to share
+   several of their tokens. The rest is verified on whole sets.
+4. Verified links make components. Where a token still joins several components, their nodes are candidates too: those of the
+   smaller component go through 3 against all of the larger one, in blocks inside tasks, and links join the
+   components. A pair left out is inside one component already, so no link between components is missed.
 """
 
 from __future__ import annotations
@@ -120,8 +122,7 @@ def _prefixes(counters, percent: int):
                 nodes.append(node)
                 sizes.append(len(shingles))
                 prefixes.append(shingles[np.lexsort((shingles, estimate))[:size]].view(np.int64))
-                # sixteen bits of each token: a pair that shares none of them shares no token
-                others.append([np.partition(mix(shingles ^ np.uint64(seed)), size - 1)[:size].astype("<u2").tobytes() for seed in _OTHER_ORDERS])
+                others.append(_other_prefixes(shingles, percent))
             if nodes:
                 lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(p) for p in prefixes]), pa.int32()), pa.array(np.concatenate(prefixes)))
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), lists, pa.array(others, pa.list_(pa.binary()))], names=["h1", "n", "prefix", "others"])
@@ -129,25 +130,53 @@ def _prefixes(counters, percent: int):
     return scan
 
 
-@F.pandas_udf(T.BooleanType())
-def _share_all(left: pd.Series, right: pd.Series) -> pd.Series:
-    """Whether the prefixes share a token under each of the other orders."""
-    table = np.zeros(1 << 16, dtype=bool)
+_SIZED_SETS = "h1 long, tokens binary"
 
-    def share(a: bytes, b: bytes) -> bool:
-        a = np.frombuffer(a, dtype="<u2")
-        table[a] = True
-        hit = bool(table[np.frombuffer(b, dtype="<u2")].any())
-        table[a] = False
-        return hit
 
-    return pd.Series([all(map(share, a, b)) for a, b in zip(left, right, strict=True)], dtype=bool)
+def _least_shared(n: int) -> int:
+    return n // 10 + 1
+
+
+def _other_prefixes(shingles: np.ndarray, percent: int) -> list[bytes]:
+    """Prefixes under the other orders, in order, sixteen bits of each token. They are longer than needed to share one token: the
+    l smallest common tokens of a pair are among the first n - ceil(t n) + l of either set."""
+    size = min(len(shingles), _prefix_size(len(shingles), percent) + _least_shared(len(shingles)) - 1)
+    return [np.sort(mix(shingles ^ np.uint64(seed)))[:size].astype("<u2").tobytes() for seed in _OTHER_ORDERS]
+
+
+class _Filter:
+    """Whether a pair can reach the threshold, by sizes and by tokens shared in its prefixes under each of the other orders."""
+
+    def __init__(self, percent: int):
+        self.percent, self.table = percent, np.zeros(1 << 16, dtype=bool)
+
+    def __call__(self, n_a: int, a: list[bytes], n_b: int, b: list[bytes]) -> bool:
+        if 100 * min(n_a, n_b) < self.percent * max(n_a, n_b):
+            return False
+        least = _least_shared(min(n_a, n_b))
+        size_a, size_b = (_prefix_size(n, self.percent) + least - 1 for n in (n_a, n_b))
+        return all(self._shared(x, size_a, y, size_b) >= least for x, y in zip(a, b, strict=True))
+
+    def _shared(self, a: bytes, size_a: int, b: bytes, size_b: int) -> int:
+        own = np.frombuffer(a, dtype="<u2")[:size_a]
+        self.table[own] = True
+        count = int(self.table[np.frombuffer(b, dtype="<u2")[:size_b]].sum())
+        self.table[own] = False
+        return count
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(_digest(s)[0], s.astype("<u8").tobytes()) for _, s in shingle_sets(batch.column(0)) if len(s)]
-        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())], names=["h1", "tokens"])
+        sets = [s for _, s in shingle_sets(batch.column(0)) if len(s)]
+        yield pa.RecordBatch.from_arrays([pa.array([_digest(s)[0] for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())], names=["h1", "tokens"])
+
+
+def _possible(percent: int):
+    @F.pandas_udf(T.BooleanType())
+    def check(n_a: pd.Series, a: pd.Series, n_b: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series(list(map(_Filter(percent), n_a, a, n_b, b)), dtype=bool)
+
+    return check
 
 
 def _similar(percent: int):
@@ -164,6 +193,123 @@ def _similar(percent: int):
     return check
 
 
+#: Prefixes a task holds to filter pairs of one ``lo``; pairs without them pass, so the bound costs time, not links.
+_HELD = 100_000
+
+
+def _label_pairs(percent: int):
+    """Pairs of labels that share a token and that the filter lets pass.
+
+    Rows ``lo, is_token, token, label, n, others`` come sorted: for each ``lo`` the labels of single nodes with their prefixes, then its tokens.
+    Pairs of one ``lo`` are given once, as long as they fit.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        possible = _Filter(percent)
+        now, labels, found, held = None, [], [], {}
+
+        def passes(a: int, b: int) -> bool:
+            one, two = held.get(a), held.get(b)
+            return one is None or two is None or possible(*one, *two)
+
+        def out() -> Iterator[pa.RecordBatch]:
+            pairs = [pair for pair in np.unique(np.concatenate(found), axis=0).tolist() if passes(*pair)]
+            for i in range(0, len(pairs), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array([pair[k] for pair in pairs[i : i + 10_000]], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        def give() -> None:
+            """Each label with all after it."""
+            values = np.array(labels, dtype=np.int64)
+            for i in range(len(values) - 1):
+                found.append(np.stack((np.full(len(values) - 1 - i, values[i]), values[i + 1 :]), axis=1))
+
+        for batch in batches:
+            for lo, is_token, token, label, n, others in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if now is None or now[0] != lo or is_token and now[1] != token:
+                    give()
+                    if found and (now[0] != lo or sum(map(len, found)) > 1_000_000):
+                        yield from out()
+                        found = []
+                    if now is None or now[0] != lo:
+                        held.clear()
+                    now, labels = (lo, token), []
+                if is_token:
+                    labels.append(label)
+                elif len(held) < _HELD:
+                    held[label] = n, others
+        give()
+        if found:
+            yield from out()
+
+    return scan
+
+
+#: Members of one component that a task compares queries with at a time.
+_BLOCK = 256
+
+
+class _Block:
+    """Sets of some members; counts what a query shares with each of them."""
+
+    def __init__(self, members: list[bytes], kind: str):
+        values = [np.frombuffer(m, dtype=kind) for m in members]
+        self.sizes = np.array([len(v) for v in values])
+        tokens, owners = np.concatenate(values), np.repeat(np.arange(len(values)), self.sizes)
+        order = np.argsort(tokens, kind="stable")
+        self.tokens, self.owners = tokens[order], owners[order]
+
+    def common(self, query: np.ndarray) -> np.ndarray:
+        first, last = np.searchsorted(self.tokens, query, "left"), np.searchsorted(self.tokens, query, "right")
+        counts = last - first
+        at = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        return np.bincount(self.owners[at], minlength=len(self.sizes))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], members_of, compare) -> Iterator[tuple]:
+    """Results of ``compare(members, query row)`` for rows ``target, block, query, ...`` that come sorted: the members of a block, then the queries against it."""
+    now, rows, members = None, [], None
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if now != row[:2]:
+                now, rows, members = row[:2], [], None
+            if not row[2]:
+                rows.append(row)
+            elif rows:
+                members = members_of(rows) if members is None else members
+                if compare(members, row):
+                    yield row
+
+
+def _named(rows: list[tuple], names: list[str], at: tuple[int, ...]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row[k] for row in rows], pa.int32() if name == "block" else pa.int64()) for name, k in zip(names, at, strict=True)], names=names)
+
+
+def _can_meet(percent: int):
+    """Queries that the filter lets meet a member of the block. Rows ``target, block, query, label, node, n, others``."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        possible = _Filter(percent)
+        found = _blocks(batches, lambda rows: rows, lambda members, q: any(possible(m[5], m[6], q[5], q[6]) for m in members))
+        yield _named(list(found), ["target", "block", "label", "node"], (0, 1, 3, 4))
+
+    return scan
+
+
+def _meet(percent: int):
+    """Links between labels. Rows ``target, block, query, label, tokens``."""
+
+    def linked(members: _Block, row: tuple) -> bool:
+        query = np.frombuffer(row[4], dtype="<u8")
+        common = members.common(query)
+        return bool((100 * common >= percent * (members.sizes + len(query) - common)).any())
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _blocks(batches, lambda rows: _Block([row[4] for row in rows], "<u8"), linked)
+        yield _named(list(found), ["a", "b"], (3, 0))
+
+    return scan
+
+
 class _Join:
     def __init__(self, docs: DataFrame, percent: int):
         self.percent = percent
@@ -182,42 +328,70 @@ class _Join:
         rows = rows.withColumn("least", F.min("node").over(group)).withColumn("most", F.max("node").over(group))
         return stored(rows.where("least <> most").select("token", "node", "least").distinct(), "postings")
 
+    def known(self, nodes: DataFrame) -> DataFrame:
+        """``h1, n, others`` of the given nodes."""
+        return only_ids(self.prefixes.select("h1", "n", "others"), nodes, "h1").dropDuplicates(["h1"])
+
+    def whole(self, nodes: DataFrame) -> DataFrame:
+        """``h1, tokens`` of the given nodes, made from their texts again: sets are too large to keep all of them."""
+        ids = self.nodes.join(nodes, "h1", "left_semi").select("doc_id")
+        return only_ids(self.docs, ids).select("text").mapInArrow(_whole_sets, _SIZED_SETS).dropDuplicates(["h1"])
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` of nodes whose sets reach the threshold."""
-        ends = pairs.select(F.col("a").alias("h1")).unionByName(pairs.select(F.col("b").alias("h1"))).distinct()
-        known = only_ids(self.prefixes.select("h1", "n", "others"), ends, "h1").dropDuplicates(["h1"])
+        ends = lambda rows: rows.select(F.col("a").alias("h1")).unionByName(rows.select(F.col("b").alias("h1"))).distinct()
+        known = self.known(ends(pairs))
         for end in ("a", "b"):
             pairs = pairs.join(known.select(F.col("h1").alias(end), F.col("n").alias(f"n_{end}"), F.col("others").alias(f"others_{end}")), end)
-        fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * self.percent
-        left = stored(pairs.where(fits).where(_share_all("others_a", "others_b")).select("a", "b"), "candidates")
-
-        ends = left.select(F.col("a").alias("h1")).unionByName(left.select(F.col("b").alias("h1"))).distinct()
-        ids = self.nodes.join(ends, "h1", "left_semi").select("doc_id")
-        whole = only_ids(self.docs, ids).select("text").mapInArrow(_whole_sets, "h1 long, tokens binary").dropDuplicates(["h1"])
+        left = stored(pairs.where(_possible(self.percent)("n_a", "others_a", "n_b", "others_b")).select("a", "b"), "candidates")
+        whole = self.whole(ends(left))
         for end in ("a", "b"):
             left = left.join(whole.select(F.col("h1").alias(end), F.col("tokens").alias(f"tokens_{end}")), end)
         return stored(left.where(_similar(self.percent)("tokens_a", "tokens_b")).select("a", "b"), "links")
 
+    def crossing(self, named: DataFrame, members: DataFrame) -> DataFrame:
+        """Linked pairs ``a, b`` of components that share a token. The nodes of the smaller component are compared with blocks
+        of the larger one inside a task, so pairs of nodes are never rows."""
+        ends = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token", "lo")
+        mixed = stored(named.join(ends, "token").select("lo", "token", "label").distinct(), "mixed")
+        sizes = members.groupBy("label").agg(F.count("*").alias("size"))
+        heads = mixed.select("lo", "label").distinct().join(sizes.where("size = 1"), "label", "left_semi")
+        known = self.known(heads.select(F.col("label").alias("h1")).distinct()).withColumnRenamed("h1", "label")
+        heads = heads.join(known, "label").select("lo", F.lit(False).alias("is_token"), F.lit(0).cast("long").alias("token"), "label", "n", "others")
+        tokens = mixed.select("lo", F.lit(True).alias("is_token"), "token", "label", F.lit(None).cast("long").alias("n"), F.lit(None).cast("array<binary>").alias("others"))
+        order = ["lo", "is_token", "token", "label"]
+        pairs = heads.unionByName(tokens).repartition("lo").sortWithinPartitions(*order).mapInArrow(_label_pairs(self.percent), "a long, b long").distinct()
+        for end in ("a", "b"):
+            pairs = pairs.join(sizes.select(F.col("label").alias(end), F.col("size").alias(f"size_{end}")), end)
+        small = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
+        pick = lambda one, other: F.when(small, F.col(one)).otherwise(F.col(other))
+        blocks = F.ceil(F.greatest("size_a", "size_b") / _BLOCK).cast("int")
+        pairs = stored(pairs.select(pick("a", "b").alias("label"), pick("b", "a").alias("target"), blocks.alias("blocks")), "label-pairs")
+        order = ["target", "block", "query"]
+        place = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        queries = pairs.join(members, "label").select("target", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(True).alias("query"), "label", "node")
+        targets = pairs.select(F.col("target").alias("label"), "blocks").distinct().join(members, "label")
+        targets = stored(targets.select(F.col("label").alias("target"), place.alias("block"), F.lit(False).alias("query"), "label", "node"), "targets")
+
+        rows = queries.unionByName(targets)
+        known = self.known(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
+        rows = rows.join(known, "node").select(*order, "label", "node", "n", "others").repartition("target", "block").sortWithinPartitions(*order)
+        left = stored(rows.mapInArrow(_can_meet(self.percent), "target long, block int, label long, node long"), "meetings")
+
+        rows = left.select("target", "block", F.lit(True).alias("query"), "label", "node").unionByName(targets.join(left.select("target", "block").distinct(), ["target", "block"], "left_semi").select(*order, "label", "node"))
+        whole = self.whole(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
+        rows = rows.join(whole, "node").select(*order, "label", "tokens").repartition("target", "block").sortWithinPartitions(*order)
+        return stored(rows.mapInArrow(_meet(self.percent), "a long, b long").distinct(), "crossing")
+
     def labels(self) -> DataFrame:
-        """``node, label`` of all nodes with a link."""
+        """``node, label`` of all nodes that share a prefix token with others."""
         postings = self.postings()
         stars = stored(postings.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
         first = stored(components(self.links(stars)), "labels")
-
-        named = postings.join(first, "node", "left").select("token", "node", F.coalesce("component", "node").alias("label"))
-        mixed = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token")
-        left = stored(named.join(mixed, "token", "left_semi"), "mixed")
-        one, other = left.toDF("token", "a", "label_a"), left.toDF("token", "b", "label_b")
-        pairs = one.join(other, "token").where("a < b and label_a <> label_b").select("a", "b").distinct()
-        pairs = stored(pairs.join(stars, ["a", "b"], "left_anti"), "pairs")
-        second = self.links(pairs)
-        more = second.join(first.toDF("a", "label_a"), "a", "left").join(first.toDF("b", "label_b"), "b", "left")
-        more = more.select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
-        joined = stored(components(more).toDF("label", "top"), "joined")
-        known = first.select("node", F.col("component").alias("label")).unionByName(
-            joined.select(F.col("label").alias("node"), "label").join(first, "node", "left_anti")
-        )
-        return known.join(joined, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
+        named = stored(postings.join(first, "node", "left").select("token", "node", F.coalesce("component", "node").alias("label")), "named")
+        members = stored(named.select("node", "label").distinct(), "members")
+        joined = stored(components(self.crossing(named, members)).toDF("label", "top"), "joined")
+        return members.join(joined, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -19,12 +19,24 @@ ID_CELLS = 1 << 23
 _CHUNK = 1 << 12
 
 
+#: Rows of an Arrow batch. Texts are long; a task holds a few batches at a time.
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> SparkSession:
+    """The session with the settings these operators rely on."""
+    spark = configure(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return spark
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back: the lineage ends and survives lost executors."""
+    prepared(df.sparkSession)
     return materialize(df, f"llm-{label}")
 
 

@@ -211,7 +211,7 @@ def test_preferences_by_hand(spark):
 def test_conversation_edges(spark, tmp_path):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (2, 1, "assistant", "b"), (2, 1, "assistant", "a"), (3, 0, "user", "alone"), (None, 0, "user", "x"), (4, None, "assistant", "y"), (5, 0, None, "z"), (5, 1, "assistant", "")]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    assert [r[2] for r in against_sql(spark, "op1_preference_formatting", str(tmp_path))] == [1, 2, 5]
+    assert sorted(r[2] for r in against_sql(spark, "op1_preference_formatting", str(tmp_path))) == [1, 2, 5]
 
 
 def test_mixing_targets_and_copies(spark):
