@@ -3,8 +3,8 @@
 Every word is predicted from the two words before and the two after it: rows of one table per place add up, pass tanh, and a two-level
 softmax (class, then word in class) gives the word's probability. A document's score is the sum of its words' conditional log-probabilities.
 
-The vocabulary is made of word counts over all documents. Training is data parallel: in each round every task takes one in sixteen
-positions of all its documents, another part each round, runs stochastic gradient from the common weights and sends its change,
+The vocabulary is made of word counts over all documents. Training is data parallel: the rounds divide all positions among them, so that each
+is a target exactly once. In a round every task runs stochastic gradient from the common weights over its documents' positions of that round and sends its change,
 which the executors add up, weighted by words. What reaches the driver is the model, of fixed size.
 """
 
@@ -27,7 +27,6 @@ KNOWN = CLASSES * (CLASSES - 1)
 PLACES = (-2, -1, 1, 2)
 WIDTH = 32
 ROUNDS = 3
-_MASK = 16
 _BATCH = 4096
 _RATE = 0.08
 _PAD = CLASSES * CLASSES
@@ -113,14 +112,18 @@ def _step(parts: dict[str, np.ndarray], squares: dict[str, np.ndarray], around:
         squares[name][at] += slope * slope
         parts[name][at] -= _RATE * slope / np.sqrt(squares[name][at])
 
+    order = np.argsort(targets // CLASSES, kind="stable")
+    around, targets = around[order], targets[order]
+    edges = np.searchsorted(targets // CLASSES, np.arange(CLASSES + 1))
     hidden, each = _hidden(parts, around), np.arange(len(targets))
     error = _softmax(hidden @ parts["classes"] + parts["class_bias"])
     error[each, targets // CLASSES] -= 1
     back = error @ parts["classes"].T
     inner = []
-    for c, rows in _by_class(targets):
+    for c in np.flatnonzero(np.diff(edges)).tolist():
+        rows = slice(edges[c], edges[c + 1])
         wrong = _softmax(hidden[rows] @ parts["words"][c] + parts["word_bias"][c])
-        wrong[np.arange(len(rows)), targets[rows] % CLASSES] -= 1
+        wrong[each[: len(wrong)], targets[rows] % CLASSES] -= 1
         back[rows] += wrong @ parts["words"][c].T
         inner.append((c, hidden[rows].T @ wrong, wrong.sum(axis=0)))
     move("classes", hidden.T @ error)
@@ -137,13 +140,13 @@ def _step(parts: dict[str, np.ndarray], squares: dict[str, np.ndarray], around:
         move("places", np.add.reduceat(slope[order], starts, axis=0), (place, rows[starts]))
 
 
-def _masked(words: Words, number: int) -> np.ndarray:
-    """Positions of one round: a different sixteenth of every text each time."""
+def _masked(words: Words, number: int, rounds: int) -> np.ndarray:
+    """Positions of one round; each position belongs to exactly one of the ``rounds``."""
     spot = np.arange(len(words.hashes), dtype=np.uint64)
-    return np.flatnonzero((mix(spot ^ mix(words.hashes)) + np.uint64(number)) % np.uint64(_MASK) == 0)
+    return np.flatnonzero(mix(spot ^ mix(words.hashes)) % np.uint64(rounds) == number)
 
 
-def _train(shared, number: int):
+def _train(shared, number: int, rounds: int):
     """A task's training: its change of the weights times its number of words, and that number in the last cell."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +162,7 @@ def _train(shared, number: int):
 
         for batch in batches:
             for _, _, words in word_slices(batch.column(0)):
-                at = _masked(words, number)
+                at = _masked(words, number, rounds)
                 tokens = network.tokens(words)
                 waiting.append((contexts(tokens, words.text_ptr)[at], tokens[at]))
                 held, seen = held + len(at), seen + len(at)
@@ -186,7 +189,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> Network:
-    """Fit the network on all documents."""
+    """Fit the network on all documents; every position is a target in one of the rounds."""
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
     counts = texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
@@ -205,7 +208,7 @@ def train(docs: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> Network:
     parts["word_bias"][...] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
     for number in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast(network)
-        changes = merged_cells(texts.mapInArrow(_train(shared, number), "chunk int, cells binary"), -(-(_SIZE + 1) // _CHUNK) * _CHUNK, "<f4")
+        changes = merged_cells(texts.mapInArrow(_train(shared, number, rounds), "chunk int, cells binary"), -(-(_SIZE + 1) // _CHUNK) * _CHUNK, "<f4")
         if changes[_SIZE] > 0:
             network = Network(network.vocabulary, network.ids, (network.flat + changes[:_SIZE] / changes[_SIZE]).astype(np.float32))
     return network

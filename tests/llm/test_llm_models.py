@@ -135,3 +135,15 @@ def test_language_model_edges(spark, folder):
     assert len(found) == 16
     assert all(found[i].n_words == 0 and found[i].log_probability == 0 and found[i].mean_log_probability is None for i in (6, 7, 8))
     assert found[1].log_probability == pytest.approx(found[2].log_probability)
+
+
+def test_every_position_is_a_training_target(spark, folder, monkeypatch):
+    docs, taken, merged = spark.read.parquet(f"{folder}/documents.parquet"), [], pseudolm.merged_cells
+
+    def spy(*args):
+        taken.append(merged(*args))
+        return taken[-1]
+
+    monkeypatch.setattr(pseudolm, "merged_cells", spy)
+    n_words = sum(r.n_words for r in pseudolm.score(docs, pseudolm.train(docs)).collect())
+    assert sum(float(cells[pseudolm._SIZE]) for cells in taken) == n_words
