@@ -3,26 +3,28 @@
 Every word is predicted from the two words before and the two after it: rows of one table per place add up, pass tanh, and a two-level
 softmax (class, then word in class) gives the word's probability. A document's score is the sum of its words' conditional log-probabilities.
 
-The vocabulary is made of word counts over all documents. Training is data parallel: the rounds divide all positions among them, so that each
+The vocabulary is made of word counts over all documents. The most frequent words are tokens of the network; every other word is one of a cell, which the network
+predicts, and has the cell's probability times its share of the cell's words, from a table of the counts of all words that stays in Spark and is
+joined when documents are scored. Training is data parallel: the rounds divide all positions among them, so that each
 is a target exactly once. In a round every task runs stochastic gradient from the common weights over its documents' positions of that round and sends its change,
-which the executors add up, weighted by words. What reaches the driver is the model, of fixed size.
+which the executors add up, weighted by words. What reaches the driver is the network, of fixed size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.tables import chunk_rows, merged_cells
+from starloom.llm.tables import chunk_rows, merged_cells, stored
 from starloom.llm.words import Words, mix, ranges_hash, word_slices
 
 CLASSES = 64
-#: Words with an id of their own; the last class holds the others, by the hash of their last two bytes.
+#: Words with an id of their own; the last class holds cells of the others, by the hash of their last two bytes.
 KNOWN = CLASSES * (CLASSES - 1)
 PLACES = (-2, -1, 1, 2)
 WIDTH = 32
@@ -31,18 +33,33 @@ _BATCH = 4096
 _RATE = 0.08
 _PAD = CLASSES * CLASSES
 _CHUNK = 1 << 12
+#: Count of all words together that a cell has not seen.
+_UNSEEN = 0.5
 
 _SHAPES = {"places": (len(PLACES), _PAD + 1, WIDTH), "bias": (WIDTH,), "classes": (WIDTH, CLASSES), "class_bias": (CLASSES,), "words": (CLASSES, WIDTH, CLASSES), "word_bias": (CLASSES, CLASSES)}
 _SIZE = sum(int(np.prod(shape)) for shape in _SHAPES.values())
 
 
+def cells(words: Words) -> np.ndarray:
+    """The cell of each word, for those outside the vocabulary."""
+    last = ranges_hash(words.data, np.maximum(words.starts, words.ends - 2), words.ends)
+    return (last % np.uint64(CLASSES)).astype(np.int64)
+
+
 @dataclass
 class Network:
-    """``vocabulary``: sorted word hashes, ``ids`` of each; ``flat``: all weights, ``part`` names views into them."""
+    """``vocabulary``: sorted word hashes, ``ids`` of each; ``flat``: all weights, ``part`` names views into them; ``cells``: words
+    of each cell; ``rare``: ``word, n`` of all words outside the vocabulary, which stays in Spark."""
 
     vocabulary: np.ndarray
     ids: np.ndarray
     flat: np.ndarray
+    cells: np.ndarray
+    rare: DataFrame | None = None
+
+    def local(self) -> Network:
+        """What tasks get."""
+        return replace(self, rare=None)
 
     def part(self, flat: np.ndarray | None = None) -> dict[str, np.ndarray]:
         flat, out, at = self.flat if flat is None else flat, {}, 0
@@ -53,8 +70,7 @@ class Network:
         return out
 
     def tokens(self, words: Words) -> np.ndarray:
-        last = ranges_hash(words.data, np.maximum(words.starts, words.ends - 2), words.ends)
-        out = KNOWN + (last % np.uint64(CLASSES)).astype(np.int64)
+        out = KNOWN + cells(words)
         if len(self.vocabulary):
             at = np.minimum(np.searchsorted(self.vocabulary, words.hashes), len(self.vocabulary) - 1)
             known = self.vocabulary[at] == words.hashes
@@ -184,18 +200,25 @@ def _train(shared, number: int, rounds: int):
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, words in word_slices(batch.column(0)):
-            known, counts = np.unique(words.hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(known.view(np.int64)), pa.array(counts.astype(np.int64))], names=["word", "n"])
+            known, at, counts = np.unique(words.hashes, return_index=True, return_counts=True)
+            columns = [pa.array(known.view(np.int64)), pa.array(cells(words)[at].astype(np.int8)), pa.array(counts.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "cell", "n"])
 
 
 def train(docs: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> Network:
     """Fit the network on all documents; every position is a target in one of the rounds."""
     texts = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
-    counts = texts.mapInArrow(_count, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = stored(texts.mapInArrow(_count, "word long, cell byte, n long").groupBy("word").agg(F.min("cell").alias("cell"), F.sum("n").alias("n")), "words")
     top = counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()
     hashes = np.array([r.word for r in top], dtype=np.int64).view(np.uint64)
     order = np.argsort(hashes)
-    network = Network(hashes[order], order, np.zeros(_SIZE, dtype=np.float32))
+    rare, totals = counts.where(F.lit(False)), np.zeros(CLASSES)
+    if len(top) == KNOWN:
+        last = top[-1]
+        rare = counts.where((F.col("n") < last.n) | ((F.col("n") == last.n) & (F.col("word") > last.word)))
+        for row in rare.groupBy("cell").agg(F.sum("n").alias("n")).collect():
+            totals[row.cell] = row.n
+    network = Network(hashes[order], order, np.zeros(_SIZE, dtype=np.float32), totals, rare.select("word", "n"))
     parts = network.part()
     rng = np.random.default_rng(seed)
     for name in ("places", "classes", "words"):
@@ -207,30 +230,49 @@ def train(docs: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> Network:
     parts["class_bias"][...] = np.log(by_class.sum(axis=1) / by_class.sum())
     parts["word_bias"][...] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
     for number in range(rounds):
-        shared = docs.sparkSession.sparkContext.broadcast(network)
+        shared = docs.sparkSession.sparkContext.broadcast(network.local())
         changes = merged_cells(texts.mapInArrow(_train(shared, number, rounds), "chunk int, cells binary"), -(-(_SIZE + 1) // _CHUNK) * _CHUNK, "<f4")
         if changes[_SIZE] > 0:
-            network = Network(network.vocabulary, network.ids, (network.flat + changes[:_SIZE] / changes[_SIZE]).astype(np.float32))
+            network = replace(network, flat=(network.flat + changes[:_SIZE] / changes[_SIZE]).astype(np.float32))
     return network
 
 
+_SCORED = "row long, doc_id long, n_words long, base double, rare array<long>"
+
+
 def _score(shared):
+    """Per row its words, the sum of their log-probabilities as if no cell had seen any word outside the vocabulary, and these words."""
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network: Network = shared.value
         parts = network.part()
+        unseen = np.log(_UNSEEN) - np.log(network.cells + _UNSEEN)
         for batch in batches:
-            for first, last, words in word_slices(batch.column(1)):
+            for first, last, words in word_slices(batch.column(2)):
                 tokens = network.tokens(words)
                 values = log_probabilities(parts, contexts(tokens, words.text_ptr), tokens)
-                running = np.concatenate(([0.0], np.cumsum(values)))
-                sums, n = running[words.text_ptr[1:]] - running[words.text_ptr[:-1]], np.diff(words.text_ptr)
-                mean = pa.array(np.where(n > 0, sums / np.maximum(n, 1), 0), pa.float64(), mask=n == 0)
-                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], pa.array(n.astype(np.int64)), pa.array(sums), mean], names=["doc_id", "n_words", "log_probability", "mean_log_probability"])
+                outside = tokens >= KNOWN
+                values[outside] += unseen[tokens[outside] - KNOWN]
+                running, before = np.concatenate(([0.0], np.cumsum(values))), np.concatenate(([0], np.cumsum(outside)))
+                sums = running[words.text_ptr[1:]] - running[words.text_ptr[:-1]]
+                rare = pa.ListArray.from_arrays(pa.array(before[words.text_ptr], pa.int32()), pa.array(words.hashes[outside].view(np.int64)))
+                columns = [batch.column(0)[first:last], batch.column(1)[first:last], pa.array(np.diff(words.text_ptr).astype(np.int64)), pa.array(sums), rare]
+                yield pa.RecordBatch.from_arrays(columns, names=["row", "doc_id", "n_words", "base", "rare"])
 
     return scan
 
 
 def score(docs: DataFrame, network: Network) -> DataFrame:
-    """``doc_id, n_words, log_probability, mean_log_probability`` per row; a text without words has sum 0 and no mean."""
-    shared = docs.sparkSession.sparkContext.broadcast(network)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_score(shared), "doc_id long, n_words long, log_probability double, mean_log_probability double")
+    """``doc_id, n_words, log_probability, mean_log_probability`` per row; a text without words has sum 0 and no mean.
+
+    A word outside the vocabulary has its cell's probability times its share of the cell's words in the corpus of training; all words
+    that this corpus lacks have together the share of half a word.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(network.local())
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = stored(texts.mapInArrow(_score(shared), _SCORED), "scores")
+    rare = rows.select("row", F.explode("rare").alias("word")).join(network.rare, "word")
+    gains = rare.groupBy("row").agg(F.sum(F.log(F.col("n") / F.lit(_UNSEEN))).alias("gain"))
+    total = F.col("base") + F.coalesce("gain", F.lit(0.0))
+    rows = rows.select("row", "doc_id", "n_words", "base").join(gains, "row", "left")
+    return rows.select("doc_id", "n_words", total.alias("log_probability"), F.when(F.col("n_words") > 0, total / F.col("n_words")).alias("mean_log_probability"))

@@ -147,3 +147,22 @@ def test_every_position_is_a_training_target(spark, folder, monkeypatch):
     monkeypatch.setattr(pseudolm, "merged_cells", spy)
     n_words = sum(r.n_words for r in pseudolm.score(docs, pseudolm.train(docs)).collect())
     assert sum(float(cells[pseudolm._SIZE]) for cells in taken) == n_words
+
+
+def test_rare_words_have_their_own_probability(spark):
+    common = " ".join(f"c{i}" for i in range(pseudolm.KNOWN))
+    texts = [" ".join([common] * 5), "rareab rareab", "otherab", "otherab", None]
+    docs = spark.createDataFrame([(None if t == "otherab" else i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    network = pseudolm.train(docs, rounds=0)
+    assert len(pseudolm.score(docs, network).collect()) == 5
+    asked = ["rareab", "otherab", "lackingab", "c1"]
+    texts_asked = spark.createDataFrame(list(enumerate(asked)), "doc_id long, text string")
+
+    def found(network) -> dict[str, float]:
+        return {asked[r.doc_id]: r.log_probability for r in pseudolm.score(texts_asked, network).collect()}
+
+    one = found(network)
+    assert one["rareab"] == pytest.approx(one["otherab"]) and one["otherab"] == pytest.approx(one["lackingab"] + np.log(4))
+    more = docs.unionByName(spark.createDataFrame([(9, "rareab rareab")], docs.schema))
+    two = found(pseudolm.train(more, rounds=0))
+    assert two["rareab"] == pytest.approx(two["otherab"] + np.log(2))
