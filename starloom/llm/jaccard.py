@@ -13,6 +13,7 @@ order at once, so the join takes one order to find pairs and the others to rule
 4. Verified links make components. Where a token still joins several components, their nodes are candidates too: those of the
    smaller component go through 3 against all of the larger one, in blocks inside tasks, and links join the
    components. A pair left out is inside one component already, so no link between components is missed.
+5. A token that joins many components gives no pairs of them: its nodes are dealt to pairs of blocks, and whole sets are compared there.
 """
 
 from __future__ import annotations
@@ -198,7 +199,7 @@ _HELD = 100_000
 
 
 def _label_pairs(percent: int):
-    """Pairs of labels that share a token and that the filter lets pass.
+    """Pairs of labels that share a token and that the filter lets pass. A token has ``_LABELS`` labels at most.
 
     Rows ``lo, is_token, token, label, n, others`` come sorted: for each ``lo`` the labels of single nodes with their prefixes, then its tokens.
     Pairs of one ``lo`` are given once, as long as they fit.
@@ -244,6 +245,10 @@ def _label_pairs(percent: int):
     return scan
 
 
+#: Components that a token joins by pairs; with more, its nodes are compared in pairs of blocks of so many nodes.
+_LABELS = 256
+_NODES = 1024
+
 #: Members of one component that a task compares queries with at a time.
 _BLOCK = 256
 
@@ -310,6 +315,40 @@ def _meet(percent: int):
     return scan
 
 
+def _join_blocks(percent: int):
+    """Links between labels of one pair of blocks, as many as join them. Rows ``token, i, j, query, label, tokens`` come sorted, members before queries."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, members, block, labels, top = None, [], None, None, {}
+
+        def root(x: int) -> int:
+            while top.setdefault(x, x) != x:
+                top[x] = x = top[top[x]]
+            return x
+
+        for batch in batches:
+            links = []
+            for *key, query, label, tokens in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if now != key:
+                    now, members, block, top = key, [], None, {}
+                if not query:
+                    members.append((label, tokens))
+                elif members:
+                    if block is None:
+                        block, labels = _Block([t for _, t in members], "<u8"), np.array([x for x, _ in members])
+                    own = np.frombuffer(tokens, dtype="<u8")
+                    common = block.common(own)
+                    near = (100 * common >= percent * (block.sizes + len(own) - common)) & (labels != label)
+                    for other in np.unique(labels[near]).tolist():
+                        a, b = root(label), root(other)
+                        if a != b:
+                            top[b] = a
+                            links.append((label, other))
+            yield _named(links, ["a", "b"], (0, 1))
+
+    return scan
+
+
 class _Join:
     def __init__(self, docs: DataFrame, percent: int):
         self.percent = percent
@@ -350,10 +389,31 @@ class _Join:
         return stored(left.where(_similar(self.percent)("tokens_a", "tokens_b")).select("a", "b"), "links")
 
     def crossing(self, named: DataFrame, members: DataFrame) -> DataFrame:
-        """Linked pairs ``a, b`` of components that share a token. The nodes of the smaller component are compared with blocks
-        of the larger one inside a task, so pairs of nodes are never rows."""
+        """Linked pairs ``a, b`` of components that share a token. Where a token joins few components, the nodes of the smaller one are
+        compared with blocks of the larger one inside a task; pairs of nodes are never rows."""
         ends = named.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token", "lo")
         mixed = stored(named.join(ends, "token").select("lo", "token", "label").distinct(), "mixed")
+        wide = stored(mixed.groupBy("token").count().where(F.col("count") > _LABELS).select("token"), "wide")
+        if wide.isEmpty():
+            return self.paired(mixed, members)
+        return self.paired(mixed.join(wide, "token", "left_anti"), members).unionByName(self.blocked(named.join(wide, "token", "left_semi"))).distinct()
+
+    def blocked(self, named: DataFrame) -> DataFrame:
+        """Links ``a, b`` between components whose nodes share a token, from pairs of blocks of each token's nodes. Tokens of the same nodes are one."""
+        marks = [F.bit_xor(F.xxhash64("node", F.lit(seed))) for seed in (1, 2)]
+        groups = named.groupBy("token").agg(F.count("*").alias("n"), marks[0].alias("x"), marks[1].alias("y")).groupBy("n", "x", "y").agg(F.min("token").alias("token"))
+        rows = named.join(groups.select("token", F.ceil(F.col("n") / _NODES).cast("int").alias("blocks")), "token")
+        rows = stored(rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")), "wide-nodes")
+        rows = rows.join(self.whole(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node"), "node")
+        other = lambda first, last: F.explode(F.sequence(first, last))
+        own, more = F.col("block"), ["label", "tokens"]
+        members = rows.select("token", own.alias("i"), other(own, F.col("blocks") - 1).alias("j"), F.lit(False).alias("query"), *more)
+        queries = rows.select("token", other(F.lit(0), own).alias("i"), own.alias("j"), F.lit(True).alias("query"), *more)
+        cells = members.unionByName(queries).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "query")
+        return stored(cells.mapInArrow(_join_blocks(self.percent), "a long, b long").distinct(), "wide-links")
+
+    def paired(self, mixed: DataFrame, members: DataFrame) -> DataFrame:
+        """Links ``a, b`` between components that share a token, from pairs of components."""
         sizes = members.groupBy("label").agg(F.count("*").alias("size"))
         heads = mixed.select("lo", "label").distinct().join(sizes.where("size = 1"), "label", "left_semi")
         known = self.known(heads.select(F.col("label").alias("h1")).distinct()).withColumnRenamed("h1", "label")

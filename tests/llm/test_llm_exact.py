@@ -147,6 +147,27 @@ def test_jaccard_equals_brute_force_around_the_threshold(spark):
     assert [found[i] for i in range(len(texts))] == brute_components(sets, 80)
 
 
+def test_jaccard_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "_LABELS", 2)
+    monkeypatch.setattr(jaccard, "_NODES", 8)
+    test_jaccard_equals_brute_force_around_the_threshold(spark)
+
+
+def test_many_components_of_one_token_give_no_pairs(spark, monkeypatch):
+    rows, kept = {}, jaccard.stored
+
+    def spy(df, label):
+        out = kept(df, label)
+        rows[label] = out.count() + rows.get(label, 0) if label in ("label-pairs", "wide-nodes") else 0
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", spy)
+    texts = [f"one common line of many short documents here {i}" for i in range(600)]
+    found = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert all(r.doc_id == r.component_id for r in found) and len(found) == 600
+    assert rows["label-pairs"] <= 600 and rows["wide-nodes"] > 0
+
+
 def test_substring_report_equals_brute_force(spark):
     rng = random.Random(4)
     passages = [[f"p{k}w{i}" for i in range(rng.choice([49, 50, 51, 90]))] for k in range(6)]
