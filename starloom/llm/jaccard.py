@@ -471,7 +471,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One document of each component, the one with the smallest id, in the columns of ``docs``; documents without words stay."""
-    found = near_duplicates(docs, percent)
-    keep = found.where("doc_id = component_id").select("doc_id")
-    return docs.join(keep.distinct(), "doc_id", "left_semi").select(*docs.columns)
+    """One row of each component, in the columns of ``docs``: the one with the smallest id, of rows that repeat it any one, and a row without id only
+    where no other row of the component has one. Documents without words stay."""
+    rows = stored(docs.withColumn("_llm_row", F.monotonically_increasing_id()), "numbered")
+    found = near_duplicates(rows.select(F.col("_llm_row").alias("doc_id"), "text"), percent).select(F.col("doc_id").alias("_llm_row"), "component_id")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "_llm_row"))
+    keep = rows.select("_llm_row", "doc_id").join(found, "_llm_row").groupBy("component_id").agg(first.alias("first"))
+    return rows.join(keep.select(F.col("first._llm_row").alias("_llm_row")), "_llm_row", "left_semi").select(*docs.columns)

@@ -168,6 +168,15 @@ def test_many_components_of_one_token_give_no_pairs(spark, monkeypatch):
     assert rows["label-pairs"] <= 600 and rows["wide-nodes"] > 0
 
 
+def test_distinct_documents_with_null_and_repeated_ids(spark):
+    one, two, three = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
+    rows = [(None, one), (4, two), (4, two), (7, two), (None, two), (5, three), (5, one + " more"), (None, None), (None, None)]
+    kept = jaccard.distinct_documents(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [(5, one + " more"), (4, two), (5, three), (None, None), (None, None)]))
+    lone = jaccard.distinct_documents(spark.createDataFrame([(None, one), (3, two)], "doc_id long, text string")).collect()
+    assert {r.doc_id for r in lone} == {None, 3}
+
+
 def test_substring_report_equals_brute_force(spark):
     rng = random.Random(4)
     passages = [[f"p{k}w{i}" for i in range(rng.choice([49, 50, 51, 90]))] for k in range(6)]
