@@ -7,94 +7,28 @@ the work spreads and no task holds more than a group; a group of thousands of pi
 
 from __future__ import annotations
 
-import base64
 import zlib
-from array import array
 from collections.abc import Iterator
-from functools import lru_cache
-from pathlib import Path
 
 import numpy as np
 import pandas as pd
-import public_tokenizers
 import pyarrow as pa
-import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.llm.encoding import encoder
 from starloom.llm.tables import stored
 from starloom.llm.words import slices, string_buffers
 
 WINDOW = 1024
 GROUP_PIECES = 40_000
 END_ID = 0
-#: The byte-level vocabulary; its rank file holds the same tokens and ids as ``byte_bpe_50k.json``.
-RANKS = "byte_bpe_50k.tiktoken"
-_CACHED_WORDS = 500_000
-
-
-class _Odd(Exception):
-    """White space other than single spaces and line feeds between words."""
-
-
-class _WordIds(dict):
-    """Ids of a word with the space or line feed before it; filled on demand up to a bound."""
-
-    def __init__(self, encode):
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        tail = word[1:] if word[:1] == "\n" else word
-        if tail.split() != [tail]:
-            raise _Odd
-        ids = self.encode(word if tail is not word else " " + word)
-        if len(self) < _CACHED_WORDS:
-            self[word] = ids
-        return ids
-
-
-class Encoder:
-    """Token ids of whole texts, word by word.
-
-    The pattern that splits a text before merging always ends a piece between a character that is not white space and a
-    following space or line feed. Texts whose white space is single spaces and line feeds between words are put together from
-    the ids of their words, which a table of bounded size holds. All other texts are encoded in one go.
-    """
-
-    def __init__(self, path: str | None = None):
-        ranks = {}
-        for line in Path(path or public_tokenizers.path(RANKS)).read_bytes().splitlines():
-            token, rank = line.split()
-            ranks[base64.b64decode(token)] = int(rank)
-        self.encoding = tiktoken.Encoding("public", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.words = _WordIds(self.raw)
-
-    def raw(self, text: str) -> bytes:
-        return array("I", self.encoding.encode_ordinary(text)).tobytes()
-
-    def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit numbers."""
-        first, *rest = text.replace("\n", " \n").split(" ")
-        if first.split() != [first]:
-            return self.raw(text)
-        try:
-            return self.raw(first) + b"".join(map(self.words.__getitem__, rest))
-        except _Odd:
-            return self.raw(text)
-
-
-@lru_cache(maxsize=1)
-def encoder(path: str | None = None) -> Encoder:
-    """One encoder, with its table of words, for all tasks of a Python worker."""
-    return Encoder(path)
-
-
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
-def _cut(window: int, ranks: str | None):
+def _cut(window: int, vocabulary: str | None):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks).encode
+        encode = encoder(vocabulary).encode
         end = np.array([END_ID], dtype="<u4").tobytes()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
@@ -169,14 +103,14 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
     return where, offsets
 
 
-def pack(docs: DataFrame, window: int = WINDOW, ranks: str | None = None, group_pieces: int = GROUP_PIECES) -> DataFrame:
+def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = None, group_pieces: int = GROUP_PIECES) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     A null or empty text is the end id alone. Every row of ``docs`` is a document of its own, also where ids repeat or are null.
     Sequences are numbered with gaps; within a sequence offsets are gapless from 0. No rows give no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = stored(rows.mapInArrow(_cut(window, ranks), _PIECES), "pieces").withColumn("row", F.monotonically_increasing_id())
+    pieces = stored(rows.mapInArrow(_cut(window, vocabulary), _PIECES), "pieces").withColumn("row", F.monotonically_increasing_id())
     groups = max(1, -(-pieces.count() // group_pieces))
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:

@@ -13,14 +13,13 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from starloom.llm import components, jaccard, packing, preferences, substrings, vectors, words
+from starloom.llm import components, encoding, jaccard, packing, preferences, substrings, vectors, words
 from starloom.llm.queries import QUERIES, SQL
 
 from .conftest import against_sql
 
 DATA = "/root/testdata/sf0.001"
 _tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-_tokenizer.encode_special_tokens = True
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -51,7 +50,7 @@ def test_window_hashes_depend_on_content_alone():
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=" \n\t\r\x0b\x85\x1c ab'sé漢1!🙂<|endoftext|>", max_size=20))
 def test_encoder_equals_tokenizer(text):
-    assert np.frombuffer(packing.encoder().encode(text), "<u4").tolist() == _tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(encoding.encoder().encode(text), "<u4").tolist() == _tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_best_fit_equals_brute_force():
@@ -92,6 +91,11 @@ def test_packing_round_trip(spark, folder):
         assert at <= 1024
 
 
+def test_packing_gives_special_tokens_their_ids(spark):
+    (row,) = packing.pack(spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")).collect()
+    assert (row.doc_tokens, row.ids_crc32) == (5, zlib.crc32(np.array([64, 220, 50256, 275, 0], dtype="<u4").tobytes()))
+
+
 def test_packing_leaves_little_room(spark):
     rows = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).groupBy("sequence_id").agg({"length": "sum"}).collect()
     assert sum(1024 - r[1] for r in rows) < 0.01 * 1024 * len(rows)
