@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, preferences, pseudolm, quality, substrings, toxicity, vectors
+from starloom.llm import jaccard, langid, mixing, packing, preferences, pseudolm, quality, records, substrings, toxicity, vectors
 from starloom.llm.tables import table
+from starloom.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -243,3 +244,10 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     rows = preferences.format_preferences(preferences.swapped_pairs(table(spark, folder, "conversations")))
     spans = lambda side: F.concat_ws(",", F.transform(f"{side}_loss", lambda s: F.concat_ws("+", s["start"], s["length"]))).alias(f"{side}_loss")
     return rows.select("pair_id", "prefix_turns", *[F.md5(c).alias(f"{c}_md5") for c in ("prompt", "chosen", "rejected")], spans("chosen"), spans("rejected"))
+
+
+@_query("op13_token_records")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "llm-records")
+    records.write_records(table(spark, folder, "documents"), path)
+    return records.record_report(spark, path)
