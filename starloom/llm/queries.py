@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, preferences, pseudolm, quality, records, substrings, toxicity, vectors
+from starloom.llm import jaccard, langid, mixing, packing, preferences, pseudolm, quality, records, substrings, toxicity, variants, vectors
 from starloom.llm.tables import table
 from starloom.session import scratch_path
 
@@ -251,3 +251,45 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "llm-records")
     records.write_records(table(spark, folder, "documents"), path)
     return records.record_report(spark, path)
+
+
+def _crc_table() -> list[int]:
+    table = list(range(256))
+    for _ in range(8):
+        table = [v >> 1 ^ (0xEDB88320 if v & 1 else 0) for v in table]
+    return table
+
+
+VARIANTS_SQL = rf"""
+with recursive runs as (
+  select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) as run
+  from documents
+), each as (select id, run, count(*) as times from runs where length(run) >= 7 group by all),
+hexed as (select *, hex(encode(id || ':' || run)) as h from each),
+bytes as (select *, list_transform(range(1, length(h), 2), lambda i: (instr('0123456789ABCDEF', h[i]) - 1) * 16 + instr('0123456789ABCDEF', h[i + 1]) - 1) as b from hexed),
+summed as (
+  select run, times, xor(list_reduce(list_prepend(4294967295, b), lambda v, x: xor(v >> 8, ({_crc_table()}::bigint[])[xor(v & 255, x) + 1])), 4294967295) as crc from bytes
+), words as (
+  select word, sum(times)::bigint as n from (
+    select times, case when crc % 31 = 0 then substr(run, 1, crc % length(run)) || substr(run, crc % length(run) + 2) else run end as word from summed)
+  where length(word) >= 7 group by word having sum(times) >= 2
+), short as (
+  select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as cut from (select word, n, unnest(range(1, length(word) + 1)) as i from words)
+), near as (
+  select x.word, y.word as other, y.n from short x join short y on x.i = y.i and x.cut = y.cut and x.word <> y.word
+  union select x.word, y.word, y.n from short x join words y on x.cut = y.word
+  union select y.word, x.word, x.n from short x join words y on x.cut = y.word
+), best as (select word, count(*) as n_near, arg_min(other, (-n, other)) as other, max(n) as top from near group by word),
+found as (
+  select words.word, words.n, coalesce(n_near, 0) as n_near, case when top >= 10 * words.n then other end as form, case when top >= 10 * words.n then top end as form_n
+  from words left join best on best.word = words.word
+), way as (
+  select word, word as root from found union all select way.word, found.form from way join found on found.word = way.root where found.form is not null
+), ends as (select way.word, way.root from way join found on found.word = way.root where found.form is null)
+select found.word, form, root, n, n_near::bigint as n_near, form_n from found join ends on ends.word = found.word
+"""
+
+
+@_query("op12_spelling_variants", VARIANTS_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
