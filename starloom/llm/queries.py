@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm import jaccard, langid, mixing, packing, preferences, pseudolm, quality, records, substrings, toxicity, variants, vectors
+from starloom.llm import alignment, jaccard, langid, mixing, packing, preferences, pseudolm, quality, records, substrings, toxicity, variants, vectors
 from starloom.llm.tables import table
 from starloom.session import scratch_path
 
@@ -253,6 +253,11 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     return records.record_report(spark, path)
 
 
+@_query("op11_token_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align(table(spark, folder, "documents"))
+
+
 def _crc_table() -> list[int]:
     table = list(range(256))
     for _ in range(8):
