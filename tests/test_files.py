@@ -113,3 +113,51 @@ def test_files_of_different_column_order_are_read_by_name(spark, folder):
     (parts / "b.csv").write_text("seller_state,extra,seller_id,seller_city\nRJ,x,s2,rio\n")
     sellers = files.extract(spark, str(folder))["sellers"].orderBy(POS)
     assert [tuple(r) for r in sellers.select("seller_id", "seller_state", "seller_city").collect()] == [("s1", "SP", "campinas"), ("s2", "RJ", "rio")]
+
+
+def test_split_files_have_the_rows_and_positions_of_whole_ones(spark, tmp_path):
+    """Line breaks inside quotes, doubled quotes, empty texts and blank lines, with borders of splits at every place."""
+    header = "review_id,order_id,review_score,review_comment_title,review_comment_message\n"
+    body = []
+    for i in range(60):
+        text = ['"one\ntwo ""x"",\n\nthree"', '""', "plain", '"\n"', '"""q""\n"""', '"' + "long line\n" * (i % 7) + '"', ""][i % 7]
+        body.append(f'r{i},o{i},{i % 5 + 1},"t, {i}",{text}\n' + ("\n" if i % 11 == 0 else ""))
+    for part in ("a", "b"):
+        (tmp_path / f"{part}_order_reviews_dataset.csv").write_text(header + "".join(body) + ('r,o,1,"open,\nnever closed' if part == "b" else ""))
+    paths = files.locate(spark, str(tmp_path), {"reviews": "*_order_reviews_dataset.csv"})["reviews"]
+
+    def read():
+        df = files.read_table(spark, "reviews", paths)
+        return rows(df, *df.columns), df.rdd.getNumPartitions()
+
+    whole, _ = read()
+    assert len(whole) == 121 and len({r[-1] for r in whole}) == 121
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (37, 64, 301, 1000):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", str(size))
+            split, partitions = read()
+            assert sorted(split, key=repr) == sorted(whole, key=repr)
+            assert partitions > 5
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(paths[0])
+    in_one_task = [(r["order_id"], r["review_comment_message"]) for r in reader.collect()]
+    assert [(r[0], r[3]) for r in sorted(whole, key=lambda r: r[-1])][:60] == in_one_task
+
+
+def test_split_files_without_free_text_are_read_by_lines(spark, tmp_path):
+    header = "seller_id,seller_zip,seller_city,seller_state\n"
+    path = tmp_path / "x_sellers_dataset.csv"
+    path.write_text(header + "".join(f's{i},1,"city, ""{i}""",SP\n' for i in range(200)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+        df = files.read_table(spark, "sellers", files.expand(spark, str(path)))
+        assert df.rdd.getNumPartitions() > 20
+        assert sorted(rows(df, "seller_id", "seller_city", POS), key=lambda r: r[2]) == [(f"s{i}", f'city, "{i}"', i) for i in range(200)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    path.write_text(header + 's1,1,"two\nlines",SP\n')
+    with pytest.raises(Exception, match="runs over the end of a line"):
+        files.read_table(spark, "sellers", files.expand(spark, str(path))).collect()
