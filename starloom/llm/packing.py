@@ -29,18 +29,18 @@ _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 def _cut(window: int, vocabulary: str | None):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(vocabulary).encode
-        end = np.array([END_ID], dtype="<u4").tobytes()
+        end = np.array([END_ID], dtype="<u4")
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             _, bounds = string_buffers(texts)
             for first, last in slices(bounds):
                 rows = []
                 for doc, text in zip(ids[first:last].to_pylist(), texts[first:last].to_pylist(), strict=True):
-                    tokens = memoryview((encode(text) if text else b"") + end)
-                    total = len(tokens) // 4
+                    tokens = np.concatenate([encode(text or ""), end])
+                    total = len(tokens)
                     for start in range(0, total, window):
                         length = min(window, total - start)
-                        rows.append((doc, start, length, zlib.crc32(tokens[4 * start : 4 * (start + length)]), total))
+                        rows.append((doc, start, length, zlib.crc32(tokens[start : start + length]), total))
                 yield pa.RecordBatch.from_arrays([pa.array(column, pa.int64()) for column in zip(*rows, strict=True)], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"])
 
     return scan

@@ -175,7 +175,7 @@ def _writer(folder: str, vocabulary: str | None, end_id: int, file_bytes: int):
                 _, bounds = string_buffers(texts)
                 for first, last in slices(bounds):
                     docs = ids[first:last].to_pylist()
-                    tokens = [np.concatenate([np.frombuffer(encode(t) if t else b"", "<u4"), end]) for t in texts[first:last].to_pylist()]
+                    tokens = [np.concatenate([encode(t or ""), end]) for t in texts[first:last].to_pylist()]
                     rows = []
                     for doc, own, data in zip(docs, tokens, framed([payload(d, t) for d, t in zip(docs, tokens, strict=True)]), strict=True):
                         if out is None:

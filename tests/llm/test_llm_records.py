@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -61,7 +62,16 @@ def test_damage_is_seen():
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=" \n\t\r\x0b\x85\x1c ab'sé漢1!🙂<|endoftext|>", max_size=20) | st.lists(st.sampled_from(["<|endoftext|>", "a", " ", "\n", "b<", "|>"])).map("".join))
 def test_encoder_equals_the_tokenizer_with_special_tokens(text):
-    assert np.frombuffer(encoding.encoder().encode(text), "<u4").tolist() == _tokenizer.encode(text, add_special_tokens=False).ids
+    assert encoding.encoder().encode(text).tolist() == _tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_encoder_equals_the_tokenizer_over_the_test_table():
+    """All texts of a table, with and without ids for the strings of special tokens."""
+    plain = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    plain.encode_special_tokens = True
+    for text in pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"]).column("text").to_pylist():
+        for reference, own in ((_tokenizer, encoding.encoder()), (plain, encoding.encoder(plain=True))):
+            assert own.encode(text or "").tolist() == reference.encode(text or "", add_special_tokens=False).ids
 
 
 def test_query_over_test_table(spark):
