@@ -52,11 +52,12 @@ def unique_violations(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def foreign_key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+def foreign_key_violations(tables: dict[str, DataFrame], dimensions: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Rows whose key is in no row of its dimension, looked up in ``dimensions`` where the tables hold new rows only."""
     parts = []
     for name, df in tables.items():
         for key, dimension in WAREHOUSE[name].foreign_keys.items():
-            orphans = orphan_rows(df, tables[dimension], key)
+            orphans = orphan_rows(df, (dimensions or tables)[dimension], key)
             parts.append(_labelled(name, "foreign_key", {key: F.coalesce(F.sum("orphans"), F.lit(0))}, orphans))
     return reduce(DataFrame.unionByName, parts)
 
@@ -76,11 +77,17 @@ class ConstraintError(ValueError):
     """Raised when stored rows break a declared constraint."""
 
 
-def enforce(tables: dict[str, DataFrame]) -> None:
-    """Raise with every broken constraint of the given tables."""
-    kinds = (not_null_violations, unique_violations, foreign_key_violations, check_violations)
+def enforce(tables: dict[str, DataFrame], dimensions: dict[str, DataFrame] | None = None, met: dict[str, int] | None = None) -> None:
+    """Raise with every broken constraint of the given tables.
+
+    For a load's new rows, ``dimensions`` are the whole dimensions they refer to, and ``met`` tells how many natural keys of
+    new rows are stored already.
+    """
+    kinds = (not_null_violations, unique_violations, lambda t: foreign_key_violations(t, dimensions), check_violations)
     report = reduce(DataFrame.unionByName, [kind(tables) for kind in kinds])
-    broken = report.filter("violations > 0").collect()  # at most one row per declared constraint
+    counts = {(r["table_name"], r["constraint_kind"], r["column_name"]): r["violations"] for r in report.collect()}  # one row per declared constraint
+    for table, n in (met or {}).items():
+        counts[(table, "unique", ", ".join(WAREHOUSE[table].natural_key))] += n
+    broken = {constraint: n for constraint, n in counts.items() if n}
     if broken:
-        lines = [f"{r['table_name']} {r['constraint_kind']} ({r['column_name']}): {r['violations']}" for r in broken]
-        raise ConstraintError("\n".join(lines))
+        raise ConstraintError("\n".join(f"{table} {kind} ({column}): {n}" for (table, kind, column), n in broken.items()))

@@ -3,7 +3,8 @@
 * Dimensions: a row whose natural key is stored is ignored, so keys and attributes never
   change; new rows are appended and nothing stored is rewritten.
 * Facts: a row whose natural key is stored changes the listed measures only; foreign keys and
-  the creation time stay. Only periods in which a measure really changes are rewritten; new rows are added beside the stored ones.
+  the creation time stay. Only parts whose key filter admits a key of the load are read, and only periods in which a measure really
+  changes are rewritten; new rows are added beside the stored ones.
 """
 
 from __future__ import annotations
@@ -101,12 +102,13 @@ def merge_fact(draft: Draft, table: str, incoming: DataFrame) -> MergeCount:
 
     matched = staged.limit(0).select(*keys)
     periods: dict[int, tuple[int, int]] = {}
-    if draft.holds(table):
+    holding = draft.may_hold(table, staged)
+    if holding:
         # Stored rows the load meets again, and whether a measure differs: at most one result row per calendar period.
         differs = F.lit(False)
         for column in spec.update_columns:
             differs = differs | ~F.col(f"old.{column}").eqNullSafe(F.col(f"new.{column}").cast(spec.schema[column].dataType))
-        old = draft.read(table).withColumn("_period", draft.period()).alias("old")
+        old = draft.read(table, parts=holding).withColumn("_period", draft.period()).alias("old")
         both = old.join(staged.alias("new"), [F.col(f"old.{k}") == F.col(f"new.{k}") for k in keys])
         matched = draft.scratch.keep(both.select(*[F.col(f"old.{k}").alias(k) for k in keys], F.col("old._period").alias("period"), differs.alias("changed")), f"{table}_matched")
         counts = matched.groupBy("period").agg(F.count(F.lit(1)).alias("n"), F.count_if("changed").alias("changed"))

@@ -15,8 +15,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
+from starloom.operators import keyfilter
 from starloom.schemas import WAREHOUSE
 from starloom.session import Scratch
 
@@ -72,8 +73,8 @@ class Store:
         text = self.spark.read.option("wholetext", True).text(f"{self.root}/_versions/{version:08d}.json").first()[0]
         return json.loads(text)
 
-    def read(self, table: str, manifest: dict | None = None, periods: list[int] | None = None) -> DataFrame:
-        """Rows of ``table``, of a fact optionally only some ``periods``; empty if never loaded."""
+    def read(self, table: str, manifest: dict | None = None, periods: list[int] | None = None, parts: set[str] | None = None) -> DataFrame:
+        """Rows of ``table``, of a fact optionally only some ``periods`` or some ``parts``; empty if never loaded."""
         manifest = manifest or self.manifest()
         schema = WAREHOUSE[table].schema
         paths = []
@@ -82,7 +83,7 @@ class Store:
             if entry["parts"] is None:
                 paths.append(base)
             else:
-                paths += [f"{base}/{_PART}={p}" for p in entry["parts"] if periods is None or p in periods]
+                paths += [f"{base}/{_PART}={p}" for p in entry["parts"] if (periods is None or p in periods) and (parts is None or _part(entry, p) in parts)]
         if not paths:
             return empty(self.spark, schema)
         return self.spark.read.schema(schema).parquet(*paths)
@@ -98,6 +99,61 @@ class Store:
             df.createOrReplaceTempView(f"{prefix}{name}")
         return [f"{prefix}{name}" for name in tables]
 
+    # Upkeep --------------------------------------------------------------------------
+    def compact(self, most: int = 1) -> int:
+        """Rewrite every period of a fact, and every dimension, that lies in more than ``most`` folders into one folder, as a new version.
+
+        Rows and keys stay as they are. Returns the version, or the present one where nothing had to move.
+        """
+        draft = self.draft()
+        moved = False
+        for table in WAREHOUSE:
+            entries = draft.entries(table)
+            if any(entry["parts"] is None for entry in entries):
+                if len(entries) > most:
+                    draft.rewrite(table)
+                    moved = True
+                continue
+            folders: dict[int, int] = {}
+            for entry in entries:
+                for period in entry["parts"]:
+                    folders[period] = folders.get(period, 0) + 1
+            scattered = sorted(period for period, n in folders.items() if n > most)
+            if scattered:
+                draft.replace_periods(table, draft.read(table, scattered), scattered)
+                moved = True
+        return draft.commit() if moved else draft.base
+
+    def vacuum(self, keep: int = 1) -> list[str]:
+        """Remove all but the newest ``keep`` versions and every folder that no kept version lists; returns the folders removed.
+
+        Folders of refused loads go as well. A draft in progress writes below the number after the newest version, which is left alone.
+        """
+        if keep < 1:
+            raise ValueError("at least one version is kept")
+        known = self.versions()
+        if not known:
+            return []
+        used: set[str] = set()
+        for version in known[-keep:]:
+            for entries in self.manifest(version)["tables"].values():
+                used |= {path for entry in entries for path in (entry["path"], entry.get("keys")) if path}
+        for version in known[:-keep]:  # versions first: no reader is led to a folder that goes
+            path, fs = self._fs(f"{self.root}/_versions/{version:08d}.json")
+            fs.delete(path, False)
+        data, fs = self._fs(f"{self.root}/data")
+        gone = []
+        for load in fs.listStatus(data):
+            number = load.getPath().getName()
+            if int(number) > known[-1]:
+                continue
+            inside = [folder.getPath() for folder in fs.listStatus(load.getPath())]
+            unused = [path for path in inside if f"data/{number}/{path.getName()}" not in used]
+            gone += [f"data/{number}/{path.getName()}" for path in unused]
+            for path in [load.getPath()] if len(unused) == len(inside) else unused:
+                fs.delete(path, True)
+        return sorted(gone)
+
     # Drafts --------------------------------------------------------------------------
     def draft(self) -> "Draft":
         manifest = copy.deepcopy(self.manifest())
@@ -105,6 +161,10 @@ class Store:
         return Draft(self, manifest)
 
 
+def _part(entry: dict, period: int) -> str:
+    return f"{entry['path']}/{_PART}={period}"
+
+
 class Draft:
     """The next version while it is being written."""
 
@@ -114,9 +174,46 @@ class Draft:
         self.base = manifest["version"]
         self.folder = f"data/{self.base + 1:08d}"
         self.scratch = Scratch(store.spark)
+        self.stored = {table: [entry["path"] for entry in entries] for table, entries in manifest["tables"].items()}
+
+    def read(self, table: str, periods: list[int] | None = None, parts: set[str] | None = None) -> DataFrame:
+        return self.store.read(table, self.manifest, periods, parts)
 
-    def read(self, table: str, periods: list[int] | None = None) -> DataFrame:
-        return self.store.read(table, self.manifest, periods)
+    def fresh(self, table: str) -> DataFrame:
+        """Rows in folders that this draft has written; rewritten periods are among them."""
+        return self.store.read(table, {"tables": {table: [e for e in self.entries(table) if not self._is_old(table, e)]}})
+
+    def earlier(self, table: str) -> DataFrame:
+        """Rows in folders that earlier versions wrote."""
+        return self.store.read(table, {"tables": {table: [e for e in self.entries(table) if self._is_old(table, e)]}})
+
+    def _is_old(self, table: str, entry: dict) -> bool:
+        return entry["path"] in self.stored.get(table, [])
+
+    def kept_rows(self, table: str) -> int | None:
+        """Number of rows in folders that earlier versions wrote; None where a folder has no count."""
+        own = [entry for entry in self.entries(table) if self._is_old(table, entry)]
+        if any("rows" not in entry for entry in own):
+            return None
+        return sum(e["rows"] if e["parts"] is None else sum(e["rows"][str(p)] for p in e["parts"]) for e in own)
+
+    def may_hold(self, table: str, rows: DataFrame, stored_only: bool = False) -> set[str]:
+        """Parts of a fact that may hold natural keys of ``rows``, by their key ranges and filters; a part without a filter always may."""
+        spec = WAREHOUSE[table]
+        keys = [F.col(k).cast(spec.schema[k].dataType) for k in spec.natural_key]
+        entries = [e for e in self.entries(table) if not stored_only or self._is_old(table, e)]
+        asked = [
+            {"part": _part(e, p), "entry": e, **e["filters"][str(p)]} for e in entries for p in e["parts"] if e.get("keys")
+        ]
+        found = {_part(e, p) for e in entries for p in e["parts"] if not e.get("keys")}
+        if asked:
+            low, high = rows.agg(F.min(keys[0]), F.max(keys[0])).first()
+            asked = [p for p in asked if low is not None and p["low"] <= high and low <= p["high"]]
+        if asked:
+            paths = sorted({f"{self.store.root}/{p['entry']['keys']}" for p in asked})
+            filters = self.store.spark.read.schema("part string, block long, bits binary").parquet(*paths)
+            found |= {row.part for row in keyfilter.probe(rows, keys, asked, filters).collect()}
+        return found
 
     def period(self):
         """Number of the period a row belongs to."""
@@ -128,7 +225,7 @@ class Draft:
     def _folder_for(self, table: str) -> str:
         return f"{self.folder}/{table}-{uuid.uuid4().hex[:8]}"
 
-    def _entries(self, table: str) -> list[dict]:
+    def entries(self, table: str) -> list[dict]:
         return self.manifest["tables"].setdefault(table, [])
 
     def last_key(self, table: str) -> int:
@@ -150,28 +247,46 @@ class Draft:
         rows.write.parquet(f"{self.store.root}/{path}")
         written = self._measure(table, path)
         if written:
-            self._entries(table).append({"path": path, "parts": None})
+            self.entries(table).append({"path": path, "parts": None, "rows": written})
         return written
 
+    def rewrite(self, table: str) -> None:
+        """Put all rows of a table without periods into one folder."""
+        rows = self.read(table)
+        self.manifest["tables"][table] = []
+        self.append(table, rows.repartitionByRange(WAREHOUSE[table].key))
+
+    def _filtered(self, table: str, path: str) -> dict:
+        """Entry of a fact folder just written: rows, key range and key filter of every period; notes the largest surrogate key."""
+        spec = WAREHOUSE[table]
+        schema = StructType([*spec.schema.fields, StructField(_PART, IntegerType())])
+        written = self.store.spark.read.schema(schema).parquet(f"{self.store.root}/{path}")
+        first = spec.natural_key[0]
+        stats = written.groupBy(_PART).agg(F.count(F.lit(1)).alias("n"), F.max(spec.key).alias("key"), F.min(first).alias("low"), F.max(first).alias("high")).collect()
+        filters = {str(r[_PART]): {"blocks": keyfilter.blocks_for(r["n"]), "low": r["low"], "high": r["high"]} for r in stats}
+        named = written.withColumn("_named", F.concat(F.lit(f"{path}/{_PART}="), F.col(_PART).cast("string")))
+        blocks = {f"{path}/{_PART}={p}": f["blocks"] for p, f in filters.items()}
+        keyfilter.build(named, "_named", [F.col(k) for k in spec.natural_key], blocks).write.parquet(f"{self.store.root}/{path}-keys")
+        self.manifest["keys"][table] = max(self.last_key(table), *[r["key"] for r in stats])
+        return {"path": path, "parts": sorted(map(int, filters)), "rows": {str(r[_PART]): r["n"] for r in stats}, "keys": f"{path}-keys", "filters": filters}
+
     def replace_periods(self, table: str, rows: DataFrame, replaced: list[int]) -> None:
         """Store ``rows`` by period and drop the stored periods in ``replaced``.
 
-        Spark balances the output files itself: a large period is split, small ones share a task.
+        Spark balances the output files itself: a large period is split, small ones share a task. A filter of the keys is written beside them.
         """
         path = self._folder_for(table)
         placed = rows.withColumn(_PART, self.period()).hint("rebalance", F.col(_PART))
         placed.write.partitionBy(_PART).parquet(f"{self.store.root}/{path}")
         hadoop_path, fs = self.store._fs(f"{self.store.root}/{path}")
-        names = [s.getPath().getName() for s in fs.listStatus(hadoop_path)]
-        written = sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{_PART}="))
+        written = any(s.getPath().getName().startswith(f"{_PART}=") for s in fs.listStatus(hadoop_path))
         kept = []
-        for entry in self._entries(table):
+        for entry in self.entries(table):
             parts = [p for p in entry["parts"] if p not in replaced]
             if parts:
-                kept.append({"path": entry["path"], "parts": parts})
+                kept.append({**entry, "parts": parts})
         if written:
-            kept.append({"path": path, "parts": written})
-            self._measure(table, path)
+            kept.append(self._filtered(table, path))
         self.manifest["tables"][table] = kept
 
     def commit(self) -> int:

@@ -8,8 +8,10 @@ from conftest import RAW_ROWS, make_raw, rows
 from starloom.operators.merge import MergeCount, merge_fact
 from starloom.operators.snapshot import Store
 from starloom.operators.constraints import ConstraintError
-from starloom.plans.warehouse import key_maps, run_pipeline, transform
+from starloom.plans.quality import QualityError
+from starloom.plans.warehouse import key_maps, load, publishable, publishable_draft, run_pipeline, settings_for, transform
 from starloom.schemas import FACTS, WAREHOUSE
+from starloom.sources import dates
 
 DIM_ROWS = {"dim_customer": 3, "dim_product": 4, "dim_seller": 2, "dim_date": 1096, "dim_payment": 6}
 
@@ -202,3 +204,150 @@ def test_default_load_refuses_unknown_products(spark, root):
     with pytest.raises(ConstraintError, match="product_key"):
         run_pipeline(spark, unknown, root)
     assert Store(spark, root).versions() == []
+
+
+def new_orders(spark, first, n=3, **changes):
+    """A batch of orders nobody has seen, of one known person."""
+    ids = range(first, first + n)
+    tables = {
+        "orders": [(f"o{i}", f"c{i}", "delivered", "2017-03-10 10:00:00", None, "2017-03-15 10:00:00", "2017-03-20 00:00:00") for i in ids],
+        "customers": [(f"c{i}", "ana", "sp", "santos") for i in ids],
+        "order_items": [(f"o{i}", 1, "p1", "s1", "5.00", "1.00") for i in ids],
+        "payments": [(f"o{i}", 1, "boleto", 1, "6.00") for i in ids],
+        "reviews": [(f"o{i}", 5, None, None) for i in ids],
+    }
+    return make_raw(spark, **(tables | changes))
+
+
+def spoil(root, manifest):
+    """Overwrite every stored fact file, so that whoever reads one fails."""
+    for fact in FACTS:
+        for entry in manifest["tables"][fact]:
+            for file in (Path(root) / entry["path"]).rglob("*.parquet"):
+                file.write_bytes(b"unreadable")
+                file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+
+
+def test_new_orders_open_no_old_fact_file(spark, root):
+    run_pipeline(spark, new_orders(spark, 100, 50), root)
+    store = Store(spark, root)
+    old = store.manifest()
+    assert old["checked"]
+    spoil(root, old)
+    metrics = run_pipeline(spark, new_orders(spark, 500, 40), root)
+    load = next(m for m in metrics if m["stage"] == "load")["tables"]
+    assert all(load[fact] == {"offered": 40, "inserted": 40, "updated": 0} for fact in FACTS)
+    new = store.manifest()
+    fresh = store.read("fact_sales", {"tables": {"fact_sales": [e for e in new["tables"]["fact_sales"] if e not in old["tables"]["fact_sales"]]}})
+    assert fresh.count() == 40 and len(new["tables"]["fact_sales"]) == 2
+    with pytest.raises(Exception, match="Parquet|parquet"):
+        store.read("fact_sales").collect()
+
+
+def test_key_filters_admit_all_own_keys_and_few_others(spark, root):
+    run_pipeline(spark, new_orders(spark, 100, 400), root, grain="month")
+    draft = Store(spark, root).draft()
+    keys = lambda ids: spark.createDataFrame([(f"o{i}", 1) for i in ids], "order_id string, order_item_id bigint")
+    every = {f"{e['path']}/_period={p}" for e in draft.entries("fact_sales") for p in e["parts"]}
+    assert len(every) == 1
+    for i in (100, 250, 499):
+        assert draft.may_hold("fact_sales", keys([i])) == every
+    assert draft.may_hold("fact_sales", keys(["0", "99999"])) == set(), "beyond the range of keys"
+    assert draft.may_hold("fact_sales", keys([f"2{i}x" for i in range(2000)])) in (set(), every)
+    assert draft.may_hold("fact_sales", keys([f"2{i}x" for i in range(50)])) == set(), "inside the range, but in no filter"
+    assert draft.may_hold("fact_sales", keys([])) == set()
+    draft.manifest["tables"]["fact_sales"][0].pop("keys")
+    assert draft.may_hold("fact_sales", keys(["0"])) == every, "a folder without a filter is always read"
+
+
+def test_compaction_keeps_rows_and_readers(spark, root):
+    store = Store(spark, root)
+    for k in range(4):
+        run_pipeline(spark, new_orders(spark, 100 + 10 * k, 4, customers=[(f"c{i}", f"person {i}", "sp", "x") for i in range(100 + 10 * k, 104 + 10 * k)]), root, check=None)
+    before, last = everything(store), store.manifest()
+    assert [len(last["tables"][t]) for t in ("fact_sales", "dim_customer")] == [4, 4]
+    assert store.compact() == 5
+    assert everything(store) == before
+    assert all(len(entries) == 1 for entries in store.manifest()["tables"].values())
+    assert store.compact() == 5, "nothing left to move"
+    assert {n: rows(df) for n, df in store.tables(last).items()} == before
+    run_pipeline(spark, new_orders(spark, 100, 4), root, check=None)
+    assert {n: len(r) for n, r in everything(store).items()} == {n: len(r) for n, r in before.items()} | {"dim_customer": len(before["dim_customer"]) + 1}
+
+
+def test_vacuum_removes_what_no_kept_version_lists(spark, raw, root):
+    run_pipeline(spark, raw, root, check=None)
+    with pytest.raises(ValueError):
+        run_pipeline(spark, new_orders(spark, 100), root, check=lambda tables: (_ for _ in ()).throw(ValueError("no")))
+    run_pipeline(spark, new_orders(spark, 200), root, check=None)
+    run_pipeline(spark, new_orders(spark, 300), root, check=None)
+    store = Store(spark, root)
+    store.compact()
+    kept = {v: {n: rows(df) for n, df in store.tables(store.manifest(v)).items()} for v in (3, 4)}
+    listed = lambda v: {p for es in store.manifest(v)["tables"].values() for e in es for p in (e["path"], e.get("keys")) if p}
+    used = listed(3) | listed(4)
+    gone = store.vacuum(keep=2)
+    assert gone and not used & set(gone)
+    assert store.versions() == [3, 4]
+    assert {str(p.relative_to(root)) for p in (Path(root) / "data").glob("*/*")} == used
+    assert {v: {n: rows(df) for n, df in store.tables(store.manifest(v)).items()} for v in (3, 4)} == kept
+    assert store.vacuum(keep=2) == []
+    with pytest.raises(ValueError):
+        store.vacuum(keep=0)
+
+
+FAULTS = {
+    "unknown product": {"order_items": [("o900", 1, "nowhere", "s1", "5.00", "1.00"), ("o901", 1, "p1", "s1", "5.00", "1.00"), ("o902", 1, "p1", "s1", "5.00", "1.00")]},
+    "no price": {"order_items": [("o900", 1, "p1", "s1", "0.00", "1.00")]},
+    "negative freight": {"order_items": [("o900", 1, "p1", "s1", "5.00", "-1.00")]},
+    "negative payment": {"payments": [("o900", 1, "boleto", 1, "-6.00")]},
+    "card without installments": {"payments": [("o900", 1, "credit_card", 0, "6.00")]},
+    "score of nine": {"reviews": [("o900", 9, None, None)]},
+    "long state": {"sellers": [("s77", "long", "x")]},
+    "day outside the calendar": {"orders": [("o900", "c900", "delivered", "2031-03-10 10:00:00", None, "2031-03-15 10:00:00", "2031-03-20 00:00:00")]},
+}
+
+
+def test_checks_of_new_rows_refuse_what_checks_of_all_rows_refuse(spark, root):
+    run_pipeline(spark, new_orders(spark, 100), root)
+    store = Store(spark, root)
+    settings = settings_for(dates.date_series(spark))
+    drafts, refusals = [], []
+    for fault in FAULTS.values():
+        draft = store.draft()
+        load(draft, new_orders(spark, 900, 3, **fault))
+        with pytest.raises((ConstraintError, QualityError)) as whole:
+            publishable({t: draft.read(t) for t in WAREHOUSE}, settings)
+        drafts.append(draft)
+        refusals.append(str(whole.value))
+    spoil(root, store.manifest())
+    for draft, refusal in zip(drafts, refusals, strict=True):
+        with pytest.raises((ConstraintError, QualityError)) as part:
+            publishable_draft(draft, settings)
+        assert str(part.value) == refusal
+
+
+def test_checks_of_new_rows_see_keys_stored_before(spark, root):
+    """A row that a faulty merge would store twice."""
+    run_pipeline(spark, new_orders(spark, 100), root)
+    store = Store(spark, root)
+    settings = settings_for(dates.date_series(spark))
+    for table, key in (("fact_sales", "order_id, order_item_id"), ("dim_customer", "customer_unique_id")):
+        draft = store.draft()
+        twice = draft.read(table).limit(1)
+        draft.append(table, twice) if table == "dim_customer" else draft.replace_periods(table, twice, [])
+        with pytest.raises(ConstraintError) as whole:
+            publishable({t: draft.read(t) for t in WAREHOUSE}, settings)
+        with pytest.raises(ConstraintError) as part:
+            assert publishable_draft(draft, settings) == "new rows"
+        assert str(part.value) == str(whole.value) == f"{table} unique ({key}): 1"
+
+
+def test_gate_follows_the_calendar_of_the_load(spark, root):
+    days = dates.date_series(spark, "2017-01-01", "2017-12-31")
+    run_pipeline(spark, new_orders(spark, 100), root, days)
+    assert (Store(spark, root).manifest()["checked"]["start"], Store(spark, root).read("dim_date").count()) == ("2017-01-01", 365)
+    with pytest.raises((ConstraintError, QualityError)):
+        late = [(f"o{i}", f"c{i}", "delivered", "2018-03-10 10:00:00", None, "2018-03-15 10:00:00", "2018-03-20 00:00:00") for i in (7, 8, 9)]
+        run_pipeline(spark, new_orders(spark, 7, 3, orders=late), root, days)
+    assert Store(spark, root).versions() == [1]
