@@ -207,10 +207,12 @@ def boost(rows: np.ndarray, labels: np.ndarray, trees: int = 60, depth: int = 4,
 
 
 def isotonic(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Weighted isotonic regression by pooling adjacent violators: block centres and values."""
+    """Weighted isotonic regression by pooling adjacent violators: block centres and values. Rows of one margin are one point, whatever their order."""
     blocks: list[list[float]] = []  # value, weight, sum of margins
-    order = np.argsort(margins, kind="stable")
-    for m, y, w in zip(margins[order].tolist(), labels[order].tolist(), weights[order].tolist(), strict=True):
+    distinct, point = np.unique(margins, return_inverse=True)
+    total = np.bincount(point, weights, len(distinct))
+    share = np.bincount(point, weights * labels, len(distinct)) / total
+    for m, y, w in zip(distinct.tolist(), share.tolist(), total.tolist(), strict=True):
         blocks.append([y, w, m * w])
         while len(blocks) > 1 and blocks[-2][0] >= blocks[-1][0]:
             (a, u, s), (b, v, t) = blocks[-2:]
