@@ -11,13 +11,13 @@ and forward-backward runs over blocks of words side by side, exactly, with messa
 
 from __future__ import annotations
 
-import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,11 +31,11 @@ _BUCKETS = 1 << 16
 _BLOCK = 64
 _CHAIN = 32
 _CACHED_WORDS = 200_000
-_EDGES = re.compile(r"^[\W\d_]+|[\W\d_]+$")
+_EDGES = regex.compile(r"^\P{L}+|\P{L}+$")
 
 
 def letters_of(word: str) -> str:
-    """A word without what surrounds its letters; empty if it has none."""
+    """A word without what surrounds its letters (Unicode's L categories; no numerals and marks); empty if it has none."""
     return word if word.isalpha() else _EDGES.sub("", word)
 
 
