@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +24,8 @@ from starloom.llm.tables import stored, with_matches
 from starloom.llm.words import Words, windows_hash, word_slices
 
 WIDTH = 50
-_RUNS = "anchor long, doc_id long, first int, last int, hashes binary"
-_SPANS = "doc_id long, first int, last int"
+_RUNS = "anchor long, doc_id long, row long, first int, last int, hashes binary"
+_SPANS = "row long, first int, last int"
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -61,10 +61,10 @@ def _windows(words: Words, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _batch(columns: list[np.ndarray], hashes: list[bytes | None]) -> pa.RecordBatch:
-    anchor, doc, first, last = columns
+    anchor, doc, row, first, last = columns
     return pa.RecordBatch.from_arrays(
-        [pa.array(anchor.view(np.int64)), pa.array(doc), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(hashes, pa.binary())],
-        names=["anchor", "doc_id", "first", "last", "hashes"],
+        [pa.array(anchor.view(np.int64)), pa.array(doc), pa.array(row), pa.array(first.astype(np.int32)), pa.array(last.astype(np.int32)), pa.array(hashes, pa.binary())],
+        names=["anchor", "doc_id", "row", "first", "last", "hashes"],
     )
 
 
@@ -81,10 +81,10 @@ def _repeats(hashes: np.ndarray, docs: np.ndarray) -> np.ndarray:
 def _runs(width: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
+            ids, numbers = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for first, last, words in word_slices(batch.column(1)):
                 text, position, hashes, anchors = _windows(words, width)
-                docs = ids[first:last][text]
+                docs, rows = ids[first:last][text], numbers[first:last][text]
                 if not len(docs):
                     continue
                 known = _repeats(hashes, docs)
@@ -98,9 +98,9 @@ def _runs(width: int):
                     ends = np.append(starts[1:], len(pick))
                     raw = hashes[pick].astype("<u8").tobytes()
                     payload = [None] * len(starts) if kept else [raw[8 * a : 8 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-                    # an interval needs no company: its document spreads it
-                    anchor = docs[pick][starts].view(np.uint64) if kept else anchors[pick][starts]
-                    yield _batch([anchor, docs[pick][starts], at[starts], at[ends - 1] + width], payload)
+                    # an interval needs no company: its row spreads it
+                    anchor = rows[pick][starts].view(np.uint64) if kept else anchors[pick][starts]
+                    yield _batch([anchor, docs[pick][starts], rows[pick][starts], at[starts], at[ends - 1] + width], payload)
 
     return scan
 
@@ -112,10 +112,10 @@ def _meet(width: int):
         anchor_now, seen = None, {}
         for batch in batches:
             anchors = batch.column(0).to_numpy()
-            docs, first, last = (batch.column(i).to_numpy() for i in (1, 2, 3))
-            payload = batch.column(4)
+            docs, rows, first, last = (batch.column(i).to_numpy() for i in (1, 2, 3, 4))
+            payload = batch.column(5)
             known = payload.is_null().to_numpy(zero_copy_only=False)
-            out = [(docs[known], first[known], last[known])]
+            out = [(rows[known], first[known], last[known])]
             shared = np.zeros(len(anchors), dtype=bool)
             same = anchors[1:] == anchors[:-1]
             shared[1:] |= same
@@ -127,46 +127,53 @@ def _meet(width: int):
             for i in np.flatnonzero(shared & ~known).tolist():
                 if anchors[i] != anchor_now:
                     anchor_now, seen = anchors[i], {}
-                doc, begin = int(docs[i]), int(first[i])
+                doc, row, begin = int(docs[i]), int(rows[i]), int(first[i])
                 for k, h in enumerate(np.frombuffer(payload[i].as_buffer(), dtype="<u8").tolist()):
                     if seen.setdefault(h, doc) < doc:
-                        if spans and spans[-1][0] == doc and spans[-1][2] == begin + k + width - 1:
+                        if spans and spans[-1][0] == row and spans[-1][2] == begin + k + width - 1:
                             spans[-1][2] += 1
                         else:
-                            spans.append([doc, begin + k, begin + k + width])
+                            spans.append([row, begin + k, begin + k + width])
             if spans:
                 out.append(tuple(np.array(column) for column in zip(*spans, strict=True)))
             for d, a, b in out:
                 if len(d):
-                    yield pa.RecordBatch.from_arrays([pa.array(d.astype(np.int64)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["doc_id", "first", "last"])
+                    yield pa.RecordBatch.from_arrays([pa.array(d.astype(np.int64)), pa.array(a.astype(np.int32)), pa.array(b.astype(np.int32))], names=["row", "first", "last"])
 
     return flag
 
 
+def _row() -> Column:
+    """Rows are told apart by id and text together: rows equal in both lose the same words, whatever their order or number."""
+    return F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+
+
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, first, last``: word ranges covered by windows that also start in a document with a smaller id. Ranges may overlap."""
-    runs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).where("doc_id is not null").mapInArrow(_runs(width), _RUNS)
+    """``row, first, last``: word ranges covered by windows that also start in a document with a smaller id. Ranges may overlap."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _row().alias("row"))
+    runs = rows.where("doc_id is not null").mapInArrow(_runs(width), _RUNS)
     return runs.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(_meet(width), _SPANS)
 
 
 def maximal(spans: DataFrame) -> DataFrame:
-    """``doc_id, spans``: overlapping or touching ranges of a document put together, in order."""
-    order = Window.partitionBy("doc_id").orderBy("first", "last")
+    """``row, spans``: overlapping or touching ranges of a row put together, in order."""
+    order = Window.partitionBy("row").orderBy("first", "last")
     reach = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce(F.col("first") > reach, F.lit(True)).cast("int")
     islands = spans.distinct().withColumn("opens", opens).withColumn("island", F.sum("opens").over(order))
-    merged = islands.groupBy("doc_id", "island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    return merged.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
+    merged = islands.groupBy("row", "island").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return merged.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans"))
 
 
 def marked(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with ``_spans``: the maximal word ranges to remove, null where there are none.
 
     Null texts, texts under ``width`` words and rows without doc_id have none. Of equal windows those in the document with the smallest
-    id stay, also its repeats inside that document; rows with the same id never remove from each other.
+    id stay, also its repeats inside that document; rows with the same id never remove from each other, and each loses by its own text.
     """
     spans = stored(maximal(repeated_spans(docs, width)), "spans")
-    return with_matches(docs, spans.withColumnRenamed("spans", "_spans"))
+    matched = with_matches(docs.withColumn("_llm_row", _row()), spans.select(F.col("row").alias("_llm_row"), F.col("spans").alias("_spans")), "_llm_row")
+    return matched.drop("_llm_row")
 
 
 def _kept_words(text: bytes, spans) -> tuple[list[bytes], int]:
