@@ -1,12 +1,13 @@
 """Groups of spelling variants: words one inserted, deleted or replaced letter apart, found by PartEnum signatures.
 
 The letters of a word are a binary vector: one dimension per letter and occurrence (first e, second e, ...). One edit changes at most two
-dimensions, so near words have vectors at Hamming distance two at most. The dimensions are partitioned into seven parts; two such
-vectors agree in at least five of them. All 21 choices of five parts are enumerated, each giving an exact signature; near words share at least
-one. Signatures meet by an equi-join, a pair is formed at the first signature it shares, and the edit distance decides.
+dimensions, so near words have vectors at Hamming distance two at most. The dimensions are partitioned into five parts; two such
+vectors agree in at least three of them. All ten choices of three parts are enumerated, each giving an exact signature; near words share at least
+one. As a vector knows no order, a signature is taken once with the first three letters of the word and once with its last three: one edit
+leaves one of the two ends as it is. These keys meet by an equi-join, a pair is formed at the first key it shares, and the edit distance decides.
 
-A signature of more words than ``WIDE`` is divided further, exactly: its words meet where they are equal without one letter,
-which at most an alphabet of words can be. So no signature gives a number of pairs that grows with the square of its words.
+A key of more words than ``WIDE`` is divided further, exactly: its words meet where they are equal without one letter,
+which at most an alphabet of words can be. So no key gives a number of pairs that grows with the square of its words.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RUN = "[a-zÀ-ÿ]+"
 LEAST_LENGTH, LEAST_COUNT, RATIO = 7, 2, 10
 DAMAGE = 31
-PARTS, DISTANCE, PART_BITS = 7, 2, 8
+PARTS, DISTANCE, PART_BITS = 5, 2, 11
+END = 3
 WIDE = 256
 #: Bits of the parts that each signature keeps.
 MASKS = [sum(((1 << PART_BITS) - 1) << (PART_BITS * part) for part in chosen) for chosen in combinations(range(PARTS), PARTS - DISTANCE)]
@@ -57,7 +59,7 @@ def _letter_order(words: DataFrame) -> str:
 
 
 def vector_codes(words: pa.Array, order: str) -> np.ndarray:
-    """Per word the seven parts of its vector, hashed to eight bits each, in one number."""
+    """Per word the parts of its vector, hashed to ``PART_BITS`` each, in one number."""
     lengths = pc.utf8_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
     letters = np.frombuffer("".join(words.to_pylist()).encode("utf-32-le"), dtype="<u4").astype(np.int64)
     owner = np.repeat(np.arange(len(lengths)), lengths)
@@ -75,8 +77,8 @@ def vector_codes(words: pa.Array, order: str) -> np.ndarray:
     return np.bitwise_xor.reduceat(value << (part * PART_BITS).astype(np.uint64), starts).astype(np.int64)
 
 
-def signatures(words: DataFrame) -> DataFrame:
-    """``signature, code, word, n``: 21 rows a word."""
+def coded(words: DataFrame) -> DataFrame:
+    """Words with the codes of their vectors."""
     order = _letter_order(words)
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,19 +86,25 @@ def signatures(words: DataFrame) -> DataFrame:
             if batch.num_rows:
                 yield pa.RecordBatch.from_arrays([pa.array(vector_codes(batch.column(0), order)), *batch.columns], names=["code", "word", "n"])
 
-    coded = words.select("word", "n").mapInArrow(code, "code long, word string, n long")
-    each = F.array(*[F.col("code").bitwiseAND(F.lit(mask)).bitwiseOR(F.lit(i << (PARTS * PART_BITS))) for i, mask in enumerate(MASKS)])
-    return coded.select(F.explode(each).alias("signature"), "code", "word", "n")
+    return words.select("word", "n").mapInArrow(code, "code long, word string, n long")
 
 
-def _first_shared(a: Column, b: Column) -> Column:
-    """Number of the first signature that two codes share."""
-    apart = a.bitwiseXOR(b)
-    return F.coalesce(*[F.when(apart.bitwiseAND(F.lit(mask)) == 0, F.lit(i)) for i, mask in enumerate(MASKS)])
+def signatures(codes: DataFrame) -> DataFrame:
+    """``key, slot, code, word, n``: 20 rows a word, one for each signature and each end."""
+    ends = (F.substring("word", 1, END), F.substring("word", -END, END))
+    slots = [F.struct(F.xxhash64(F.lit(2 * i + k), F.col("code").bitwiseAND(F.lit(mask)), end).alias("key"), F.lit(2 * i + k).alias("slot")) for i, mask in enumerate(MASKS) for k, end in enumerate(ends)]
+    return codes.select(F.inline(F.array(*slots)), "code", "word", "n")
+
+
+def _first_shared() -> Column:
+    """Number of the first key that words a and b share."""
+    apart = F.col("a_code").bitwiseXOR(F.col("b_code"))
+    signature = F.coalesce(*[F.when(apart.bitwiseAND(F.lit(mask)) == 0, F.lit(i)) for i, mask in enumerate(MASKS)])
+    return 2 * signature + F.when(F.substring("a_word", 1, END) == F.substring("b_word", 1, END), 0).otherwise(1)
 
 
 def _without_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows ``key, role`` of words under a wide signature: a word without each of its letters, by a hash that is linear in the word's length.
+    """New rows of words under a wide key: a word without each of its letters, by a hash that is linear in the word's length.
 
     Role 0 meets itself (a replaced letter at one place), role 1, the word as it is, meets role 2, words with one letter more.
     """
@@ -107,15 +115,15 @@ def _without_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
             taken = batch.take(pa.array(np.concatenate(picks)))  # noqa: B023
             key, role = pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(roles))  # noqa: B023
-            return pa.RecordBatch.from_arrays([*taken.columns, key, role], names=[*taken.schema.names, "key", "role"])
+            return pa.RecordBatch.from_arrays([key, *taken.columns[1:], role], names=[*taken.schema.names, "role"])
 
-        for row, (signature, word) in enumerate(zip(batch.column("signature").to_pylist(), batch.column("word").to_pylist(), strict=True)):
+        for row, (wide, word) in enumerate(zip(batch.column("key").to_pylist(), batch.column("word").to_pylist(), strict=True)):
             letters = mix(np.frombuffer(word.encode("utf-32-le"), dtype="<u4").astype(np.uint64))
             steps = np.full(len(letters), _BASE, dtype=np.uint64)
             steps[0] = 1
             sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(letters * np.multiply.accumulate(steps))])
             short = sums[:-1] + (sums[-1] - sums[1:]) * inverse
-            salt = mix(np.array([signature], dtype=np.int64).view(np.uint64))
+            salt = mix(np.array([wide], dtype=np.int64).view(np.uint64))
             places = mix(np.arange(1, len(letters) + 1, dtype=np.uint64))
             for role, found in ((0, mix(short + salt) ^ places), (1, mix(sums[-1:] + salt)), (2, np.unique(mix(short + salt)))):
                 keys.append(found)
@@ -131,16 +139,16 @@ def _without_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def near_pairs(words: DataFrame, wide: int = WIDE) -> DataFrame:
     """``a, a_n, b, b_n`` for all pairs of words at edit distance one, each once and with a before b."""
-    rows = stored(signatures(words), "signatures")
-    crowds = rows.groupBy("signature").agg(F.count("*").alias("size")).where(F.col("size") > wide)
-    crowded = stored(crowds.select("signature"), "wide-signatures")
-    fine = rows.join(crowded, "signature", "left_semi").mapInArrow(_without_one, "signature long, code long, word string, n long, key long, role int")
-    plain = rows.join(crowded, "signature", "left_anti").select("*", F.col("signature").alias("key"), F.lit(0).alias("role"))
-    met = plain.unionByName(fine)
-    left, right = (met.select("key", "signature", *[F.col(c).alias(f"{side}_{c}") for c in ("code", "word", "n", "role")]) for side in ("a", "b"))
-    ordered = (F.col("a_role") == 0) & (F.col("b_role") == 0) & (F.col("a_word") < F.col("b_word"))
-    met = left.join(right, ["key", "signature"]).where(ordered | ((F.col("a_role") == 1) & (F.col("b_role") == 2)))
-    met = met.where(F.call_function("shiftright", "signature", F.lit(PARTS * PART_BITS)) == _first_shared(F.col("a_code"), F.col("b_code")))
+    rows = signatures(stored(coded(words), "coded-words"))
+    crowds = rows.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > wide)
+    crowded = stored(crowds.select("key"), "wide-keys")
+    fine = rows.join(crowded, "key", "left_semi").mapInArrow(_without_one, "key long, slot int, code long, word string, n long, role int")
+    met = rows.join(crowded, "key", "left_anti").withColumn("role", F.lit(0)).unionByName(fine)
+    left, right = (met.select("key", "slot", *[F.col(c).alias(f"{side}_{c}") for c in ("code", "word", "n", "role")]) for side in ("a", "b"))
+    # One condition over both sides: a part of it pushed to one side would make the sides differ, and each would be shuffled.
+    paired = F.when(F.col("a_role") + F.col("b_role") == 0, F.col("a_word") < F.col("b_word")).otherwise(3 * F.col("a_role") + F.col("b_role") == 5)
+    met = left.join(right, ["key", "slot"]).where(paired)
+    met = met.where(F.col("slot") == _first_shared())
     met = met.where(F.levenshtein("a_word", "b_word", 1) == 1)
     turned = F.col("a_word") > F.col("b_word")
     pick = lambda c: F.when(turned, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}")).alias("a" if c == "word" else "a_n")
