@@ -7,7 +7,7 @@ spans. A conversation is gathered into one row, as the example it becomes has to
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.llm.tables import stored
@@ -20,11 +20,15 @@ LEARNED_ROLE = "assistant"
 def conversations(turns: DataFrame, key: str, name: str) -> DataFrame:
     """``key, name``: the turns of each conversation in order. Null role or text count as empty; equal turn numbers go by role, then text.
 
-    Rows with a null key or turn number belong to no conversation.
+    Turns without a number come last. Turns with a null key are one conversation, the one without a key. ``seen`` counts the replies before a turn.
     """
-    turn = F.struct(F.col("turn").cast("long").alias("turn"), F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = turns.where(F.col(key).isNotNull() & F.col("turn").isNotNull()).select(F.col(key).alias(key), turn.alias("turn"))
-    return rows.groupBy(key).agg(F.sort_array(F.collect_list("turn")).alias(name))
+    turn = [F.col("turn").isNull().alias("unnumbered"), F.coalesce(F.col("turn").cast("long"), F.lit(0)).alias("turn")]
+    turn += [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("role", "text")]
+    rows = turns.select(F.col(key).alias(key), *turn)
+    # the window's shuffle serves the grouping too
+    before = Window.partitionBy(key).orderBy("unnumbered", "turn", "role", "text").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("seen", F.count_if(F.col("role") == LEARNED_ROLE).over(before))
+    return rows.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("unnumbered", "turn", "role", "text", "seen"))).alias(name))
 
 
 def _header(turn: Column) -> Column:
@@ -54,8 +58,8 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
 
     Conversations that agree throughout give two empty completions; an empty conversation gives an empty prompt and completion. A null side is an empty one.
     """
-    empty = F.array().cast("array<struct<turn:bigint,role:string,text:string>>")
-    pairs = pairs.select("pair_id", *[F.coalesce(F.col(side), empty).alias(side) for side in ("chosen", "rejected")])
+    empty = {side: F.array().cast(pairs.schema[side].dataType) for side in ("chosen", "rejected")}
+    pairs = pairs.select("pair_id", *[F.coalesce(F.col(side), nothing).alias(side) for side, nothing in empty.items()])
     same = F.zip_with("chosen", "rejected", lambda a, b: F.coalesce((a["role"] == b["role"]) & (a["text"] == b["text"]), F.lit(False)))
     first = F.array_position(same, F.lit(False)).cast("int")
     prefix = F.when(first > 0, first - 1).otherwise(F.size(same))
@@ -70,18 +74,23 @@ def format_preferences(pairs: DataFrame) -> DataFrame:
 
 
 def swapped_pairs(turns: DataFrame) -> DataFrame:
-    """Preference pairs from plain conversations: ``pair_id, chosen, rejected``.
+    """Preference pairs from plain conversations, one for each: ``pair_id, chosen, rejected``.
 
-    Chosen is a conversation up to its last assistant turn; in rejected, that reply is the last one of the next conversation by id (of the
-    first after the last). Conversations without a reply give no pair.
+    Chosen is the conversation as it is. Rejected is exchanged from one of its assistant turns on: their texts become those of the replies of the
+    next conversation by id (of the first after the last; without a key last), in order and over again where there are more replies than that
+    one has. Which turn it starts at is drawn by a checksum of the id, so pairs part at any reply. A conversation without a reply, or
+    whose next one has none, stays as it is on both sides.
     """
-    rows = conversations(turns, "conv_id", "turns")
-    last = F.array_max(F.transform("turns", lambda t, i: F.when(t["role"] == LEARNED_ROLE, i + 1)))
-    rows = rows.withColumn("last", last).where("last is not null")
-    rows = rows.select("conv_id", F.slice("turns", F.lit(1), F.col("last")).alias("chosen"), F.element_at("turns", F.col("last"))["text"].alias("reply"))
-    placed = stored(with_position(rows, ["conv_id"], "place", "total", keep=stored), "preferences")
-    replies = placed.select(F.when(F.col("place") == 1, F.col("total")).otherwise(F.col("place") - 1).alias("place"), F.col("reply").alias("other"))
-    final = F.element_at("chosen", -1)
-    swapped = F.struct(final["turn"].alias("turn"), final["role"].alias("role"), F.col("other").alias("text"))
-    rejected = F.concat(F.slice("chosen", F.lit(1), F.size("chosen") - 1), F.array(swapped))
-    return placed.join(replies, "place").select(F.col("conv_id").alias("pair_id"), "chosen", rejected.alias("rejected"))
+    rows = conversations(turns, "conv_id", "chosen")
+    rows = rows.withColumn("replies", F.transform(F.filter("chosen", lambda t: t["role"] == LEARNED_ROLE), lambda t: t["text"]))
+    placed = stored(with_position(rows, [F.col("conv_id").asc_nulls_last()], "place", "total", keep=stored), "preferences")
+    others = placed.select(F.when(F.col("place") == 1, F.col("total")).otherwise(F.col("place") - 1).alias("place"), F.col("replies").alias("others"))
+    drawn = F.crc32(F.coalesce(F.col("conv_id").cast("string"), F.lit("")).cast("binary")) % F.size("replies")
+    paired = placed.join(others, "place").withColumn("since", F.when((F.size("replies") > 0) & (F.size("others") > 0), drawn.cast("int")))
+
+    def exchanged(t: Column) -> Column:
+        other = F.get("others", t["seen"] % F.size("others"))
+        text = F.when((t["role"] == LEARNED_ROLE) & (t["seen"] >= F.col("since")), other).otherwise(t["text"])
+        return F.struct(*[t[c].alias(c) for c in ("unnumbered", "turn", "role")], text.alias("text"), t["seen"].alias("seen"))
+
+    return paired.select(F.col("conv_id").alias("pair_id"), "chosen", F.transform("chosen", exchanged).alias("rejected"))

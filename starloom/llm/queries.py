@@ -213,19 +213,40 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
     return pseudolm.score(docs, pseudolm.train(docs))
 
 
-PREFERENCES_SQL = r"""
+def _crc_table() -> list[int]:
+    table = list(range(256))
+    for _ in range(8):
+        table = [v >> 1 ^ (0xEDB88320 if v & 1 else 0) for v in table]
+    return table
+
+
+#: The checksum that Spark's crc32 gives, over the bytes of a text column.
+_CRC = """xor(list_reduce(list_prepend(4294967295, list_transform(range(1, length(hex(encode({0}))), 2),
+    lambda i: (instr('0123456789ABCDEF', hex(encode({0}))[i]) - 1) * 16 + instr('0123456789ABCDEF', hex(encode({0}))[i + 1]) - 1)),
+    lambda v, x: xor(v >> 8, ({1}::bigint[])[xor(v & 255, x) + 1])), 4294967295)"""
+
+PREFERENCES_SQL = rf"""
 with t as (
-  select conv_id, row_number() over (partition by conv_id order by turn, coalesce(role, ''), coalesce(text, '')) as i, coalesce(role, '') as role, coalesce(text, '') as text
-  from conversations where conv_id is not null and turn is not null
-), last as (select conv_id, max(i) as last, row_number() over (order by conv_id) as place, count(*) over () as total from t where role = 'assistant' group by conv_id),
-chosen as (select t.*, l.last, l.place, l.total from t join last l on l.conv_id = t.conv_id where t.i <= l.last),
-reply as (select case when place = 1 then total else place - 1 end as place, text as other from chosen where i = last),
-rows as (
-  select c.conv_id, c.i, c.role, c.text, case when c.i = c.last then r.other else c.text end as other_text, c.last from chosen c join reply r on r.place = c.place
-), prefix as (select conv_id, coalesce(min(case when text <> other_text then i end), max(last) + 1) - 1 as p from rows group by conv_id),
+  select conv_id, row_number() over (partition by conv_id order by turn nulls last, coalesce(role, ''), coalesce(text, '')) as i,
+    coalesce(role, '') as role, coalesce(text, '') as text
+  from conversations
+), c as (
+  select *, count(*) filter (where role = 'assistant') over (partition by conv_id order by i) - (role = 'assistant')::int as seen from t
+), n as (select conv_id, count(*) as turns, count(*) filter (where role = 'assistant') as replies from c group by conv_id),
+place as (
+  select *, coalesce(lead(place) over (order by place), 1) as next from (select *, row_number() over (order by conv_id nulls last) as place from n)
+), met as (
+  select a.*, b.conv_id as other_id, b.replies as other_replies,
+    case when a.replies > 0 and b.replies > 0 then {_CRC.format("coalesce(a.conv_id::varchar, '')", _crc_table())} % nullif(a.replies, 0) end as since
+  from place a join place b on b.place = a.next
+), rows as (
+  select c.*, m.turns, case when c.role = 'assistant' and c.seen >= m.since then o.text else c.text end as other_text
+  from c join met m on m.conv_id is not distinct from c.conv_id
+  left join c o on o.conv_id is not distinct from m.other_id and o.role = 'assistant' and c.role = 'assistant' and o.seen = c.seen % nullif(m.other_replies, 0)
+), prefix as (select conv_id, coalesce(min(case when text <> other_text then i end), max(turns) + 1) - 1 as p from rows group by conv_id),
 r as (
   select rows.conv_id, i, p, role, '<|' || role || '|>' || chr(10) as head, text || chr(10) || '<|end|>' || chr(10) as body, other_text || chr(10) || '<|end|>' || chr(10) as other_body
-  from rows join prefix using (conv_id)
+  from rows join prefix on prefix.conv_id is not distinct from rows.conv_id
 ), s as (
   select *, sum(case when i > p then length(head) + length(body) else 0 end) over w - length(body) as begin_at, sum(case when i > p then length(head) + length(other_body) else 0 end) over w - length(other_body) as other_at
   from r window w as (partition by conv_id order by i)
@@ -258,13 +279,6 @@ def op11(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.align(table(spark, folder, "documents"))
 
 
-def _crc_table() -> list[int]:
-    table = list(range(256))
-    for _ in range(8):
-        table = [v >> 1 ^ (0xEDB88320 if v & 1 else 0) for v in table]
-    return table
-
-
 VARIANTS_SQL = rf"""
 with recursive runs as (
   select coalesce(doc_id::varchar, '') as id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) as run

@@ -245,7 +245,22 @@ def test_preferences_by_hand(spark):
 def test_conversation_edges(spark, tmp_path):
     rows = [(1, 0, "user", "q"), (1, 1, "assistant", None), (2, 1, "assistant", "b"), (2, 1, "assistant", "a"), (3, 0, "user", "alone"), (None, 0, "user", "x"), (4, None, "assistant", "y"), (5, 0, None, "z"), (5, 1, "assistant", "")]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
-    assert sorted(r[2] for r in against_sql(spark, "op1_preference_formatting", str(tmp_path))) == [1, 2, 5]
+    assert {r[2] for r in against_sql(spark, "op1_preference_formatting", str(tmp_path))} == {1, 2, 3, 4, 5, None}
+
+
+def test_pairs_part_at_all_replies(spark):
+    """Every conversation of the table gives a pair; it keeps its turns, and pairs part at different replies."""
+    folder = "/root/testdata/sf0.01"
+    turns = spark.read.parquet(f"{folder}/conversations.parquet")
+    pairs = preferences.swapped_pairs(turns).collect()
+    assert len(pairs) == turns.select("conv_id").distinct().count()
+    assert sum(len(r.chosen) for r in pairs) == sum(len(r.rejected) for r in pairs) == turns.count()
+    for r in pairs:
+        replies = [i for i, t in enumerate(r.chosen) if t.role == "assistant"]
+        changed = [i for i, (a, b) in enumerate(zip(r.chosen, r.rejected, strict=True)) if a.text != b.text]
+        assert set(changed) <= set(replies)
+    rows = {r.pair_id: r.prefix_turns for r in QUERIES["op1_preference_formatting"](spark, folder).collect()}
+    assert len(set(rows.values())) > 3 and any(0 < p < len(r.chosen) - 2 for r in pairs for p in [rows[r.pair_id]])
 
 
 def test_mixing_targets_and_copies(spark):
