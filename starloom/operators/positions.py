@@ -72,6 +72,25 @@ def with_ntile(df: DataFrame, tiles: int, order: list[str | Column], name: str)
     return ranked.withColumn(name, tile_of(F.col("_position"), F.col("_rows"), tiles)).drop("_position", "_rows")
 
 
+def with_ntiles(df: DataFrame, tiles: int, key: str, orders: dict[str, str | Column]) -> DataFrame:
+    """Add one tile (1..``tiles``) per entry of ``orders``, name to measure, each in the global order of measure and ``key``.
+
+    All measures are ranked in one sort, with the measure as leading range key: it has as many ranks as there are rows, so a rank
+    tells its measure's own. The ranks come back to their rows by ``key``, which is unique and not null.
+    """
+    names = list(orders)
+    held = materialize(df.withColumns({f"_by{i}": _ordering([o])[0] for i, o in enumerate(orders.values())}), "tiled")
+    # every measure keeps its type: a ranked row holds its own measure, the others are null
+    turns = F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("_measure")
+    stacked = held.select(key, turns, *[f"_by{i}" for i in range(len(names))])
+    own = {f"_by{i}": F.when(F.col("_measure") == i, F.col(f"_by{i}")) for i in range(len(names))}
+    ranked = with_position(stacked.withColumns(own), ["_measure", *own, key], "_position", "_rows")
+    rows = F.floor(F.col("_rows") / len(names))
+    ranked = ranked.withColumn("_tile", tile_of(F.col("_position") - F.col("_measure") * rows, rows, tiles))
+    tiled = ranked.groupBy(key).agg(*[F.max(F.when(F.col("_measure") == i, F.col("_tile"))).alias(name) for i, name in enumerate(names)])
+    return held.drop(*own).join(tiled, key)
+
+
 def with_surrogate_key(
     df: DataFrame,
     key: str,

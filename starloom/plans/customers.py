@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions.labels import rfm_segment
 from starloom.functions.numeric import average, average_money, money_sum, percent
-from starloom.operators.positions import with_ntile
+from starloom.operators.positions import with_ntiles
 from starloom.plans.revenue import Tables, desc
 
 SCORES = 5
@@ -94,13 +94,11 @@ RFM_ORDERS = {"r_score": "last_day", "f_score": "frequency", "m_score": "monetar
 
 
 def rfm_scores(dw: Tables, wanted: tuple[str, ...] = tuple(RFM_ORDERS)) -> DataFrame:
-    """Scores 1..5 for recency (5 = most recent), frequency and spend, or those ``wanted``: each is a global sort.
+    """Scores 1..5 for recency (5 = most recent), frequency and spend, or those ``wanted``, ranked in one global sort.
 
     Ties are broken by customer key, so the scores are reproducible.
     """
-    scored = rfm_base(dw)
-    for score in wanted:
-        scored = with_ntile(scored, SCORES, [RFM_ORDERS[score], "customer_key"], score)
+    scored = with_ntiles(rfm_base(dw), SCORES, "customer_key", {score: RFM_ORDERS[score] for score in wanted})
     snapshot = scored.agg(F.max("last_day")).scalar()
     return scored.withColumn("recency_days", F.datediff(snapshot, "last_day"))
 

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -67,16 +70,38 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/scratch/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
+_owners: ContextVar[tuple["Scratch", ...]] = ContextVar("owners", default=())
+
+
+def materialize(df: DataFrame, label: str, outlives: int = 0) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage with a columnar copy that survives executors, keeps column pruning and
-    gives the next plan true sizes for its broadcast decisions. The copy stays for the session,
-    as lazy results may still read it; jobs that know when they are done use ``Scratch``.
+    gives the next plan true sizes for its broadcast decisions. Inside ``owned_copies`` the copy goes at the end of the block, or of
+    the one ``outlives`` blocks further out; elsewhere it stays for the session, as lazy results may still read it.
     """
+    owners = _owners.get()
+    if len(owners) > outlives:
+        return owners[-1 - outlives].keep(df, label)
     return _stored(df, scratch_path(df.sparkSession, label))
 
 
+@contextmanager
+def owned_copies(spark: SparkSession) -> Iterator["Scratch"]:
+    """Intermediate copies made inside are removed at the end: for code that has used its results by then.
+
+        with owned_copies(spark):
+            rows = rfm_segments(dw).collect()
+    """
+    scratch = Scratch(spark)
+    token = _owners.set((*_owners.get(), scratch))
+    try:
+        yield scratch
+    finally:
+        _owners.reset(token)
+        scratch.clear()
+
+
 def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

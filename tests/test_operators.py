@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -7,10 +8,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import rows
+from starloom.catalog import load_queries
+from starloom.catalog.registry import workspace
 from starloom.operators.constraints import orphan_rows
 from starloom.operators.dedup import keep_first, keep_last, repeated_groups, surplus_rows
-from starloom.operators.positions import with_ntile, with_position, with_surrogate_key
+from starloom.operators.positions import with_ntile, with_ntiles, with_position, with_surrogate_key
 from starloom.operators.quantiles import describe, quantiles
+from starloom.session import materialize, owned_copies, shared_dir
 
 
 def skewed(spark, n: int = 3000):
@@ -101,3 +105,52 @@ def test_orphans_count_rows_and_null_keys(spark):
     fact = spark.createDataFrame([(1,), (1,), (2,), (None,)], "key int")
     dim = spark.createDataFrame([(2,)], "key int")
     assert rows(orphan_rows(fact, dim, "key")) == [(1, 2), (None, 1)]
+
+
+def test_several_tiles_in_one_sort(spark):
+    """Measures of different types, ties, nulls and fewer rows than tiles; one shuffle of ranks by range."""
+    import datetime as dt
+
+    data = [(k, dt.date(2020, 1, 1 + k % 9), k * 7 % 5, None if k % 6 == 0 else float(k % 4)) for k in range(53)]
+    for n in (53, 3, 1, 0):
+        df = spark.createDataFrame(data[:n], "id long, day date, count long, amount double").repartition(4)
+        orders = {"a": "day", "b": "count", "c": "amount"}
+        together = with_ntiles(df, 5, "id", orders)
+        assert together.columns == ["id", "day", "count", "amount", "a", "b", "c"]
+        alone = df
+        for name, column in orders.items():
+            alone = with_ntile(alone, 5, [column, "id"], name)
+        assert rows(together) == rows(alone)
+
+
+def test_owned_copies_go_with_their_block(spark):
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "scratch"
+    left = lambda: set(folder.iterdir()) if folder.exists() else set()
+    df = spark.range(40).withColumn("m", F.col("id") % 7)
+    before = left()
+    with owned_copies(spark):
+        with owned_copies(spark):
+            inner = materialize(df, "inner")
+            outer = materialize(df, "outer", outlives=1)
+            assert inner.count() == 40 and len(left() - before) == 2
+        assert outer.count() == 40 and len(left() - before) == 1
+        assert with_ntiles(df, 5, "id", {"t": "m"}).count() == 40
+    assert left() == before
+    kept = materialize(df, "kept")
+    assert kept.count() == 40 and len(left() - before) == 1
+    with pytest.raises(ZeroDivisionError), owned_copies(spark):
+        materialize(df, "failed")
+        raise ZeroDivisionError
+    assert len(left() - before) == 1
+
+
+@pytest.mark.parametrize("name", ["QRY-09", "WIN-05", "WIN-06", "XPL-06-describe", "PRF-05"])
+def test_registered_queries_leave_no_copy(spark, name):
+    folder = Path(shared_dir(spark).removeprefix("file:")) / "scratch"
+    query = load_queries()[name]
+    workspace(spark, "/root/testdata/sf0.001").dw  # the warehouse is loaded once and stays
+    before = set(folder.iterdir())
+    with owned_copies(spark):
+        assert query.run(spark, "/root/testdata/sf0.001").collect()
+        assert set(folder.iterdir()) > before
+    assert set(folder.iterdir()) == before
