@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from starloom.catalog.profiling import columns, relation
 from starloom.catalog.registry import query
+from starloom.operators.constraints import ConstraintError
 from starloom.operators.merge import SUB_POS
 from starloom.operators.positions import with_surrogate_key
+from starloom.operators.snapshot import Store
 from starloom.plans import dimensions, facts
-from starloom.plans.quality import run_gate
+from starloom.plans.quality import QualityError, run_gate
 from starloom.plans.warehouse import key_maps, run_pipeline
-from starloom.schemas import POS, RAW_SCHEMAS, WAREHOUSE
+from starloom.schemas import FACTS, POS, RAW_SCHEMAS, WAREHOUSE
 from starloom.session import scratch_path
 from starloom.sources.files import ingest
 
@@ -133,6 +135,42 @@ def pipeline(ws):
     return metrics_frame(ws.spark, metrics)
 
 
+def accepted(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw tables without what the gate refuses: card payments in no installments."""
+    paid = raw["payments"].withColumn("payment_installments", F.greatest("payment_installments", F.lit(1)))
+    return raw | {"payments": paid}
+
+
+@query(
+    "ETL-13-published",
+    "table:s rows:i version:i",
+    " union all ".join(f"select '{t}' as \"table\", ({COUNT_SQL[t]}) as rows, 1 as version" for t in FACTS),
+)
+def published(ws):
+    """The default run, whose constraints and gate decide, on data that passes: the facts of the version it published."""
+    root = scratch_path(ws.spark, "published")
+    run_pipeline(ws.spark, accepted(ws.raw), root, ws.calendar_days)
+    store = Store(ws.spark, root)
+    return _counts({t: store.read(t) for t in FACTS}).withColumn("version", F.lit(store.versions()[-1]))
+
+
+@query(
+    "ETL-13-refused",
+    "message:s versions:i",
+    """select '1 of 20 checks failed:' || chr(10) || 'QC-10 credit_card_installments_valid → ' || format('{:,}', count(*)) as message, 0 as versions
+        from fact_payments join dim_payment using (payment_key) where payment_type = 'credit_card' and payment_installments < 1 having count(*) > 0""",
+)
+def refused(ws):
+    """The default run on the data as it is: what it said when it refused, and that it published nothing."""
+    root = scratch_path(ws.spark, "refused")
+    try:
+        run_pipeline(ws.spark, ws.raw, root, ws.calendar_days)
+        said = []
+    except (ConstraintError, QualityError) as refusal:
+        said = [(str(refusal), len(Store(ws.spark, root).versions()))]
+    return ws.spark.createDataFrame(said, "message string, versions int")
+
+
 @query(
     "ETL-14",
     "stage:s table:s rows:i columns:i",
@@ -151,8 +189,6 @@ def run_metrics(ws):
     extracted = ws.spark.sql(f"select * from values {values} as report(stage, table, rows, columns)")
     helpers = {POS, SUB_POS}
     widths = {t: len(set(ws.transformed[t].columns) - helpers) for t in TRANSFORMED}
-    # The payment fact also carries the payment type, by which its stored key is found later.
-    widths["fact_payments"] -= 1
     shapes = _counts({t: ws.transformed[t] for t in TRANSFORMED}).withColumn("stage", F.lit("transform"))
     width = F.create_map(*[F.lit(v) for t, w in widths.items() for v in (t, w)])
     return extracted.unionByName(shapes.withColumn("columns", width[F.col("table")]))

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starloom.catalog.ctes import describe, half_up
 from starloom.catalog.exploration import DESCRIBE_COLUMNS, rounded
 from starloom.catalog.registry import query
 from starloom.plans import profiling as p
-from starloom.schemas import RAW_SCHEMAS
+from starloom.schemas import POS, RAW_SCHEMAS
 
 
 def relation(table: str) -> str:
@@ -55,6 +55,53 @@ def explored(ws) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def explored_part(ws, part: str) -> DataFrame:
+    """One part of the exploration of all nine tables, labelled with its table."""
+    return reduce(DataFrame.unionByName, [p.explore_table(n, df)[part].withColumn("table", F.lit(n)) for n, df in ws.raw.items()])
+
+
+query(
+    "PRF-02-shape",
+    "table:s rows:i columns:i",
+    " union all ".join(f"select '{t}' as \"table\", count(*) as rows, {len(columns(t))} as columns from {relation(t)}" for t in RAW_SCHEMAS),
+)(lambda ws: explored_part(ws, "shape"))
+query(
+    "PRF-02-duplicates",
+    "table:s duplicates:i",
+    " union all ".join(f"select '{t}' as \"table\", {duplicate_rows(t)} as duplicates" for t in RAW_SCHEMAS),
+)(lambda ws: explored_part(ws, "duplicates"))
+
+
+def shown_sql(field) -> str:
+    """A value as the sample shows it, in SQL: numbers with six places, timestamps to the second."""
+    kind = field.dataType.simpleString()
+    if kind == "timestamp":
+        return f"strftime({field.name}, '%Y-%m-%d %H:%M:%S')"
+    return f"{field.name}::varchar" if kind in ("string", "smallint", "int", "bigint") else f"{field.name}::decimal(18,6)::varchar"
+
+
+def sample_sql(table: str) -> str:
+    listed = " union all ".join(
+        f"select '{table}' as \"table\", place, '{f.name}' as column_name, {shown_sql(f)} as value from first_rows" for f in RAW_SCHEMAS[table].fields
+    )
+    return f"select * from (with first_rows as (select *, row_number() over (order by pos) as place from {relation(table)} qualify place <= 3) {listed})"
+
+
+@query("PRF-02-sample", "table:s place:i column_name:s value:s", " union all ".join(map(sample_sql, RAW_SCHEMAS)))
+def samples(ws) -> DataFrame:
+    """The first three rows of every table with their content, one row per value."""
+    parts = []
+    for name, df in ws.raw.items():
+        shown = []
+        for f in RAW_SCHEMAS[name].fields:
+            kind = f.dataType.simpleString()
+            text = F.col(f.name).cast("string") if kind in ("string", "smallint", "int", "bigint") else F.col(f.name).cast("decimal(18,6)").cast("string")
+            shown.append((F.date_format(f.name, "yyyy-MM-dd HH:mm:ss") if kind == "timestamp" else text).alias(f.name))
+        first = p.preview(df, [POS]).withColumn("place", F.row_number().over(Window.orderBy(POS)))  # three rows
+        parts.append(first.select("place", *shown).unpivot("place", [f.name for f in RAW_SCHEMAS[name].fields], "column_name", "value").withColumn("table", F.lit(name)))
+    return reduce(DataFrame.unionByName, parts)
+
+
 query(
     "PRF-03",
     "table:s rows:i missing_values:i missing_pct:d duplicates:i",

@@ -17,6 +17,7 @@ from starloom.operators.dedup import keep_first, keep_last, repeated_groups, sur
 from starloom.operators.positions import with_ntile, with_position
 from starloom.operators.quantiles import describe as described
 from starloom.plans import customers as customer_reports
+from starloom.plans import distincts
 from starloom.plans import exploration as x
 from starloom.plans import profiling as p
 from starloom.plans import revenue
@@ -296,7 +297,7 @@ query(
     "JON-11",
     "order_id:s payment_sequential:i payment_key:i",
     "select order_id, payment_sequential, payment_key from fact_payments",
-)(lambda ws: remap_key(ws.transformed["fact_payments"], key_maps(ws.dw)["payment"], "payment_type", "payment_key"))
+)(lambda ws: remap_key(ws.transformed["fact_payments"].join(key_maps(ws.transformed)["payment"], "payment_key"), key_maps(ws.dw)["payment"], "payment_type", "payment_key"))
 query(
     "JON-12",
     "customer_key:i recency_days:i",
@@ -349,6 +350,16 @@ query(
         F.count_distinct("order_id").alias("orders"), F.count_distinct("seller_key").alias("sellers")
     )
 )
+for level, keys in distincts.LEVELS.items():
+    for state in (False, True):
+        by = keys + (["customer_state"] if state else [])
+        listed = "".join(f"{k}, " for k in by)
+        query(
+            f"AGG-03-{level}{'-state' if state else ''}",
+            " ".join(f"{k}:{'s' if k == 'customer_state' else 'i'}" for k in by) + " customers:i",
+            f"select {listed}count(distinct customer_key) as customers from fact_sales join dim_date using (date_key) join dim_customer using (customer_key)"
+            + (f" group by {listed[:-2]}" if by else ""),
+        )(lambda ws, level=level, state=state: distincts.distinct_customers(distincts.customer_bitmaps(ws.dw), level, state))
 query(
     "AGG-04",
     "customer_key:i avg_value:d avg_score:d",

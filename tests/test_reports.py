@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import make_raw, rows
 from starloom.operators.snapshot import empty
@@ -228,3 +229,24 @@ def test_duplicates_are_compared_in_full_only_where_hashes_repeat(spark):
     content = profiling.source_columns("reviews", twice)
     assert rows(profiling.surplus_by_hash(content), "duplicates") == [(1,)]
     assert "xxhash64" in plan_of(profiling.surplus_by_hash(content))
+
+
+def test_distinct_customers_roll_up(spark):
+    """Bitmaps beyond one bucket, a hot customer, and every level against count(distinct)."""
+    from starloom.plans import distincts
+
+    sales = [(i % 70_000 if i % 3 else 7, 20170101 + 100 * (i % 12)) for i in range(90_000)]
+    dw = {
+        "fact_sales": spark.createDataFrame(sales, "customer_key bigint, date_key int"),
+        "dim_date": spark.createDataFrame([(20170101 + 100 * m, 2017, m // 3 + 1, m + 1) for m in range(12)], "date_key int, year int, quarter int, month int"),
+        "dim_customer": spark.range(70_000).selectExpr("id as customer_key", "case when id % 5 = 0 then 'SP' else 'RJ' end as customer_state"),
+    }
+    bitmaps = distincts.customer_bitmaps(dw)
+    joined = dw["fact_sales"].join(dw["dim_date"], "date_key").join(dw["dim_customer"], "customer_key")
+    for level, keys in distincts.LEVELS.items():
+        for state in (False, True):
+            by = keys + (["customer_state"] if state else [])
+            expected = joined.groupBy(*by).agg(F.count_distinct("customer_key").alias("customers"))
+            assert rows(distincts.distinct_customers(bitmaps, level, state)) == rows(expected)
+    nothing = distincts.customer_bitmaps(dw | {"fact_sales": dw["fact_sales"].limit(0)})
+    assert rows(distincts.distinct_customers(nothing, "all")) == [(0,)] and rows(distincts.distinct_customers(nothing, "month")) == []
