@@ -100,13 +100,14 @@ RFM_SCORES = """select *, ntile(5) over (order by recency_days desc, customer_ke
     from (select customer_key, (select max(full_date) from fact_payments join dim_date using (date_key)) - max(full_date)
             as recency_days, count(distinct order_id) as frequency, sum(payment_value) as monetary
         from fact_payments join dim_date using (date_key) group by customer_key)"""
+# Names and thresholds of the segments.
 query(
     "QRY-09",
     "segment:s customer_count:i avg_recency_days:d avg_frequency:d avg_monetary:d",
     f"""select segment, count(*) as customer_count, {mean('recency_days', 0)} as avg_recency_days,
         {mean('frequency', 2)} as avg_frequency, {mean_money('monetary')} as avg_monetary
-    from (select *, case when r_score > 3 and f_score > 3 then 'Champions' when r_score > 2 and f_score > 2 then 'Loyal Customers'
-            when r_score > 3 and f_score < 3 then 'Recent Customers' when r_score < 3 and f_score > 2 then 'At Risk'
+    from (select *, case when r_score >= 4 and f_score >= 4 then 'Champions' when r_score >= 3 and f_score >= 3 then 'Loyal Customers'
+            when r_score >= 4 and f_score <= 2 then 'Recent Customers' when r_score <= 2 and f_score >= 3 then 'At Risk'
             when r_score = 1 and f_score = 1 then 'Lost' else 'Potential Loyalists' end as segment
         from ({RFM_SCORES})) group by segment""",
 )(lambda ws: customers.rfm_segments(ws.dw))
