@@ -9,8 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.llm import langid, substrings, toxicity
+from starloom.llm.queries import QUERIES
 
-from .conftest import words
+from .conftest import against_sql, words
 
 
 def removed_by_hand(docs: list[tuple], width: int) -> list[tuple]:
@@ -62,3 +63,28 @@ def test_texts_without_letters_are_undetermined(spark):
     assert len(found) == len(odd)
     assert sum(r.lang_pred == "und" for r in found) == len(odd) - 1, "the ordinal sign is a letter, the numerals and marks are none"
     assert all(0 <= r.score <= 1 for r in found)
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, tmp_path_factory):
+    """Tables with null and repeated ids, null texts and equal rows."""
+    path = tmp_path_factory.mktemp("repeated")
+    rows = [(i, t, lang, source, 1) for k, (i, t) in enumerate(REPEATED) for lang, source in [(("en", None, "de")[k % 3], ("a", "b", None)[k % 3])]]
+    rows += [(None, None, None, None, None)] * 2
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{path}/documents.parquet")
+    labels = [(i, 1, i % 2) for i in (0, 1, 2, 2, 3, 4, 5)] + [(None, 1, 1), (2, None, None)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path), [r[0] for r in rows]
+
+
+def test_quality_of_repeated_ids_against_sql(spark, repeated):
+    assert len(against_sql(spark, "op2_quality_rules", repeated[0])) == len(repeated[1])
+
+
+@pytest.mark.parametrize("name", ["op4_language_id", "op6_lm_scoring", "op7_ngram_jaccard_join", "op8_mixing", "op9_substring_dedup", "op10_toxicity", "op11_token_alignment", "op13_token_records"])
+def test_every_row_gives_a_row(spark, repeated, name):
+    folder, ids = repeated
+    rows = QUERIES[name](spark, folder).collect()
+    assert sorted((r.doc_id for r in rows), key=repr) == sorted(ids, key=repr)
+    for column in set(rows[0].__fields__) & {"score", "n_words", "size", "taken", "n_shingles", "start", "n_a"}:
+        assert all(r[column] is not None and r[column] >= 0 for r in rows), column
