@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.components import components
-from starloom.llm.tables import CELLS, chunk_rows, merged_cells, only_ids, stored
+from starloom.llm.tables import CELLS, chunk_rows, merged_cells, only_ids, passing_tables, stored
 from starloom.llm.words import LOWER, find_words, mix, slices, string_buffers, windows_hash
 
 WORDS = 5
@@ -353,7 +353,7 @@ class _Join:
     def __init__(self, docs: DataFrame, percent: int):
         self.percent = percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        survey = stored(self.docs.mapInArrow(_survey, _SETS), "sets")
+        survey = stored(self.docs.mapInArrow(_survey, _SETS), "sets", outlives=1)
         self.sets = survey.where("n is not null").select("doc_id", "n", "h1", "h2")
         self.nodes = self.sets.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"))
         counters = merged_cells(survey.where("chunk is not null"), _ROWS * CELLS, "<u4").reshape(_ROWS, CELLS)
@@ -445,12 +445,15 @@ class _Join:
 
     def labels(self) -> DataFrame:
         """``node, label`` of all nodes that share a prefix token with others."""
-        postings = self.postings()
-        stars = stored(postings.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
-        first = stored(components(self.links(stars)), "labels")
-        named = stored(postings.join(first, "node", "left").select("token", "node", F.coalesce("component", "node").alias("label")), "named")
-        members = stored(named.select("node", "label").distinct(), "members")
-        joined = stored(components(self.crossing(named, members)).toDF("label", "top"), "joined")
+        spark = self.docs.sparkSession
+        with passing_tables(spark):
+            postings = self.postings()
+            stars = stored(postings.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct(), "stars")
+            first = stored(components(self.links(stars)), "labels")
+            named = stored(postings.join(first, "node", "left").select("token", "node", F.coalesce("component", "node").alias("label")), "named", outlives=1)
+            members = stored(named.select("node", "label").distinct(), "members", outlives=1)
+        with passing_tables(spark):
+            joined = stored(components(self.crossing(named, members)).toDF("label", "top"), "joined", outlives=1)
         return members.join(joined, "label", "left").select("node", F.coalesce("top", "label").alias("label"))
 
 
@@ -462,8 +465,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     the component of their own text. A null doc_id gets a component only through other documents.
     Shingles and sets are compared as 64-bit hashes, equality of sets as 128-bit digests.
     """
-    join = _Join(docs, percent)
-    labels = stored(join.labels(), "labels")
+    with passing_tables(docs.sparkSession):
+        join = _Join(docs, percent)
+        labels = stored(join.labels(), "labels", outlives=1)
     classes = join.nodes.join(labels.toDF("h1", "label"), "h1", "left")
     tops = classes.where("label is not null").groupBy("label").agg(F.min("doc_id").alias("top"))
     classes = classes.join(tops, "label", "left").select("h1", "h2", F.coalesce("top", "doc_id").alias("component_id"))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
@@ -11,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.session import configure, materialize
+from starloom.session import configure, materialize, owned_copies
 
 #: Cells of one row of counts, and of the bitmap of ids. Both are of fixed size, whatever the input.
 CELLS = 1 << 20
@@ -34,10 +36,24 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, outlives: int = 0) -> DataFrame:
     """Write once to the shared folder and read back: the lineage ends and survives lost executors."""
     prepared(df.sparkSession)
-    return materialize(df, f"llm-{label}")
+    return materialize(df, f"llm-{label}", outlives)
+
+
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables stored inside go at the end, for work whose result is written by then, and with them shuffle files no longer needed."""
+    with owned_copies(spark):
+        yield
+    release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark remove shuffle files of frames that nobody refers to any more; it finds them when garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def chunk_rows(cells: np.ndarray) -> list[tuple[int, bytes]]:
