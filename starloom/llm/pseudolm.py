@@ -5,9 +5,10 @@ softmax (class, then word in class) gives the word's probability. A document's s
 
 The vocabulary is made of word counts over all documents. The most frequent words are tokens of the network; every other word is one of a cell, which the network
 predicts, and has the cell's probability times its share of the cell's words, from a table of the counts of all words that stays in Spark and is
-joined when documents are scored. Training is data parallel: the rounds divide all positions among them, so that each
-is a target exactly once. In a round every task runs stochastic gradient from the common weights over its documents' positions of that round and sends its change,
-which the executors add up, weighted by words. What reaches the driver is the network, of fixed size.
+joined when documents are scored. Training is data parallel: texts become token numbers once, dealt to shards by a hash of the document, with as many shards
+as the corpus has millions of words; the rounds divide all positions among them, so that each is a target exactly once. In a round each shard runs stochastic
+gradient from the common weights over its positions of that round, in a fixed order, and the executors add up the changes, weighted by
+words. So the network is a function of the documents, however they lie in partitions. What reaches the driver is the network, of fixed size.
 """
 
 from __future__ import annotations
@@ -30,9 +31,13 @@ PLACES = (-2, -1, 1, 2)
 WIDTH = 32
 ROUNDS = 3
 _BATCH = 4096
+_PIECE = 4096
 _RATE = 0.08
 _PAD = CLASSES * CLASSES
 _CHUNK = 1 << 12
+SHARD_WORDS = 1 << 21
+#: Slots by the leading bits of a word hash, to find a word of the vocabulary in a step or two.
+_SLOT_BITS = 20
 #: Count of all words together that a cell has not seen.
 _UNSEEN = 0.5
 
@@ -40,10 +45,13 @@ _SHAPES = {"places": (len(PLACES), _PAD + 1, WIDTH), "bias": (WIDTH,), "classes"
 _SIZE = sum(int(np.prod(shape)) for shape in _SHAPES.values())
 
 
+_CELL = (mix(np.arange(1 << 16, dtype=np.uint64) + np.uint64(1)) % np.uint64(CLASSES)).astype(np.int64)
+
+
 def cells(words: Words) -> np.ndarray:
     """The cell of each word, for those outside the vocabulary."""
-    last = ranges_hash(words.data, np.maximum(words.starts, words.ends - 2), words.ends)
-    return (last % np.uint64(CLASSES)).astype(np.int64)
+    before = np.where(words.ends - words.starts > 1, words.data[np.maximum(words.ends - 2, 0)], 0) if len(words.ends) else words.ends
+    return _CELL[words.data[words.ends - 1] + 256 * before.astype(np.int64)]
 
 
 @dataclass
@@ -56,6 +64,7 @@ class Network:
     flat: np.ndarray
     cells: np.ndarray
     rare: DataFrame | None = None
+    index: np.ndarray | None = None
 
     def local(self) -> Network:
         """What tasks get."""
@@ -69,19 +78,30 @@ class Network:
             at += size
         return out
 
+    def slots(self) -> np.ndarray:
+        """First word of the vocabulary at or after each slot."""
+        if self.index is None:
+            self.index = np.searchsorted(self.vocabulary, np.arange(1 << _SLOT_BITS, dtype=np.uint64) << np.uint64(64 - _SLOT_BITS)).astype(np.int32)
+        return self.index
+
     def tokens(self, words: Words) -> np.ndarray:
         out = KNOWN + cells(words)
-        if len(self.vocabulary):
-            at = np.minimum(np.searchsorted(self.vocabulary, words.hashes), len(self.vocabulary) - 1)
-            known = self.vocabulary[at] == words.hashes
-            out[known] = self.ids[at[known]]
+        open_, at = np.arange(len(out)), self.slots()[words.hashes >> np.uint64(64 - _SLOT_BITS)] if len(self.vocabulary) else None
+        while len(self.vocabulary) and len(open_):
+            inside = at < len(self.vocabulary)
+            open_, at = open_[inside], at[inside]
+            found = self.vocabulary[at] == words.hashes[open_]
+            out[open_[found]] = self.ids[at[found]]
+            later = self.vocabulary[at] < words.hashes[open_]  # a smaller word of the same slot
+            open_, at = open_[later], at[later] + 1
         return out
 
 
-def contexts(tokens: np.ndarray, text_ptr: np.ndarray) -> np.ndarray:
-    """Tokens around each position; beyond the text stands a padding token."""
-    first, last = (np.repeat(x, np.diff(text_ptr)) for x in (text_ptr[:-1], text_ptr[1:]))
-    spot = np.arange(len(tokens))
+def contexts(tokens: np.ndarray, text_ptr: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
+    """Tokens around each position, or around those ``at``; beyond the text stands a padding token."""
+    spot = np.arange(len(tokens)) if at is None else at
+    text = np.searchsorted(text_ptr, spot, side="right") - 1
+    first, last = text_ptr[text], text_ptr[text + 1]
     return np.stack([np.where((spot + p >= first) & (spot + p < last), tokens[np.clip(spot + p, 0, max(len(tokens) - 1, 0))], _PAD) for p in PLACES], axis=1)
 
 
@@ -107,8 +127,8 @@ def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 def log_probabilities(parts: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray) -> np.ndarray:
     out = np.empty(len(targets))
-    for start in range(0, len(targets), 4 * _BATCH):
-        piece = slice(start, start + 4 * _BATCH)
+    for start in range(0, len(targets), _PIECE):
+        piece = slice(start, start + _PIECE)
         hidden, target = _hidden(parts, around[piece]), targets[piece]
         scores = hidden @ parts["classes"] + parts["class_bias"]
         top = scores.max(axis=1)
@@ -156,41 +176,57 @@ def _step(parts: dict[str, np.ndarray], squares: dict[str, np.ndarray], around:
         move("places", np.add.reduceat(slope[order], starts, axis=0), (place, rows[starts]))
 
 
-def _masked(words: Words, number: int, rounds: int) -> np.ndarray:
+def _masked(tokens: np.ndarray, number: int, rounds: int) -> np.ndarray:
     """Positions of one round; each position belongs to exactly one of the ``rounds``."""
-    spot = np.arange(len(words.hashes), dtype=np.uint64)
-    return np.flatnonzero(mix(spot ^ mix(words.hashes)) % np.uint64(rounds) == number)
+    spot = np.arange(len(tokens), dtype=np.uint64)
+    return np.flatnonzero(mix(spot ^ mix(tokens.astype(np.uint64))) % np.uint64(rounds) == number)
 
 
-def _train(shared, number: int, rounds: int):
-    """A task's training: its change of the weights times its number of words, and that number in the last cell."""
+_TOKENS = "hash long, tokens binary"
+_SHARD = "shard long, tokens binary, sizes binary"
+
+
+def _numbered(shared):
+    """Token numbers of each text, two bytes each."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         network: Network = shared.value
-        flat = network.flat.copy()
-        parts, squares = network.part(flat), network.part(np.full(_SIZE, 1.0, dtype=np.float32))
-        waiting, held, seen = [], 0, 0
+        for batch in batches:
+            for first, last, words in word_slices(batch.column(1)):
+                raw, ends = network.tokens(words).astype("<u2").tobytes(), words.text_ptr.tolist()
+                parts = [raw[2 * a : 2 * b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], pa.array(parts, pa.binary())], names=["hash", "tokens"])
+
+    return scan
 
-        def run() -> None:
-            around, targets = (np.concatenate([w[k] for w in waiting]) for k in (0, 1))
-            for i in range(0, len(targets), _BATCH):
-                _step(parts, squares, around[i : i + _BATCH], targets[i : i + _BATCH])
 
+def _gathered(key: tuple, rows: pa.Table) -> pa.Table:
+    """One row for a shard: its texts by hash, then tokens."""
+    texts = [t for _, t in sorted(zip(rows.column("hash").to_pylist(), rows.column("tokens").to_pylist(), strict=True)) if t]
+    sizes = np.array([len(t) // 2 for t in texts], dtype="<u4").tobytes()
+    return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "tokens": pa.array([b"".join(texts)], pa.binary()), "sizes": pa.array([sizes], pa.binary())})
+
+
+def _train(shared, number: int, rounds: int):
+    """Per task the changes of the weights by its shards, each times its number of words, and these numbers in the last cell."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        network: Network = shared.value
+        total = np.zeros(-(-(_SIZE + 1) // _CHUNK) * _CHUNK)
         for batch in batches:
-            for _, _, words in word_slices(batch.column(0)):
-                at = _masked(words, number, rounds)
-                tokens = network.tokens(words)
-                waiting.append((contexts(tokens, words.text_ptr)[at], tokens[at]))
-                held, seen = held + len(at), seen + len(at)
-                if held >= _BATCH:
-                    run()
-                    waiting, held = [], 0
-        if held:
-            run()
-        if seen:
-            cells = np.zeros(-(-(_SIZE + 1) // _CHUNK) * _CHUNK, dtype=np.float32)
-            cells[:_SIZE], cells[_SIZE] = (flat - network.flat) * np.float32(seen), seen
-            rows = chunk_rows(cells)
+            for raw, sizes in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                tokens = np.frombuffer(raw, dtype="<u2").astype(np.int64)
+                text_ptr = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, dtype="<u4"), dtype=np.int64)])
+                flat = network.flat.copy()
+                parts, squares = network.part(flat), network.part(np.full(_SIZE, 1.0, dtype=np.float32))
+                masked = _masked(tokens, number, rounds)
+                for i in range(0, len(masked), _BATCH):
+                    at = masked[i : i + _BATCH]
+                    _step(parts, squares, contexts(tokens, text_ptr, at), tokens[at])
+                total[:_SIZE] += (flat - network.flat) * float(len(masked))
+                total[_SIZE] += len(masked)
+        if total[_SIZE]:
+            rows = chunk_rows(total)
             for i in range(0, len(rows), 32):
                 yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in rows[i : i + 32]], pa.int32()), pa.array([b for _, b in rows[i : i + 32]], pa.binary())], names=["chunk", "cells"])
 
@@ -229,9 +265,15 @@ def train(docs: DataFrame, rounds: int = ROUNDS, seed: int = 11) -> Network:
     by_class = seen.reshape(CLASSES, CLASSES)
     parts["class_bias"][...] = np.log(by_class.sum(axis=1) / by_class.sum())
     parts["word_bias"][...] = np.log(by_class / by_class.sum(axis=1, keepdims=True))
+    shared = docs.sparkSession.sparkContext.broadcast(network.local())
+    words = counts.agg(F.sum("n")).first()[0] or 0
+    owner = [F.col("doc_id").cast("long")] if "doc_id" in docs.columns else []
+    numbered = docs.select(F.xxhash64(*owner, F.col("text").cast("string")).alias("hash"), F.col("text").cast("string").alias("text")).where("text is not null").mapInArrow(_numbered(shared), _TOKENS)
+    dealt = numbered.groupBy(F.pmod("hash", F.lit(max(1, -(-words // SHARD_WORDS)))).alias("shard")).applyInArrow(_gathered, _SHARD)
+    shards = stored(dealt, "shards") if rounds else None
     for number in range(rounds):
         shared = docs.sparkSession.sparkContext.broadcast(network.local())
-        changes = merged_cells(texts.mapInArrow(_train(shared, number, rounds), "chunk int, cells binary"), -(-(_SIZE + 1) // _CHUNK) * _CHUNK, "<f4")
+        changes = merged_cells(shards.mapInArrow(_train(shared, number, rounds), "chunk int, cells binary"), -(-(_SIZE + 1) // _CHUNK) * _CHUNK, "<f8")
         if changes[_SIZE] > 0:
             network = replace(network, flat=(network.flat + changes[:_SIZE] / changes[_SIZE]).astype(np.float32))
     return network

@@ -166,3 +166,30 @@ def test_rare_words_have_their_own_probability(spark):
     more = docs.unionByName(spark.createDataFrame([(9, "rareab rareab")], docs.schema))
     two = found(pseudolm.train(more, rounds=0))
     assert two["rareab"] == pytest.approx(two["otherab"] + np.log(2))
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    """The same documents in one and in eight partitions, over several shards."""
+    monkeypatch.setattr(pseudolm, "SHARD_WORDS", 5000)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    found = []
+    for parts in (1, 8):
+        dealt = docs.repartition(parts, "text")
+        found.append({r.doc_id: r.mean_log_probability for r in pseudolm.score(dealt, pseudolm.train(dealt)).collect()})
+    assert found[0].keys() == found[1].keys()
+    assert all(abs(found[0][k] - found[1][k]) < 1e-4 for k in found[0] if found[0][k] is not None)
+
+
+def test_vocabulary_lookup_finds_each_word_and_no_other():
+    rng = np.random.default_rng(3)
+    hashes = rng.integers(0, 2**64, 4000, dtype=np.uint64)
+    crowded = (np.uint64(7) << np.uint64(60)) + np.arange(32, dtype=np.uint64)  # many in one slot
+    known = np.sort(np.concatenate([hashes, crowded]))
+    network = pseudolm.Network(known, np.arange(len(known)), np.zeros(1, dtype=np.float32), np.zeros(pseudolm.CLASSES))
+    asked = np.concatenate([known, known + np.uint64(1), rng.integers(0, 2**64, 1000, dtype=np.uint64), [np.uint64(0), np.uint64(2**64 - 1)]])
+    data = np.frombuffer(b"ab" * len(asked), dtype=np.uint8)
+    ends = np.arange(2, 2 * len(asked) + 1, 2)
+    tokens = network.tokens(pseudolm.Words(asked, ends - 2, ends, np.array([0, len(asked)]), data))
+    place = {int(h): i for i, h in enumerate(known)}
+    cell = tokens[-1]
+    assert tokens.tolist() == [place.get(int(h), cell) for h in asked] and cell >= pseudolm.KNOWN
