@@ -105,5 +105,6 @@ def mixed(docs: DataFrame) -> DataFrame:
     rows = stored(docs.withColumn("_llm_row", F.monotonically_increasing_id()), "rows")
     plan = curriculum(stored(_sizes(rows, F.col("_llm_row")), "sizes"))
     copies = plan.where("copies > 0").select(F.col("row").alias("_llm_row"), F.explode("positions").alias("_llm_position"))
+    copies = stored(copies, "copies")  # its true size decides how it meets the texts
     order = ["_llm_position", "_llm_row"]
     return rows.join(copies, "_llm_row").repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
