@@ -13,7 +13,10 @@ order at once, so the join takes one order to find pairs and the others to rule
 4. Verified links make components. Where a token still joins several components, their nodes are candidates too: those of the
    smaller component go through 3 against all of the larger one, in blocks inside tasks, and links join the
    components. A pair left out is inside one component already, so no link between components is missed.
-5. A token that joins many components gives no pairs of them: its nodes are dealt to pairs of blocks, and whole sets are compared there.
+5. A token that joins many components gives no pairs of them: its nodes are keyed again by the tokens of their prefixes under the second order, and
+   where such a key still has many nodes, under the third, so that a pair has to share a token under each. Of the smaller set of a pair the
+   shorter prefix n - ceil(2 t n / (1 + t)) + 1 is enough; a key without such a node has no pairs. Nodes of one key go through 3 in pairs of blocks,
+   and the whole sets of those that remain are compared.
 """
 
 from __future__ import annotations
@@ -100,6 +103,11 @@ def _prefix_size(n: int, percent: int) -> int:
     return n - (percent * n + 99) // 100 + 1
 
 
+def _early_size(n, percent: int):
+    """Prefix that the smaller set of a pair needs: the pair shares at least 2 t / (1 + t) of its tokens."""
+    return n - (2 * percent * n + 99 + percent) // (100 + percent) + 1
+
+
 _PREFIXES = "h1 long, n long, prefix array<long>, others array<binary>"
 
 
@@ -194,15 +202,11 @@ def _similar(percent: int):
     return check
 
 
-#: Prefixes a task holds to filter pairs of one ``lo``; pairs without them pass, so the bound costs time, not links.
-_HELD = 100_000
-
-
 def _label_pairs(percent: int):
     """Pairs of labels that share a token and that the filter lets pass. A token has ``_LABELS`` labels at most.
 
-    Rows ``lo, is_token, token, label, n, others`` come sorted: for each ``lo`` the labels of single nodes with their prefixes, then its tokens.
-    Pairs of one ``lo`` are given once, as long as they fit.
+    Rows ``lo, part, is_token, token, label, n, others`` come sorted: for each part of a ``lo`` the labels of single nodes with their prefixes, then its tokens.
+    Pairs of one part are given once, as long as they fit.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +229,7 @@ def _label_pairs(percent: int):
                 found.append(np.stack((np.full(len(values) - 1 - i, values[i]), values[i + 1 :]), axis=1))
 
         for batch in batches:
-            for lo, is_token, token, label, n, others in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for *lo, is_token, token, label, n, others in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if now is None or now[0] != lo or is_token and now[1] != token:
                     give()
                     if found and (now[0] != lo or sum(map(len, found)) > 1_000_000):
@@ -236,7 +240,7 @@ def _label_pairs(percent: int):
                     now, labels = (lo, token), []
                 if is_token:
                     labels.append(label)
-                elif len(held) < _HELD:
+                else:
                     held[label] = n, others
         give()
         if found:
@@ -245,10 +249,13 @@ def _label_pairs(percent: int):
     return scan
 
 
-#: Components that a token joins by pairs; with more, its nodes are compared in pairs of blocks of so many nodes.
+#: Components that a token joins by pairs; with more, its nodes are keyed by further tokens. A key of more nodes than a block is divided.
 _LABELS = 256
 _NODES = 1024
 
+#: Rows of tokens in one part of the work of a smallest component.
+_PART = 1024
+
 #: Members of one component that a task compares queries with at a time.
 _BLOCK = 256
 
@@ -315,40 +322,117 @@ def _meet(percent: int):
     return scan
 
 
-def _join_blocks(percent: int):
-    """Links between labels of one pair of blocks, as many as join them. Rows ``token, i, j, query, label, tokens`` come sorted, members before queries."""
+def _keys(percent: int, order: int):
+    """Rows ``key, node, label, early`` keyed again by each token of the node's prefix under another order. Rows ``key, node, label, early, n, others``.
+
+    The smaller set of a pair has to be early under every order.
+    """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, members, block, labels, top = None, [], None, None, {}
+        for batch in batches:
+            keys, early = batch.column(0).to_numpy().view(np.uint64), batch.column(3).to_numpy(zero_copy_only=False)
+            sizes = batch.column(4).to_numpy()
+            for first in range(0, len(batch), 64):
+                rows = range(first, min(len(batch), first + 64))
+                found = [np.frombuffer(batch.column(5)[i][order].as_py(), dtype="<u2")[: _prefix_size(int(sizes[i]), percent)] for i in rows]
+                counts = np.array([len(f) for f in found])
+                at = np.repeat(np.arange(first, first + len(counts)), counts)
+                place = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+                key = mix(keys[at] ^ mix(np.concatenate(found).astype(np.uint64) + np.uint64(1)))
+                taken = batch.select(["node", "label"]).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *taken.columns, pa.array(early[at] & (place < _early_size(sizes[at], percent)))], names=["key", "node", "label", "early"])
+
+    return scan
+
+
+def _cells_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[tuple], tuple]]:
+    """``(members, query row)`` for rows ``key, i, j, query, ...`` that come sorted, members before queries; the list is one object within a cell."""
+    now, members = None, []
+    for batch in batches:
+        for row in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if now != row[:3]:
+                now, members = row[:3], []
+            if not row[3]:
+                members.append(row)
+            elif members:
+                yield members, row
+
+
+_CELL = "key long, i int, j int, query boolean, label long, node long"
+
+
+def _cell_survivors(percent: int):
+    """Rows of a cell that the filter lets meet one of another label. Rows ``key, i, j, query, label, node, n, others``."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            types = [pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.int64()]
+            names = ["key", "i", "j", "query", "label", "node"]
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names)
+
+        now, found, met = None, [], None
+        for members, row in _cells_of(batches):
+            if members is not now:
+                if met is not None:
+                    found += [m for m, keep in zip(now, met.tolist(), strict=True) if keep]
+                now, met = members, np.zeros(len(members), dtype=bool)
+                blocks = [_Block([m[7][order] for m in members], "<u2") for order in range(len(_OTHER_ORDERS))]
+                sizes, labels = (np.array([m[k] for m in members]) for k in (6, 4))
+            least, most = np.minimum(sizes, row[6]), np.maximum(sizes, row[6])
+            possible = (100 * least >= percent * most) & (labels != row[4])
+            for order, block in enumerate(blocks):
+                if possible.any():
+                    possible &= block.common(np.frombuffer(row[7][order], dtype="<u2")) >= _least_shared(least)
+            if possible.any():
+                met |= possible
+                found.append(row)
+            if len(found) >= 5000:
+                yield batch_of(found)
+                found = []
+        if met is not None:
+            found += [m for m, keep in zip(now, met.tolist(), strict=True) if keep]
+        yield batch_of(found)
+
+    return scan
+
+
+def _join_cells(percent: int):
+    """Links between labels of one cell, as many as join them. Rows ``key, i, j, query, label, tokens``."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, block, labels, top, links = None, None, None, {}, []
 
         def root(x: int) -> int:
             while top.setdefault(x, x) != x:
                 top[x] = x = top[top[x]]
             return x
 
-        for batch in batches:
-            links = []
-            for *key, query, label, tokens in zip(*(column.to_pylist() for column in batch.columns), strict=True):
-                if now != key:
-                    now, members, block, top = key, [], None, {}
-                if not query:
-                    members.append((label, tokens))
-                elif members:
-                    if block is None:
-                        block, labels = _Block([t for _, t in members], "<u8"), np.array([x for x, _ in members])
-                    own = np.frombuffer(tokens, dtype="<u8")
-                    common = block.common(own)
-                    near = (100 * common >= percent * (block.sizes + len(own) - common)) & (labels != label)
-                    for other in np.unique(labels[near]).tolist():
-                        a, b = root(label), root(other)
-                        if a != b:
-                            top[b] = a
-                            links.append((label, other))
-            yield _named(links, ["a", "b"], (0, 1))
+        for members, row in _cells_of(batches):
+            if members is not now:
+                now, top = members, {}
+                block, labels = _Block([m[5] for m in members], "<u8"), np.array([m[4] for m in members])
+            label, own = row[4], np.frombuffer(row[5], dtype="<u8")
+            common = block.common(own)
+            near = (100 * common >= percent * (block.sizes + len(own) - common)) & (labels != label)
+            for other in np.unique(labels[near]).tolist():
+                a, b = root(label), root(other)
+                if a != b:
+                    top[b] = a
+                    links.append((label, other))
+            if len(links) >= 5000:
+                yield _named(links, ["a", "b"], (0, 1))
+                links = []
+        yield _named(links, ["a", "b"], (0, 1))
 
     return scan
 
 
+def _pairable(rows: DataFrame) -> DataFrame:
+    """Rows ``key, node, label, early`` of keys with an early node and two labels: others hold no pair to compare."""
+    some = rows.groupBy("key").agg(F.max("early").alias("any"), F.min("label").alias("least"), F.max("label").alias("most")).where("any and least <> most")
+    return rows.join(some.select("key"), "key", "left_semi")
+
+
 class _Join:
     def __init__(self, docs: DataFrame, percent: int):
         self.percent = percent
@@ -398,29 +482,56 @@ class _Join:
             return self.paired(mixed, members)
         return self.paired(mixed.join(wide, "token", "left_anti"), members).unionByName(self.blocked(named.join(wide, "token", "left_semi"))).distinct()
 
+    def rekeyed(self, rows: DataFrame, order: int) -> DataFrame:
+        """Rows ``key, node, label, early`` keyed again by the prefixes under another order; keys that can hold a pair."""
+        known = self.known(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
+        rows = rows.join(known, "node").select("key", "node", "label", "early", "n", "others")
+        rows = rows.mapInArrow(_keys(self.percent, order), "key long, node long, label long, early boolean")
+        # a token of sixteen bits may come twice in one prefix
+        rows = stored(rows.groupBy("key", "node", "label").agg(F.max("early").alias("early")), "wide-keys")
+        return stored(_pairable(rows), "wide-pairable")
+
     def blocked(self, named: DataFrame) -> DataFrame:
-        """Links ``a, b`` between components whose nodes share a token, from pairs of blocks of each token's nodes. Tokens of the same nodes are one."""
-        marks = [F.bit_xor(F.xxhash64("node", F.lit(seed))) for seed in (1, 2)]
-        groups = named.groupBy("token").agg(F.count("*").alias("n"), marks[0].alias("x"), marks[1].alias("y")).groupBy("n", "x", "y").agg(F.min("token").alias("token"))
-        rows = named.join(groups.select("token", F.ceil(F.col("n") / _NODES).cast("int").alias("blocks")), "token")
-        rows = stored(rows.withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int")), "wide-nodes")
-        rows = rows.join(self.whole(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node"), "node")
-        other = lambda first, last: F.explode(F.sequence(first, last))
-        own, more = F.col("block"), ["label", "tokens"]
-        members = rows.select("token", own.alias("i"), other(own, F.col("blocks") - 1).alias("j"), F.lit(False).alias("query"), *more)
-        queries = rows.select("token", other(F.lit(0), own).alias("i"), own.alias("j"), F.lit(True).alias("query"), *more)
-        cells = members.unionByName(queries).repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "query")
-        return stored(cells.mapInArrow(_join_blocks(self.percent), "a long, b long").distinct(), "wide-links")
+        """Links ``a, b`` between components whose nodes share a token of many components. Tokens of the same nodes are one."""
+        tokens = named.select("token").distinct()
+        early = F.col("at") < F.expr(f"n - (2 * {self.percent} * n + 99 + {self.percent}) div (100 + {self.percent}) + 1")
+        places = self.prefixes.select(F.posexplode("prefix").alias("at", "token"), F.col("h1").alias("node"), "n").join(tokens, "token", "left_semi")
+        rows = named.join(places.select("token", "node", early.alias("early")).distinct(), ["token", "node"]).withColumnRenamed("token", "key")
+        rows = stored(rows.select("key", "node", "label", "early"), "wide-nodes")
+        rows = stored(_pairable(rows), "wide-pairable")
+        marks = [F.bit_xor(F.xxhash64("node", "early", F.lit(seed))) for seed in (1, 2)]
+        groups = rows.groupBy("key").agg(F.count("*").alias("m"), marks[0].alias("x"), marks[1].alias("y")).groupBy("m", "x", "y").agg(F.min("key").alias("key"))
+        rows = self.rekeyed(rows.join(groups, "key", "left_semi"), 0)
+        many = stored(rows.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > _LABELS).select("key"), "many")
+        if not many.isEmpty():
+            rows = rows.join(many, "key", "left_anti").unionByName(self.rekeyed(rows.join(many, "key", "left_semi"), 1))
+
+        blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / _NODES).cast("int").alias("blocks"))
+        rows = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+        members = rows.where("early").select("key", F.col("block").alias("i"), every.alias("j"), F.lit(False).alias("query"), "label", "node")
+        queries = rows.select("key", every.alias("i"), F.col("block").alias("j"), F.lit(True).alias("query"), "label", "node")
+        cells = stored(members.unionByName(queries), "wide-cells")
+        order = ["key", "i", "j", "query"]
+        arranged = lambda rows: rows.repartition("key", "i", "j").sortWithinPartitions(*order)
+        known = self.known(cells.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
+        rows = arranged(cells.join(known, "node").select(*order, "label", "node", "n", "others"))
+        left = stored(rows.mapInArrow(_cell_survivors(self.percent), _CELL), "wide-meetings")
+        whole = self.whole(left.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
+        rows = arranged(left.join(whole, "node").select(*order, "label", "tokens"))
+        return stored(rows.mapInArrow(_join_cells(self.percent), "a long, b long").distinct(), "wide-links")
 
     def paired(self, mixed: DataFrame, members: DataFrame) -> DataFrame:
         """Links ``a, b`` between components that share a token, from pairs of components."""
         sizes = members.groupBy("label").agg(F.count("*").alias("size"))
-        heads = mixed.select("lo", "label").distinct().join(sizes.where("size = 1"), "label", "left_semi")
+        parts = mixed.groupBy("lo").agg(F.ceil(F.count("*") / _PART).alias("parts"))
+        mixed = mixed.join(parts, "lo").withColumn("part", F.pmod(F.xxhash64("token"), F.col("parts")))
+        heads = mixed.select("lo", "part", "label").distinct().join(sizes.where("size = 1"), "label", "left_semi")
         known = self.known(heads.select(F.col("label").alias("h1")).distinct()).withColumnRenamed("h1", "label")
-        heads = heads.join(known, "label").select("lo", F.lit(False).alias("is_token"), F.lit(0).cast("long").alias("token"), "label", "n", "others")
-        tokens = mixed.select("lo", F.lit(True).alias("is_token"), "token", "label", F.lit(None).cast("long").alias("n"), F.lit(None).cast("array<binary>").alias("others"))
-        order = ["lo", "is_token", "token", "label"]
-        pairs = heads.unionByName(tokens).repartition("lo").sortWithinPartitions(*order).mapInArrow(_label_pairs(self.percent), "a long, b long").distinct()
+        heads = heads.join(known, "label").select("lo", "part", F.lit(False).alias("is_token"), F.lit(0).cast("long").alias("token"), "label", "n", "others")
+        tokens = mixed.select("lo", "part", F.lit(True).alias("is_token"), "token", "label", F.lit(None).cast("long").alias("n"), F.lit(None).cast("array<binary>").alias("others"))
+        order = ["lo", "part", "is_token", "token", "label"]
+        pairs = heads.unionByName(tokens).repartition("lo", "part").sortWithinPartitions(*order).mapInArrow(_label_pairs(self.percent), "a long, b long").distinct()
         for end in ("a", "b"):
             pairs = pairs.join(sizes.select(F.col("label").alias(end), F.col("size").alias(f"size_{end}")), end)
         small = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))

@@ -160,8 +160,8 @@ def test_jaccard_blocks_equal_brute_force(spark, monkeypatch):
 def test_many_components_of_one_token_give_no_pairs(spark, monkeypatch):
     rows, kept = {}, jaccard.stored
 
-    def spy(df, label):
-        out = kept(df, label)
+    def spy(df, label, outlives=0):
+        out = kept(df, label, outlives)
         rows[label] = out.count() + rows.get(label, 0) if label in ("label-pairs", "wide-nodes") else 0
         return out
 
@@ -172,6 +172,44 @@ def test_many_components_of_one_token_give_no_pairs(spark, monkeypatch):
     assert rows["label-pairs"] <= 600 and rows["wide-nodes"] > 0
 
 
+def test_short_texts_of_one_common_line_are_kept_apart_by_the_filters(spark, monkeypatch):
+    """Every pair shares four shingles of five; hardly any pair is compared, and the links there are get found."""
+    compared, kept = [], jaccard.stored
+
+    def spy(df, label, outlives=0):
+        out = kept(df, label, outlives)
+        if label == "wide-cells":
+            sides = out.groupBy("key", "i", "j").pivot("query", [False, True]).count().na.fill(0).collect()
+            compared.append(sum(r["false"] * r["true"] for r in sides))
+        return out
+
+    monkeypatch.setattr(jaccard, "stored", spy)
+    count = 20_000
+    texts = [f"one common line of many short documents here {i}" for i in range(count)]
+    texts += [f"{texts[i]} more" for i in range(0, count, 1000)]  # five shingles of six
+    found = jaccard.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.component_id for r in found} == {i: i if i < count else 1000 * (i - count) for i in range(len(texts))}
+    assert len(compared) == 1 and compared[0] < count * (count - 1) / 2 / 100
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_wide_tokens_at_other_thresholds(spark, monkeypatch, percent):
+    monkeypatch.setattr(jaccard, "_LABELS", 1)
+    monkeypatch.setattr(jaccard, "_NODES", 4)
+    monkeypatch.setattr(jaccard, "_PART", 3)
+    rng = random.Random(percent)
+    texts = []
+    for _ in range(90):
+        words = [f"w{i}" for i in range(rng.choice([6, 12, 13, 40]))]
+        for _ in range(rng.randint(0, 3)):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(6)}"
+        texts.append(" ".join(words))
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.component_id for r in jaccard.near_duplicates(docs, percent).collect()}
+    assert [found[i] for i in range(len(texts))] == brute_components(sets, percent)
+
+
 def test_distinct_documents_with_null_and_repeated_ids(spark):
     one, two, three = (" ".join(f"{c}{i}" for i in range(20)) for c in "abc")
     rows = [(None, one), (4, two), (4, two), (7, two), (None, two), (5, three), (5, one + " more"), (None, None), (None, None)]
