@@ -13,10 +13,10 @@ order at once, so the join takes one order to find pairs and the others to rule
 4. Verified links make components. Where a token still joins several components, their nodes are candidates too: those of the
    smaller component go through 3 against all of the larger one, in blocks inside tasks, and links join the
    components. A pair left out is inside one component already, so no link between components is missed.
-5. A token that joins many components gives no pairs of them: its nodes are keyed again by the tokens of their prefixes under the second order, and
-   where such a key still has many nodes, under the third, so that a pair has to share a token under each. Of the smaller set of a pair the
-   shorter prefix n - ceil(2 t n / (1 + t)) + 1 is enough; a key without such a node has no pairs. Nodes of one key go through 3 in pairs of blocks,
-   and the whole sets of those that remain are compared.
+5. A token that joins many components gives no pairs of them: its nodes go through 3 in pairs of blocks inside tasks, and the whole sets of those that
+   remain are compared. Where the blocks of a token would be many, its nodes are keyed again by the tokens of their prefixes under the second
+   order, then the third, so that a pair has to share a token under each. Of the smaller set of a pair the shorter prefix
+   n - ceil(2 t n / (1 + t)) + 1 is enough; a key without such a node has no pairs.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.components import components
-from starloom.llm.tables import CELLS, chunk_rows, merged_cells, only_ids, passing_tables, stored
+from starloom.llm.tables import CELLS, bounded_batches, chunk_rows, merged_cells, only_ids, passing_tables, stored
 from starloom.llm.words import LOWER, find_words, mix, slices, string_buffers, windows_hash
 
 WORDS = 5
@@ -249,7 +249,7 @@ def _label_pairs(percent: int):
     return scan
 
 
-#: Components that a token joins by pairs; with more, its nodes are keyed by further tokens. A key of more nodes than a block is divided.
+#: Components that a token joins by pairs; with more, its nodes are compared in pairs of blocks of so many nodes.
 _LABELS = 256
 _NODES = 1024
 
@@ -323,15 +323,15 @@ def _meet(percent: int):
 
 
 def _keys(percent: int, order: int):
-    """Rows ``key, node, label, early`` keyed again by each token of the node's prefix under another order. Rows ``key, node, label, early, n, others``.
+    """Rows ``key, node, label, n, early`` keyed again by each token of the node's prefix under another order. Rows ``key, node, label, n, early, others``.
 
     The smaller set of a pair has to be early under every order.
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, early = batch.column(0).to_numpy().view(np.uint64), batch.column(3).to_numpy(zero_copy_only=False)
-            sizes = batch.column(4).to_numpy()
+            keys, early = batch.column(0).to_numpy().view(np.uint64), batch.column(4).to_numpy(zero_copy_only=False)
+            sizes = batch.column(3).to_numpy()
             for first in range(0, len(batch), 64):
                 rows = range(first, min(len(batch), first + 64))
                 found = [np.frombuffer(batch.column(5)[i][order].as_py(), dtype="<u2")[: _prefix_size(int(sizes[i]), percent)] for i in rows]
@@ -339,8 +339,9 @@ def _keys(percent: int, order: int):
                 at = np.repeat(np.arange(first, first + len(counts)), counts)
                 place = np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
                 key = mix(keys[at] ^ mix(np.concatenate(found).astype(np.uint64) + np.uint64(1)))
-                taken = batch.select(["node", "label"]).take(pa.array(at))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *taken.columns, pa.array(early[at] & (place < _early_size(sizes[at], percent)))], names=["key", "node", "label", "early"])
+                taken = batch.select(["node", "label", "n"]).take(pa.array(at))
+                still = early[at] & (place < _early_size(sizes[at], percent))
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *taken.columns, pa.array(still)], names=["key", "node", "label", "n", "early"])
 
     return scan
 
@@ -427,12 +428,24 @@ def _join_cells(percent: int):
     return scan
 
 
+_KEYED = "key long, node long, label long, n long, early boolean"
+
+
 def _pairable(rows: DataFrame) -> DataFrame:
-    """Rows ``key, node, label, early`` of keys with an early node and two labels: others hold no pair to compare."""
+    """Rows of keys with an early node and two labels: others hold no pair to compare."""
     some = rows.groupBy("key").agg(F.max("early").alias("any"), F.min("label").alias("least"), F.max("label").alias("most")).where("any and least <> most")
     return rows.join(some.select("key"), "key", "left_semi")
 
 
+def _merged(rows: DataFrame) -> DataFrame:
+    """Keys of the same nodes become one; a node that is early under any of them is early there."""
+    same = ["m", "x", "y"]
+    keys = rows.groupBy("key").agg(F.count("*").alias("m"), *(F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(name) for seed, name in enumerate(same[1:])))
+    firsts = keys.groupBy(*same).agg(F.min("key").alias("first"))
+    rows = rows.join(keys.join(firsts, same).select("key", "first"), "key").groupBy(F.col("first").alias("key"), "node", "label", "n")
+    return rows.agg(F.max("early").alias("early"))
+
+
 class _Join:
     def __init__(self, docs: DataFrame, percent: int):
         self.percent = percent
@@ -483,28 +496,29 @@ class _Join:
         return self.paired(mixed.join(wide, "token", "left_anti"), members).unionByName(self.blocked(named.join(wide, "token", "left_semi"))).distinct()
 
     def rekeyed(self, rows: DataFrame, order: int) -> DataFrame:
-        """Rows ``key, node, label, early`` keyed again by the prefixes under another order; keys that can hold a pair."""
-        known = self.known(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
-        rows = rows.join(known, "node").select("key", "node", "label", "early", "n", "others")
-        rows = rows.mapInArrow(_keys(self.percent, order), "key long, node long, label long, early boolean")
+        """Rows ``key, node, label, n, early`` keyed again by the prefixes under another order."""
+        known = self.known(rows.select(F.col("node").alias("h1")).distinct()).select(F.col("h1").alias("node"), "others")
+        rows = rows.join(known, "node").select("key", "node", "label", "n", "early", "others")
+        rows = rows.mapInArrow(_keys(self.percent, order), _KEYED)
         # a token of sixteen bits may come twice in one prefix
-        rows = stored(rows.groupBy("key", "node", "label").agg(F.max("early").alias("early")), "wide-keys")
-        return stored(_pairable(rows), "wide-pairable")
+        return stored(rows.groupBy("key", "node", "label", "n").agg(F.max("early").alias("early")), "wide-keys")
 
     def blocked(self, named: DataFrame) -> DataFrame:
-        """Links ``a, b`` between components whose nodes share a token of many components. Tokens of the same nodes are one."""
+        """Links ``a, b`` between components whose nodes share a token of many components. A key is divided by the tokens of another order
+        where its nodes are so many that pairs of blocks would repeat each of them more often than it has tokens in its prefix."""
         tokens = named.select("token").distinct()
         early = F.col("at") < F.expr(f"n - (2 * {self.percent} * n + 99 + {self.percent}) div (100 + {self.percent}) + 1")
         places = self.prefixes.select(F.posexplode("prefix").alias("at", "token"), F.col("h1").alias("node"), "n").join(tokens, "token", "left_semi")
-        rows = named.join(places.select("token", "node", early.alias("early")).distinct(), ["token", "node"]).withColumnRenamed("token", "key")
-        rows = stored(rows.select("key", "node", "label", "early"), "wide-nodes")
-        rows = stored(_pairable(rows), "wide-pairable")
-        marks = [F.bit_xor(F.xxhash64("node", "early", F.lit(seed))) for seed in (1, 2)]
-        groups = rows.groupBy("key").agg(F.count("*").alias("m"), marks[0].alias("x"), marks[1].alias("y")).groupBy("m", "x", "y").agg(F.min("key").alias("key"))
-        rows = self.rekeyed(rows.join(groups, "key", "left_semi"), 0)
-        many = stored(rows.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > _LABELS).select("key"), "many")
-        if not many.isEmpty():
-            rows = rows.join(many, "key", "left_anti").unionByName(self.rekeyed(rows.join(many, "key", "left_semi"), 1))
+        rows = named.join(places.select("token", "node", "n", early.alias("early")).distinct(), ["token", "node"]).withColumnRenamed("token", "key")
+        rows = stored(_merged(_pairable(stored(rows.select("key", "node", "label", "n", "early"), "wide-nodes"))), "wide-groups")
+        prefixes = F.sum(F.expr(f"n - ({self.percent} * n + 99) div 100 + 1"))
+        for order in range(len(_OTHER_ORDERS)):
+            sizes = rows.groupBy("key").agg(F.count("*").alias("m"), prefixes.alias("prefixes"))
+            many = stored(sizes.where(F.col("m") * F.col("m") > _NODES * F.col("prefixes")).select("key"), "many")
+            if many.isEmpty():
+                break
+            divided = _merged(_pairable(self.rekeyed(rows.join(many, "key", "left_semi"), order)))
+            rows = stored(rows.join(many, "key", "left_anti").unionByName(divided), "wide-groups")
 
         blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / _NODES).cast("int").alias("blocks"))
         rows = rows.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
@@ -576,6 +590,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     the component of their own text. A null doc_id gets a component only through other documents.
     Shingles and sets are compared as 64-bit hashes, equality of sets as 128-bit digests.
     """
+    bounded_batches(docs.sparkSession)
     with passing_tables(docs.sparkSession):
         join = _Join(docs, percent)
         labels = stored(join.labels(), "labels", outlives=1)

@@ -32,6 +32,11 @@ def prepared(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def bounded_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Arrow batches end at this size too, for rows that hold whole texts or sets: a thousand long ones would fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepared(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
