@@ -13,10 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm import jaccard, langid, mixing, packing, substrings
-from starloom.llm.tables import release, stored, table
+from starloom.llm.tables import bounded_batches, release, stored, table
 
 
 def _language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark)
     return langid.accepted(docs)
 
 
