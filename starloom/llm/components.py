@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.tables import stored
+from starloom.llm.words import lean
 
 _STARS = "child long, parent long"
 
@@ -61,7 +62,7 @@ def components(links: DataFrame) -> DataFrame:
     a, b = links.columns
     links = links.select(F.col(a).cast("long"), F.col(b).cast("long")).where(F.col(a).isNotNull() & F.col(b).isNotNull())
     nodes = links.where(F.col(a) == F.col(b)).select(F.col(a).alias("node"))
-    stars = stored(links.mapInArrow(_forest, _STARS).distinct(), "stars")
+    stars = stored(links.mapInArrow(lean(_forest), _STARS).distinct(), "stars")
     while not _finished(stars):
         stars = stored(_round(stars), "stars")
     found = stars.select(F.col("child").alias("node"), F.col("parent").alias("component"))

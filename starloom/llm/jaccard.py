@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from starloom.llm.components import components
 from starloom.llm.tables import CELLS, bounded_batches, chunk_rows, merged_cells, only_ids, passing_tables, stored
-from starloom.llm.words import LOWER, find_words, mix, slices, string_buffers, windows_hash
+from starloom.llm.words import LOWER, SMALL_SLICE_BYTES, find_words, lean, mix, slices, string_buffers, windows_hash
 
 WORDS = 5
 PERCENT = 80
@@ -43,7 +43,7 @@ _OTHER_ORDERS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)
 def shingle_sets(texts: pa.Array, width: int = WORDS) -> Iterator[tuple[int, np.ndarray]]:
     """``(row, sorted distinct shingle hashes)`` of every text; under ``width`` words the whole sequence is one shingle."""
     data, bounds = string_buffers(texts)
-    for first, last in slices(bounds):
+    for first, last in slices(bounds, SMALL_SLICE_BYTES):
         words = find_words(data, bounds[first : last + 1], LOWER)
         hashes = windows_hash(words.hashes, width)
         for row, (a, b) in enumerate(zip(words.text_ptr[:-1].tolist(), words.text_ptr[1:].tolist(), strict=True), first):
@@ -450,12 +450,12 @@ class _Join:
     def __init__(self, docs: DataFrame, percent: int):
         self.percent = percent
         self.docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        survey = stored(self.docs.mapInArrow(_survey, _SETS), "sets", outlives=1)
+        survey = stored(self.docs.mapInArrow(lean(_survey), _SETS), "sets", outlives=1)
         self.sets = survey.where("n is not null").select("doc_id", "n", "h1", "h2")
         self.nodes = self.sets.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"))
         counters = merged_cells(survey.where("chunk is not null"), _ROWS * CELLS, "<u4").reshape(_ROWS, CELLS)
         shared = docs.sparkSession.sparkContext.broadcast(counters)
-        self.prefixes = stored(self.docs.select("text").mapInArrow(_prefixes(shared, percent), _PREFIXES), "prefixes")
+        self.prefixes = stored(self.docs.select("text").mapInArrow(lean(_prefixes(shared, percent)), _PREFIXES), "prefixes")
 
     def postings(self) -> DataFrame:
         """``token, node, least`` of tokens in the prefixes of several nodes."""
@@ -471,7 +471,7 @@ class _Join:
     def whole(self, nodes: DataFrame) -> DataFrame:
         """``h1, tokens`` of the given nodes, made from their texts again: sets are too large to keep all of them."""
         ids = self.nodes.join(nodes, "h1", "left_semi").select("doc_id")
-        return only_ids(self.docs, ids).select("text").mapInArrow(_whole_sets, _SIZED_SETS).dropDuplicates(["h1"])
+        return only_ids(self.docs, ids).select("text").mapInArrow(lean(_whole_sets), _SIZED_SETS).dropDuplicates(["h1"])
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` of nodes whose sets reach the threshold."""
@@ -499,7 +499,7 @@ class _Join:
         """Rows ``key, node, label, n, early`` keyed again by the prefixes under another order."""
         known = self.known(rows.select(F.col("node").alias("h1")).distinct()).select(F.col("h1").alias("node"), "others")
         rows = rows.join(known, "node").select("key", "node", "label", "n", "early", "others")
-        rows = rows.mapInArrow(_keys(self.percent, order), _KEYED)
+        rows = rows.mapInArrow(lean(_keys(self.percent, order)), _KEYED)
         # a token of sixteen bits may come twice in one prefix
         return stored(rows.groupBy("key", "node", "label", "n").agg(F.max("early").alias("early")), "wide-keys")
 
@@ -530,10 +530,10 @@ class _Join:
         arranged = lambda rows: rows.repartition("key", "i", "j").sortWithinPartitions(*order)
         known = self.known(cells.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
         rows = arranged(cells.join(known, "node").select(*order, "label", "node", "n", "others"))
-        left = stored(rows.mapInArrow(_cell_survivors(self.percent), _CELL), "wide-meetings")
+        left = stored(rows.mapInArrow(lean(_cell_survivors(self.percent)), _CELL), "wide-meetings")
         whole = self.whole(left.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
         rows = arranged(left.join(whole, "node").select(*order, "label", "tokens"))
-        return stored(rows.mapInArrow(_join_cells(self.percent), "a long, b long").distinct(), "wide-links")
+        return stored(rows.mapInArrow(lean(_join_cells(self.percent)), "a long, b long").distinct(), "wide-links")
 
     def paired(self, mixed: DataFrame, members: DataFrame) -> DataFrame:
         """Links ``a, b`` between components that share a token, from pairs of components."""
@@ -545,7 +545,7 @@ class _Join:
         heads = heads.join(known, "label").select("lo", "part", F.lit(False).alias("is_token"), F.lit(0).cast("long").alias("token"), "label", "n", "others")
         tokens = mixed.select("lo", "part", F.lit(True).alias("is_token"), "token", "label", F.lit(None).cast("long").alias("n"), F.lit(None).cast("array<binary>").alias("others"))
         order = ["lo", "part", "is_token", "token", "label"]
-        pairs = heads.unionByName(tokens).repartition("lo", "part").sortWithinPartitions(*order).mapInArrow(_label_pairs(self.percent), "a long, b long").distinct()
+        pairs = heads.unionByName(tokens).repartition("lo", "part").sortWithinPartitions(*order).mapInArrow(lean(_label_pairs(self.percent)), "a long, b long").distinct()
         for end in ("a", "b"):
             pairs = pairs.join(sizes.select(F.col("label").alias(end), F.col("size").alias(f"size_{end}")), end)
         small = (F.col("size_a") < F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
@@ -561,12 +561,12 @@ class _Join:
         rows = queries.unionByName(targets)
         known = self.known(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
         rows = rows.join(known, "node").select(*order, "label", "node", "n", "others").repartition("target", "block").sortWithinPartitions(*order)
-        left = stored(rows.mapInArrow(_can_meet(self.percent), "target long, block int, label long, node long"), "meetings")
+        left = stored(rows.mapInArrow(lean(_can_meet(self.percent)), "target long, block int, label long, node long"), "meetings")
 
         rows = left.select("target", "block", F.lit(True).alias("query"), "label", "node").unionByName(targets.join(left.select("target", "block").distinct(), ["target", "block"], "left_semi").select(*order, "label", "node"))
         whole = self.whole(rows.select(F.col("node").alias("h1")).distinct()).withColumnRenamed("h1", "node")
         rows = rows.join(whole, "node").select(*order, "label", "tokens").repartition("target", "block").sortWithinPartitions(*order)
-        return stored(rows.mapInArrow(_meet(self.percent), "a long, b long").distinct(), "crossing")
+        return stored(rows.mapInArrow(lean(_meet(self.percent)), "a long, b long").distinct(), "crossing")
 
     def labels(self) -> DataFrame:
         """``node, label`` of all nodes that share a prefix token with others."""

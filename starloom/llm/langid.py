@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.llm.words import ranges_hash, slices, string_buffers
+from starloom.llm.words import SMALL_SLICE_BYTES, lean, ranges_hash, slices, string_buffers
 
 UNKNOWN = "und"
 #: The model is fitted on so many labelled documents at most, all languages together, and on so many words of each.
@@ -248,7 +248,7 @@ def _label(shared):
         for batch in batches:
             texts = batch.column(1)
             _, bounds = string_buffers(texts)
-            for first, last in slices(bounds):
+            for first, last in slices(bounds, SMALL_SLICE_BYTES):
                 words = [text.lower().split() if text else [] for text in texts[first:last].to_pylist()]
                 owner = np.repeat(np.arange(last - first), [len(w) for w in words])
                 scores, kept = chain.emissions([w for text in words for w in text])
@@ -271,7 +271,7 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
     ``und`` with score 0 for a text that is null or has no letter, and for all texts where there was nothing to learn from.
     """
     shared = docs.sparkSession.sparkContext.broadcast(chain)
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_label(shared), "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(lean(_label(shared)), "doc_id long, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, least: float = 0.4, **bounds: int) -> DataFrame:
@@ -285,4 +285,4 @@ def accepted(docs: DataFrame, least: float = 0.4, **bounds: int) -> DataFrame:
             rows = [row for out in _label(shared)([pair]) for row in zip(out.column(1).to_pylist(), out.column(2).to_pylist(), strict=True)]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in rows], pa.bool_()))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return docs.mapInArrow(lean(keep), docs.schema)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.encoding import encoder
 from starloom.llm.tables import stored
-from starloom.llm.words import slices, string_buffers
+from starloom.llm.words import lean, slices, string_buffers
 
 WINDOW = 1024
 GROUP_PIECES = 40_000
@@ -110,7 +110,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str | None = None, g
     Sequences are numbered with gaps; within a sequence offsets are gapless from 0. No rows give no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    pieces = stored(rows.mapInArrow(_cut(window, vocabulary), _PIECES), "pieces").withColumn("row", F.monotonically_increasing_id())
+    pieces = stored(rows.mapInArrow(lean(_cut(window, vocabulary)), _PIECES), "pieces").withColumn("row", F.monotonically_increasing_id())
     groups = max(1, -(-pieces.count() // group_pieces))
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.llm.tables import stored, with_matches
-from starloom.llm.words import Words, windows_hash, word_slices
+from starloom.llm.words import Words, lean, windows_hash, word_slices
 
 WIDTH = 50
 _RUNS = "anchor long, doc_id long, row long, first int, last int, hashes binary"
@@ -151,8 +151,8 @@ def _row() -> Column:
 def repeated_spans(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``row, first, last``: word ranges covered by windows that also start in a document with a smaller id. Ranges may overlap."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _row().alias("row"))
-    runs = rows.where("doc_id is not null").mapInArrow(_runs(width), _RUNS)
-    return runs.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(_meet(width), _SPANS)
+    runs = rows.where("doc_id is not null").mapInArrow(lean(_runs(width)), _RUNS)
+    return runs.repartition("anchor").sortWithinPartitions("anchor", "doc_id").mapInArrow(lean(_meet(width)), _SPANS)
 
 
 def maximal(spans: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.llm.words import lean
 from starloom.session import configure, materialize, owned_copies
 
 #: Cells of one row of counts, and of the bitmap of ids. Both are of fixed size, whatever the input.
@@ -79,7 +80,7 @@ def merged_cells(parts: DataFrame, cells: int, dtype: str, combine: Callable = n
             yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.tobytes()], pa.binary())], names=["chunk", "cells"])
 
     total = np.zeros(cells, dtype=dtype)
-    for row in parts.select("chunk", "cells").repartition("chunk").mapInArrow(merge, "chunk int, cells binary").collect():
+    for row in parts.select("chunk", "cells").repartition("chunk").mapInArrow(lean(merge), "chunk int, cells binary").collect():
         total[row.chunk * _CHUNK : (row.chunk + 1) * _CHUNK] = np.frombuffer(row.cells, dtype=dtype)
     return total
 
@@ -98,7 +99,7 @@ def _bitmap(rows: DataFrame, ids: DataFrame, key: str) -> Column:
         found = chunk_rows(np.packbits(seen, bitorder="little"))
         yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in found], pa.int32()), pa.array([b for _, b in found], pa.binary())], names=["chunk", "cells"])
 
-    bitmap = merged_cells(ids.select(cell.alias("cell")).mapInArrow(mark, "chunk int, cells binary"), ID_CELLS // 8, "u1", np.bitwise_or)
+    bitmap = merged_cells(ids.select(cell.alias("cell")).mapInArrow(lean(mark), "chunk int, cells binary"), ID_CELLS // 8, "u1", np.bitwise_or)
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     @F.pandas_udf(T.BooleanType())

@@ -7,15 +7,18 @@ read off prefix sums and mixed at the end. Work arrays follow the slice of text
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Bytes of text hashed at once; a single longer text is a slice of its own.
+#: Bytes of text hashed at once; a single longer text is a slice of its own. Fewer where each word costs much memory.
 SLICE_BYTES = 1 << 20
+SMALL_SLICE_BYTES = 1 << 18
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -138,3 +141,24 @@ def word_slices(texts: pa.Array, table: np.ndarray = IDENTITY) -> Iterator[tuple
     data, bounds = string_buffers(texts)
     for first, last in slices(bounds):
         yield first, last, find_words(data, bounds[first : last + 1], table)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: a Python worker lives on after its task, and keeps what its allocators hold."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
+def lean(scan: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """A scan of batches that gives memory back where it ends."""
+
+    @wraps(scan)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from scan(batches)
+        finally:
+            give_back()
+
+    return run
