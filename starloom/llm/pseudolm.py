@@ -97,47 +97,82 @@ class Network:
         return out
 
 
-def contexts(tokens: np.ndarray, text_ptr: np.ndarray, at: np.ndarray | None = None) -> np.ndarray:
-    """Tokens around each position, or around those ``at``; beyond the text stands a padding token."""
-    spot = np.arange(len(tokens)) if at is None else at
-    text = np.searchsorted(text_ptr, spot, side="right") - 1
-    first, last = text_ptr[text], text_ptr[text + 1]
-    return np.stack([np.where((spot + p >= first) & (spot + p < last), tokens[np.clip(spot + p, 0, max(len(tokens) - 1, 0))], _PAD) for p in PLACES], axis=1)
+def padded(tokens: np.ndarray, text_ptr: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens with paddings before, between and after the texts, and the place of each token there."""
+    most = max(PLACES)
+    place = np.arange(len(tokens)) + most * np.repeat(np.arange(1, len(text_ptr)), np.diff(text_ptr))
+    out = np.full(len(tokens) + most * len(text_ptr), _PAD, dtype=np.uint16)
+    out[place] = tokens
+    return out, place
+
+
+def contexts(around: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Tokens around each place, a column for each of ``PLACES``; beyond the text stands a padding token."""
+    return np.stack([around[place + p] for p in PLACES]).T
+
+
+_ONES = np.ones((CLASSES, 1), dtype=np.float32)
+
+
+def _largest(x: np.ndarray) -> np.ndarray:
+    """Of each row, by halves: columns are a power of two, and few for numpy's own way along rows."""
+    while x.shape[1] > 1:
+        half = x.shape[1] // 2
+        x = np.maximum(x[:, :half], x[:, half:])
+    return x
+
+
+def _exponents(x: np.ndarray) -> np.ndarray:
+    """Puts exponentials in place of ``x``; the sum of each row."""
+    np.exp(x, out=x)
+    return x @ _ONES
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
-    x = np.exp(x - x.max(axis=1, keepdims=True))
-    return x / x.sum(axis=1, keepdims=True)
+    x -= _largest(x)
+    total = _exponents(x)
+    x /= total
+    return x
 
 
 def _hidden(parts: dict[str, np.ndarray], around: np.ndarray) -> np.ndarray:
-    total = parts["places"][0][around[:, 0]] + parts["bias"]
+    total = parts["places"][0].take(around[:, 0], axis=0)
+    total += parts["bias"]
     for place in range(1, len(PLACES)):
-        total += parts["places"][place][around[:, place]]
-    return np.tanh(total)
+        total += parts["places"][place].take(around[:, place], axis=0)
+    return np.tanh(total, out=total)
+
+
+def _by_class(targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of targets by class, the class of each in it, and where each class begins and ends."""
+    classes = (targets // CLASSES).astype(np.uint8)
+    order = np.argsort(classes, kind="stable")
+    classes = classes[order]
+    return order, classes, np.searchsorted(classes, np.arange(CLASSES + 1))
 
 
-def _by_class(targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    order = np.argsort(targets // CLASSES, kind="stable")
-    edges = np.searchsorted((targets // CLASSES)[order], np.arange(CLASSES + 1))
-    for c in range(CLASSES):
-        if edges[c] < edges[c + 1]:
-            yield c, order[edges[c] : edges[c + 1]]
+def _word_scores(parts: dict[str, np.ndarray], hidden: np.ndarray, classes: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Scores of the words of each row's class; rows come by class."""
+    scores = np.empty((len(hidden), CLASSES), dtype=hidden.dtype)
+    for c in np.flatnonzero(np.diff(edges)).tolist():
+        rows = slice(edges[c], edges[c + 1])
+        np.matmul(hidden[rows], parts["words"][c], out=scores[rows])
+    scores += parts["word_bias"].take(classes, axis=0)
+    return scores
 
 
 def log_probabilities(parts: dict[str, np.ndarray], around: np.ndarray, targets: np.ndarray) -> np.ndarray:
     out = np.empty(len(targets))
     for start in range(0, len(targets), _PIECE):
         piece = slice(start, start + _PIECE)
-        hidden, target = _hidden(parts, around[piece]), targets[piece]
-        scores = hidden @ parts["classes"] + parts["class_bias"]
-        top = scores.max(axis=1)
-        values = scores[np.arange(len(target)), target // CLASSES] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
-        for c, rows in _by_class(target):
-            scores = hidden[rows] @ parts["words"][c] + parts["word_bias"][c]
-            top = scores.max(axis=1)
-            values[rows] += scores[np.arange(len(rows)), target[rows] % CLASSES] - top - np.log(np.exp(scores - top[:, None]).sum(axis=1))
-        out[piece] = values
+        order, classes, edges = _by_class(targets[piece])
+        hidden, each = _hidden(parts, around[piece][order]), np.arange(len(order))
+        values = np.zeros(len(order))
+        for scores, target in ((hidden @ parts["classes"] + parts["class_bias"], classes), (_word_scores(parts, hidden, classes, edges), targets[piece][order] % CLASSES)):
+            scores -= _largest(scores)
+            values += scores[each, target]
+            values -= np.log(_exponents(scores)[:, 0])
+        out[start + order] = values
     return out
 
 
@@ -145,35 +180,36 @@ def _step(parts: dict[str, np.ndarray], squares: dict[str, np.ndarray], around:
     """One step of Adagrad on a batch."""
 
     def move(name: str, slope: np.ndarray, at=...) -> None:
-        squares[name][at] += slope * slope
-        parts[name][at] -= _RATE * slope / np.sqrt(squares[name][at])
+        seen = squares[name][at] + slope * slope
+        squares[name][at] = seen
+        parts[name][at] -= _RATE * slope / np.sqrt(seen)
 
-    order = np.argsort(targets // CLASSES, kind="stable")
+    order, classes, edges = _by_class(targets)
     around, targets = around[order], targets[order]
-    edges = np.searchsorted(targets // CLASSES, np.arange(CLASSES + 1))
     hidden, each = _hidden(parts, around), np.arange(len(targets))
     error = _softmax(hidden @ parts["classes"] + parts["class_bias"])
-    error[each, targets // CLASSES] -= 1
+    error[each, classes] -= 1
     back = error @ parts["classes"].T
-    inner = []
-    for c in np.flatnonzero(np.diff(edges)).tolist():
+    wrong = _softmax(_word_scores(parts, hidden, classes, edges))
+    wrong[each, targets % CLASSES] -= 1
+    found = np.flatnonzero(np.diff(edges))
+    slopes = np.empty((len(found), WIDTH, CLASSES), dtype=hidden.dtype)
+    for i, c in enumerate(found.tolist()):
         rows = slice(edges[c], edges[c + 1])
-        wrong = _softmax(hidden[rows] @ parts["words"][c] + parts["word_bias"][c])
-        wrong[each[: len(wrong)], targets[rows] % CLASSES] -= 1
-        back[rows] += wrong @ parts["words"][c].T
-        inner.append((c, hidden[rows].T @ wrong, wrong.sum(axis=0)))
+        back[rows] += wrong[rows] @ parts["words"][c].T
+        np.matmul(hidden[rows].T, wrong[rows], out=slopes[i])
     move("classes", hidden.T @ error)
     move("class_bias", error.sum(axis=0))
-    for c, weights, bias in inner:
-        move("words", weights, c)
-        move("word_bias", bias, c)
+    at = ... if len(found) == CLASSES else found
+    move("words", slopes, at)
+    move("word_bias", np.add.reduceat(wrong, edges[found], axis=0), at)
     slope = back * (1 - hidden * hidden)
     move("bias", slope.sum(axis=0))
     for place in range(len(PLACES)):
-        order = np.argsort(around[:, place], kind="stable")
+        order = np.argsort(around[:, place], kind="stable")  # of two bytes each: by radix
         rows = around[order, place]
         starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-        move("places", np.add.reduceat(slope[order], starts, axis=0), (place, rows[starts]))
+        move("places", np.add.reduceat(slope.take(order, axis=0), starts, axis=0), (place, rows[starts]))
 
 
 def _masked(tokens: np.ndarray, number: int, rounds: int) -> np.ndarray:
@@ -220,9 +256,10 @@ def _train(shared, number: int, rounds: int):
                 flat = network.flat.copy()
                 parts, squares = network.part(flat), network.part(np.full(_SIZE, 1.0, dtype=np.float32))
                 masked = _masked(tokens, number, rounds)
+                around, place = padded(tokens, text_ptr)
                 for i in range(0, len(masked), _BATCH):
                     at = masked[i : i + _BATCH]
-                    _step(parts, squares, contexts(tokens, text_ptr, at), tokens[at])
+                    _step(parts, squares, contexts(around, place[at]), tokens[at])
                 total[:_SIZE] += (flat - network.flat) * float(len(masked))
                 total[_SIZE] += len(masked)
         if total[_SIZE]:
@@ -292,7 +329,7 @@ def _score(shared):
         for batch in batches:
             for first, last, words in word_slices(batch.column(2)):
                 tokens = network.tokens(words)
-                values = log_probabilities(parts, contexts(tokens, words.text_ptr), tokens)
+                values = log_probabilities(parts, contexts(*padded(tokens, words.text_ptr)), tokens)
                 outside = tokens >= KNOWN
                 values[outside] += unseen[tokens[outside] - KNOWN]
                 running, before = np.concatenate(([0.0], np.cumsum(values))), np.concatenate(([0], np.cumsum(outside)))
