@@ -95,9 +95,10 @@ def remapped(ws):
     """Keys assigned in memory are replaced by those stored, found through the natural keys."""
     stored = key_maps(ws.dw)
     fact = ws.transformed["fact_sales"].withColumns({k: -F.col(k) for k in ("customer_key", "product_key", "seller_key")})
-    fact = facts.remap_key(fact, stored["customer"], "customer_unique_id", "customer_key")
+    # Products first: the transform has looked them up last, so the rows still lie together by product.
     fact = facts.remap_key(fact, stored["product"], "product_id", "product_key")
-    return facts.remap_key(fact, stored["seller"], "seller_id", "seller_key")
+    fact = facts.remap_key(fact, stored["seller"], "seller_id", "seller_key")
+    return facts.remap_key(fact, stored["customer"], "customer_unique_id", "customer_key")
 
 
 def metrics_frame(spark, metrics: list[dict]) -> DataFrame:
